@@ -7,12 +7,15 @@ from revlens.fixed_values import ALERT_MESSAGE, ALERT_SHARE, ALERT_TYPE
 from revlens.functions.sentiment import NEGATIVE
 
 
-def negative_share(scored: DataFrame, *by, sentiment: str = "sentiment") -> DataFrame:
-    """Reviews, negative reviews and their share in percent of all reviews, per group."""
-    negative = F.count_if(F.col(sentiment) == NEGATIVE)
+def negative_share(scored: DataFrame, *by, also: tuple = ()) -> DataFrame:
+    """Reviews, negative reviews and their share in percent of all reviews, per group.
+
+    `also` adds further aggregates.
+    """
+    negative = F.count_if(F.col("sentiment") == NEGATIVE)
     return (
         scored.groupBy(*by)
-        .agg(F.count("*").alias("total_reviews"), negative.alias("negative_reviews"))
+        .agg(F.count("*").alias("total_reviews"), negative.alias("negative_reviews"), *also)
         .withColumn("negative_pct", F.col("negative_reviews") / F.col("total_reviews") * 100.0)
     )
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revlens.fixed_values import THEME_MIN_OVERLAP, TOPIC_KEYWORDS, TOPIC_TERMS, TOPIC_THEMES
+from revlens.runtime import small_table
 
 
 def theme_table(spark: SparkSession) -> DataFrame:
@@ -13,7 +14,7 @@ def theme_table(spark: SparkSession) -> DataFrame:
         for order, (theme, words) in enumerate(TOPIC_THEMES.items(), start=1)
         for word in sorted(set(words.split()))
     ]
-    return spark.createDataFrame(rows, "theme_order int, theme string, keyword string")
+    return small_table(spark, rows, "theme_order int, theme string, keyword string")
 
 
 def topic_terms(described: DataFrame, words: DataFrame) -> DataFrame:
@@ -65,21 +66,27 @@ def topic_names(terms: DataFrame, themes: DataFrame) -> DataFrame:
 
     The first theme in order wins a tie. With a single word the name is that word.
     """
-    best = theme_overlap(terms, themes).groupBy("topic").agg(
-        F.min(F.struct((-F.col("overlap")).alias("against"), "theme_order", "theme")).alias("best")
+    # The left join keeps terms without a theme, so one pass over the terms finds
+    # both the votes and the leading words.
+    votes = (
+        terms.join(themes, terms["word"] == themes["keyword"], "left")
+        .groupBy("topic", "theme_order", "theme")
+        .agg(
+            F.countDistinct("keyword").alias("overlap"),
+            F.max(F.when(F.col("rank") == 1, F.col("word"))).alias("first"),
+            F.max(F.when(F.col("rank") == 2, F.col("word"))).alias("second"),
+        )
     )
-    leading = terms.groupBy("topic").agg(
-        F.max(F.when(F.col("rank") == 1, F.col("word"))).alias("first"),
-        F.max(F.when(F.col("rank") == 2, F.col("word"))).alias("second"),
+    named = votes.groupBy("topic").agg(
+        F.min(F.struct((-F.col("overlap")).alias("against"), "theme_order", "theme")).alias("best"),
+        F.max("first").alias("first"),
+        F.max("second").alias("second"),
     )
-    named = leading.join(best, "topic", "left")
-    matched = F.coalesce(-F.col("best.against"), F.lit(0))
+    matched = -F.col("best.against")
     return named.select(
         "topic",
         F.when(matched >= THEME_MIN_OVERLAP, F.col("best.theme"))
-        .otherwise(F.coalesce(
-            F.concat_ws(" & ", F.initcap("first"), F.initcap("second")),
-        )).alias("name"),
+        .otherwise(F.concat_ws(" & ", F.initcap("first"), F.initcap("second"))).alias("name"),
         matched.cast("int").alias("overlap"),
     )
 

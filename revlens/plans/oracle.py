@@ -87,14 +87,14 @@ CTES = {
     "training": "select * from scoring where true_label >= 0",
     "annotated": """
         select *,
-               case when Rate_num >= 4 then 1.0 when Rate_num > 0 and Rate_num < 3 then 0.0
+               case when Rate_num >= 4 then 1.0 when Rate_num > 0 then 0.0
                     else -1.0 end::double as sentiment_pred,
                case when Category = 'es' then -1 when length(text_combined) < 200 then 0
                     when length(text_combined) < 1000 then 1 when length(text_combined) < 3000 then 2
                     when length(text_combined) < 8000 then 3 else 4 end as topic_pred,
                case when Rate_num = 0 then -1 when Category = 'en' then 0 when Category = 'fr' then 1
                     when Category = 'de' then 2 else 3 end as cluster_pred,
-               Category || '-' || replace(substr("timestamp", 1, 13), ' ', 'T') as batch_key
+               Category || '-' || substr("timestamp", 12, 2) as batch_key
         from scoring""",
     "topic_names": f"select * from (values {_pairs(DEFAULT_TOPIC_NAMES)}) t(id, name)",
     "segment_names": f"select * from (values {_pairs(DEFAULT_SEGMENT_NAMES)}) t(id, name)",
@@ -112,12 +112,13 @@ CTES = {
     "shares": """
         select batch_key, count(*) as total_reviews,
                count(*) filter (where sentiment = 0) as negative_reviews,
-               count(*) filter (where sentiment = 0) / count(*)::double * 100.0 as negative_pct
+               count(*) filter (where sentiment = 0) / count(*)::double * 100.0 as negative_pct,
+               max("timestamp") as last_review
         from docs group by batch_key""",
     "alerts": f"""
         select batch_key as alert_id, 'high_negative' as type,
                printf({_text(ALERT_MESSAGE)}, round_even(negative_pct, 0)) as message,
-               right(batch_key, 13) as "timestamp",
+               last_review as "timestamp",
                case when negative_pct = 100 then 'error' else 'warning' end as level
         from shares where negative_pct > 70""",
     "words": "select *, string_split(rtrim(text_combined), ' ') as tokens from scoring",
@@ -292,6 +293,10 @@ MESSAGE_FIELDS = [
     "review_id", "timestamp", "Product", "Category", "Review", "Summary", "Rate", "product_price"
 ]
 
+TRAINING_FIELDS = [
+    "Product", "Category", "product_price", "Rate", "Review", "Summary", "Sentiment"
+]
+
 CENTERS = """
     with dims as (select vec_id, label, unnest(embedding)::double as x,
                          generate_subscripts(embedding, 1) as dim from embeddings),
@@ -301,7 +306,8 @@ CENTERS = """
 
 QUERIES = {
     # sources
-    "scan_reviews_csv": "select Product, Category, product_price, Rate, Review, Summary, Sentiment from reviews",
+    "scan_reviews_csv": "select "
+    + ", ".join(f"nullif({c}, '') as {c}" for c in TRAINING_FIELDS) + " from reviews",
     "stage_and_number": "select count(*) as reviews, 1::bigint as first, count(*) as last, count(*) as numbers from reviews",
     "replay_messages": "select json_object("
     + ", ".join(f"'{f}', coalesce(\"{f}\", '')" for f in MESSAGE_FIELDS)

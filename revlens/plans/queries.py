@@ -182,7 +182,7 @@ def cluster_features(spark, sf_dir) -> DataFrame:
 
 @query
 def dominant_topic(spark, sf_dir) -> DataFrame:
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = sample.table(spark, sf_dir, "embeddings")
     return vectors.select("vec_id", first_argmax(F.col("embedding")).alias("topic_pred"))
 
 
@@ -459,7 +459,7 @@ def classifier_metrics(spark, sf_dir) -> DataFrame:
 
 
 def _embeddings(spark, sf_dir) -> DataFrame:
-    return tables.read_table(spark, f"{sf_dir}/embeddings.parquet", "vec_id")
+    return tables.spread(sample.table(spark, sf_dir, "embeddings"), "vec_id")
 
 
 @query
@@ -493,7 +493,7 @@ def _topic_terms_by_count(spark, sf_dir) -> DataFrame:
 
 def _themes(spark, sf_dir) -> DataFrame:
     """The built-in themes, and after them one learned from each role's conversation turns."""
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+    turns = sample.table(spark, sf_dir, "conversations").select(
         "role", cleaned(F.col("text")).alias("text_combined")
     )
     statistics = tokens.term_statistics(tokens.with_topic_words(turns), "filtered", by=("role",))

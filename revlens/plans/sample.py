@@ -15,18 +15,33 @@ from revlens.operators.documents import reportable
 from revlens.operators.prepare import prepare_reviews
 from revlens.plans.scoring import ReviewScorer
 from revlens.sources.lookups import default_segment_names, default_topic_names
-from revlens.sources.tables import read_table
+from revlens.sources.tables import spread
+
+
+# Columns of the sample tables that reviews are made of. Reading with a known schema
+# saves a job per table.
+TABLES = {
+    "documents": "doc_id long, text string, lang string, source string",
+    "events": "event_id long, ts timestamp_ntz, event_type string, value double",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def reviews(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """All documents as reviews. All joins are on the document number, so the texts are
     shuffled once at most."""
-    documents = read_table(spark, f"{sf_dir}/documents.parquet", "doc_id")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), "ts", "event_type", "value"
     )
     opening = (
-        spark.read.parquet(f"{sf_dir}/conversations.parquet")
+        table(spark, sf_dir, "conversations")
         .filter("turn = 0")
         .select(F.col("conv_id").alias("doc_id"), F.col("text").alias("opening"))
     )
@@ -47,8 +62,7 @@ def reviews(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFram
         "product_price": value.cast("string"),
     }
     if labelled:
-        labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-        joined = joined.join(labels, "doc_id", "left")
+        joined = joined.join(table(spark, sf_dir, "labels"), "doc_id", "left")
         columns["Sentiment"] = (
             F.when(F.col("quality").isNull(), F.lit(None))
             .when((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit("Positive"))
@@ -63,9 +77,8 @@ def prepared(spark: SparkSession, sf_dir: str, training: bool = False) -> DataFr
 
 
 def batch_key() -> Column:
-    """Language and hour: the batch a sample review is replayed in."""
-    hour = F.translate(F.substring("timestamp", 1, 13), " ", "T")
-    return F.concat_ws("-", F.col("Category"), hour)
+    """Language and hour of the day: the batch a sample review is replayed in."""
+    return F.concat_ws("-", F.col("Category"), F.substring("timestamp", 12, 2))
 
 
 class SampleScorer(ReviewScorer):
@@ -80,7 +93,7 @@ class SampleScorer(ReviewScorer):
         length = F.length("text_combined")
         return prepared.withColumns({
             "sentiment_pred": F.when(rating >= 4, F.lit(1.0))
-            .when((rating > 0) & (rating < 3), F.lit(0.0)).otherwise(F.lit(-1.0)),
+            .when(rating > 0, F.lit(0.0)).otherwise(F.lit(-1.0)),
             "topic_pred": F.when(language == "es", F.lit(-1)).when(length < 200, F.lit(0))
             .when(length < 1000, F.lit(1)).when(length < 3000, F.lit(2))
             .when(length < 8000, F.lit(3)).otherwise(F.lit(4)),
@@ -107,7 +120,9 @@ def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return negative_share(documents(spark, sf_dir), "batch_key")
+    return negative_share(
+        documents(spark, sf_dir), "batch_key", also=(F.max("timestamp").alias("last_review"),)
+    )
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +130,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raised = anomalous(batch_shares(spark, sf_dir))
     severity = F.when(F.col("negative_pct") == 100.0, F.lit("Very HIGH"))
     named = raised.withColumns({"alert_id": F.col("batch_key"), "severity": severity})
-    return alert_documents(named, F.right("batch_key", F.lit(13)), keep=("alert_id", "severity"))
+    return alert_documents(named, F.col("last_review"), keep=("alert_id", "severity"))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,9 +34,9 @@ def sweep(scaled: DataFrame) -> list:
 def scaled_features(with_topics: DataFrame, sentiment: str = "sentiment_label"):
     """The fitted scaler, and the scaled features written once for the sweep."""
     features = segment_features(with_topics, sentiment).select(*SEGMENT_INPUTS)
-    stored = materialized(features, "segment-inputs")
+    stored = materialized(features, "segment-inputs", merge_small=True)
     scaler = scaling_pipeline().fit(stored)
-    return scaler, materialized(scaler.transform(stored), "segment-features")
+    return scaler, materialized(scaler.transform(stored), "segment-features", merge_small=True)
 
 
 def train_segments(with_topics: DataFrame):

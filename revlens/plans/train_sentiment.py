@@ -60,7 +60,7 @@ def full_grid() -> list:
 def _ready(features: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
     """Label and features, written once: every iteration of every fit reads them again."""
     scored = features.transform(rows)
-    return materialized(scored.select("sentiment_label", "features"), label)
+    return materialized(scored.select("sentiment_label", "features"), label, merge_small=True)
 
 
 def _fit_all(train: DataFrame, grid: list, parallel: int) -> list:

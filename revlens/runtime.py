@@ -1,9 +1,14 @@
 """Session helpers: a local session for tests, and the shared working folder."""
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SMALLEST_PARTITION = 4 * 1024 * 1024
 
 
 def local_session(cores="*", shuffle_partitions=8, **settings) -> SparkSession:
@@ -16,6 +21,7 @@ def local_session(cores="*", shuffle_partitions=8, **settings) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -43,19 +49,47 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/revlens/{label}-{uuid.uuid4().hex}"
 
 
-def materialized(df: DataFrame, label: str) -> DataFrame:
+def materialized(df: DataFrame, label: str, merge_small: bool = False) -> DataFrame:
     """Write once to the shared folder and read back.
 
-    The result survives lost executors and cuts the lineage for everything
-    that passes over it repeatedly.
+    The result survives lost executors and cuts the lineage for everything that
+    passes over it repeatedly. Gradient and distance passes cost next to nothing per
+    row but something per partition; for them `merge_small` reads small files together.
+    Large data is read in its usual splits either way. Column metadata is left behind:
+    that of a text vector names every term, and Spark would ship it with every job.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    plain = T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in df.schema])
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(plain).parquet(path)
+    if not merge_small:
+        return stored
+    return stored.coalesce(math.ceil((_stored_bytes(spark, path) + 1) / SMALLEST_PARTITION))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def small_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A few literal rows. Unlike rows shipped from Python, Spark knows how small they are,
+    so it broadcasts them where they are joined."""
+    columns = [column.split() for column in schema.split(", ")]
+    literals = [
+        F.struct(*[F.lit(value).cast(kind).alias(name)
+                   for value, (name, kind) in zip(row, columns)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*literals)))
+
+
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    file_system, hadoop_path = _file_system(spark, path)
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _file_system(spark, path)
     return file_system.exists(hadoop_path)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.fixed_values import DEFAULT_SEGMENT_NAMES, DEFAULT_TOPIC_NAMES
-from revlens.runtime import path_exists
+from revlens.runtime import path_exists, small_table
 from revlens.schemas import SEGMENT_INTERPRETATION, TOPIC_INTERPRETATION
 
 
@@ -13,11 +13,11 @@ def save_interpretations(interpretations: DataFrame, path: str) -> None:
 
 
 def default_topic_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_TOPIC_NAMES, "id int, name string")
+    return small_table(spark, DEFAULT_TOPIC_NAMES, "id int, name string")
 
 
 def default_segment_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_SEGMENT_NAMES, "id int, name string")
+    return small_table(spark, DEFAULT_SEGMENT_NAMES, "id int, name string")
 
 
 def read_topic_interpretations(spark: SparkSession, path: str) -> DataFrame:

@@ -44,12 +44,11 @@ def read_alerts(spark: SparkSession, path: str, keep: tuple = ()) -> DataFrame:
     return alert_documents(named, F.col("computed_at"), keep=("alert_id", *keep))
 
 
-def read_table(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A parquet table, spread over all cores if its files make too few partitions.
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """A table spread over all cores if its files make too few partitions.
 
     Large tables have more splits than cores and are read as they lie, without a
     shuffle; a small one in a single file would keep all work in one task.
     """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
+    cores = table.sparkSession.sparkContext.defaultParallelism
     return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table

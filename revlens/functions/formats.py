@@ -1,4 +1,8 @@
-"""Text formats of reports and alerts."""
+"""Text formats of reports and alerts.
+
+Numbers are rounded half up in decimal before they are printed, as SQL engines do; a
+printf on the binary value can differ in the last digit of an exact decimal tie.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -75,11 +75,14 @@ def term_statistics(documents: DataFrame, terms: str, by: tuple = ()) -> DataFra
 
 
 def vocabulary(
-    documents: DataFrame, terms: str, size: int, min_df: int, max_df: float = 1.0
+    documents: DataFrame, terms: str, size: int, min_df: int, max_df: float | None = None
 ) -> DataFrame:
-    """The most frequent terms among those found in enough and not in too many documents."""
+    """The most frequent terms among those found in enough and not in too many documents.
+
+    `max_df` is a share of all documents and inclusive.
+    """
     statistics = term_statistics(documents, terms).filter(F.col("doc_count") >= min_df)
-    if max_df < 1.0:
+    if max_df is not None:
         total = documents.agg(F.count("*")).scalar()
         statistics = statistics.filter(F.col("doc_count") <= total * F.lit(max_df))
     return statistics.orderBy(F.desc("term_count"), "term").limit(size)

@@ -1,58 +1,64 @@
-"""Score a stream of review messages into the scored table and the alert table."""
+"""Score a stream of review messages into the scored table and the table of shares."""
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.operators.anomalies import negative_share
+from revlens.runtime import path_exists
 from revlens.sources.messages import decode
 from revlens.sources.tables import SCORED_KEYS, read_scored, replace_partitions
 
 
-def score_batch(scorer, scored_path: str, alerts_path: str, batch: DataFrame, batch_id: int) -> dict:
-    """Score one micro-batch, write it once, and raise alerts from what was written.
+def score_batch(scorer, scored_path: str, shares_path: str, batch: DataFrame, batch_id: int) -> list:
+    """Score one micro-batch, write it once, and update the negative shares from what was written.
 
     The sink is keyed by replay batch and file (by trigger for a message queue), so a
-    batch that is run again replaces its own rows. Alerts are computed over the whole
-    batch key as stored, even if its files arrived in several triggers.
+    batch that is run again replaces its own rows. Shares are computed over the whole
+    batch key as stored, even if its files arrived in several triggers. Returns the
+    batch keys it has seen, at most one per file of the trigger.
     """
-    if batch.isEmpty():
-        return {"batch_id": batch_id, "rows": 0, "keys": []}
     spark = batch.sparkSession
-    reviews = decode(batch)
     for key in SCORED_KEYS:
-        if key not in reviews.columns:
-            reviews = reviews.withColumn(key, F.lit(f"trigger-{batch_id}"))
-    seen = Observation()
-    documents = scorer.documents(reviews, keep=tuple(SCORED_KEYS)).observe(
-        seen, F.count("*").alias("rows"), F.collect_set("batch_key").alias("keys")
-    )
+        if key not in batch.columns:
+            batch = batch.withColumn(key, F.lit(f"trigger-{batch_id}"))
+    keys = sorted(row[0] for row in batch.select("batch_key").distinct().collect())
+    if not keys:
+        return keys
+    documents = scorer.documents(decode(batch), keep=tuple(SCORED_KEYS))
     replace_partitions(documents, scored_path, SCORED_KEYS)
-    keys = list(seen.get.get("keys") or [])
-    if keys:
+    if path_exists(spark, scored_path):
         stored = read_scored(spark, scored_path).filter(F.col("batch_key").isin(keys))
         now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         shares = negative_share(stored, "batch_key").withColumn("computed_at", now)
-        replace_partitions(shares, alerts_path, ["batch_key"])
-    return {"batch_id": batch_id, "rows": seen.get.get("rows", 0), "keys": keys}
+        replace_partitions(shares, shares_path, ["batch_key"])
+    return keys
 
 
 def start_scoring(
-    messages: DataFrame, scorer, scored_path: str, alerts_path: str, checkpoint: str,
+    messages: DataFrame, scorer, scored_path: str, shares_path: str, checkpoint: str,
     trigger: dict | None = None, dedup_within: str | None = None,
 ):
     """Start the query. `trigger` is passed to writeStream.trigger; default every 10 seconds.
 
     `dedup_within` drops a message that is sent again within that time of its event.
     """
+    def process(batch, batch_id):
+        if not dedup_within:
+            return score_batch(scorer, scored_path, shares_path, batch, batch_id)
+        # State must be read and written once per batch, so the result is kept.
+        batch = batch.persist()
+        try:
+            return score_batch(scorer, scored_path, shares_path, batch, batch_id)
+        finally:
+            batch.unpersist()
+
     if dedup_within:
         messages = deduplicated(messages, dedup_within)
     return (
         messages.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
-        .foreachBatch(
-            lambda batch, batch_id: score_batch(scorer, scored_path, alerts_path, batch, batch_id)
-        )
+        .foreachBatch(process)
         .start()
     )
 

@@ -1,6 +1,6 @@
 """Report queries over the whole scored table, flattened by `documents.reportable`."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.fixed_values import (
@@ -103,13 +103,9 @@ def topic_sentiment_breakdown(reviews: DataFrame) -> DataFrame:
     counts = labelled.groupBy("topic_name", name_of(F.col("sentiment")).alias("sentiment_label")).agg(
         F.count("*").alias("review_count")
     )
-    # Only one row per topic and label is left, so totals per topic come from the counts.
-    totals = counts.groupBy("topic_name").agg(F.sum("review_count").alias("_total"))
-    shares = counts.join(totals, "topic_name")
-    return shares.select(
-        "topic_name", "sentiment_label", "review_count",
-        F.round(_share(F.col("review_count"), F.col("_total")), 4).alias("pct"),
-    )
+    # The window runs over the counts: one row per topic and label is left by then.
+    total = F.sum("review_count").over(Window.partitionBy("topic_name"))
+    return counts.withColumn("pct", F.round(_share(F.col("review_count"), total), 4))
 
 
 def segment_counts(reviews: DataFrame) -> DataFrame:

@@ -1,6 +1,12 @@
 """Token lists and term statistics."""
 
-from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import (
+    CountVectorizerModel,
+    NGram,
+    RegexTokenizer,
+    StopWordsRemover,
+    Tokenizer,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +94,20 @@ def vocabulary(
     return statistics.orderBy(F.desc("term_count"), "term").limit(size)
 
 
+def vectorizer(
+    documents: DataFrame, terms: str, output: str, size: int, min_df: int,
+    max_df: float | None = None,
+) -> CountVectorizerModel:
+    """Term counts over the vocabulary above.
+
+    Its order is total, so equal data gives equal positions; the library's own fit
+    leaves ties open, and a seeded topic model would differ from run to run. At most
+    `size` words come to the driver, where the model keeps them anyway.
+    """
+    words = [row["term"] for row in vocabulary(documents, terms, size, min_df, max_df).collect()]
+    return CountVectorizerModel.from_vocabulary(words, inputCol=terms, outputCol=output)
+
+
 def idf_weights(documents: DataFrame, terms: DataFrame) -> DataFrame:
     """Inverse document frequency of each vocabulary term."""
     total = documents.agg(F.count("*")).scalar()

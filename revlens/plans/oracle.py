@@ -379,7 +379,7 @@ QUERIES = {
     "open_alerts": """
         select alert_id, message, "timestamp"
         from (select * from alerts order by "timestamp" desc, alert_id desc limit 3)
-        where alert_id not like 'en-%'""",
+        where alert_id not like 'es-%'""",
     # reports
     "kpi_summary": """
         select count(*) as total_reviews, count(*) filter (where sentiment = 1) as positive_reviews,

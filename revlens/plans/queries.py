@@ -325,9 +325,9 @@ def recent_alerts(spark, sf_dir) -> DataFrame:
 
 @query
 def open_alerts(spark, sf_dir) -> DataFrame:
-    """Alerts on English batches have been dismissed."""
+    """Alerts on Spanish batches have been dismissed."""
     alerts = sample.alerts(spark, sf_dir)
-    dismissed = alerts.filter(F.col("alert_id").startswith("en-")).select("alert_id")
+    dismissed = alerts.filter(F.col("alert_id").startswith("es-")).select("alert_id")
     return reports.open_alerts(alerts, dismissed).select("alert_id", "message", "timestamp")
 
 

@@ -4,7 +4,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import IDF, StandardScaler, VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,19 +26,22 @@ from revlens.runtime import materialized
 MODEL_INPUTS = ["text_combined", "sentiment_label", *NUMERIC_INPUTS]
 
 
-def feature_pipeline() -> Pipeline:
+def fit_features(train: DataFrame) -> PipelineModel:
+    """Everything before the classifier, fitted on the training rows."""
+    counter = tokens.vectorizer(
+        tokens.with_bigrams(train), "bigrams", "raw_features", BIGRAM_VOCABULARY, BIGRAM_MIN_DF
+    )
     return Pipeline(stages=[
         tokens.tokenizer(),
         tokens.stop_word_remover(),
         tokens.bigrams(),
-        CountVectorizer(inputCol="bigrams", outputCol="raw_features",
-                        vocabSize=BIGRAM_VOCABULARY, minDF=BIGRAM_MIN_DF),
+        counter,
         IDF(inputCol="raw_features", outputCol="text_features"),
         VectorAssembler(inputCols=NUMERIC_INPUTS, outputCol="numeric_features"),
         StandardScaler(inputCol="numeric_features", outputCol="scaled_numeric",
                        withMean=True, withStd=True),
         VectorAssembler(inputCols=["text_features", "scaled_numeric"], outputCol="features"),
-    ])
+    ]).fit(train)
 
 
 def classifier() -> LogisticRegression:
@@ -100,7 +103,7 @@ def grid_search(train: DataFrame, key: str, grid: list, parallel: int = 4) -> Da
     scores = []
     for fold in range(CV_FOLDS):
         fitting = folded.filter(F.col("fold") != fold)
-        features = feature_pipeline().fit(fitting)
+        features = fit_features(fitting)
         models = _fit_all(_ready(features, fitting, "fold-train"), grid, parallel)
         held_out = _ready(features, folded.filter(F.col("fold") == fold), "fold-validation")
         rows = _fold_scores(models, held_out).select("setting", "f1_score").collect()
@@ -122,13 +125,14 @@ def grid_search(train: DataFrame, key: str, grid: list, parallel: int = 4) -> Da
 def train_sentiment(prepared: DataFrame, key: str, grid: list | None = None, parallel: int = 4):
     """Best model of the grid refitted on the training part, and its validation metrics.
 
-    The test part stays untouched.
+    The test part stays untouched. `prepared` should be stored: every feature fit reads
+    its texts again, and filtering the parts out costs only a hash per row.
     """
     parts = with_split(prepared.select(key, *MODEL_INPUTS), key)
-    train = materialized(parts.filter("split = 'train'").drop("split"), "sentiment-train")
+    train = parts.filter("split = 'train'").drop("split")
     grid = grid or full_grid()
     best = grid_search(train, key, grid, parallel).first() if len(grid) > 1 else {"setting": 0}
-    features = feature_pipeline().fit(train)
+    features = fit_features(train)
     model = classifier().fit(_ready(features, train, "sentiment-fit"), grid[best["setting"]])
     pipeline = PipelineModel(stages=[*features.stages, model])
     predictions = pipeline.transform(parts.filter("split = 'validation'"))

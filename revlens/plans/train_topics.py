@@ -1,8 +1,8 @@
 """Topic model: word counts into online LDA, and what each topic means."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 
 from revlens.fixed_values import (
@@ -19,13 +19,15 @@ from revlens.operators.topics import theme_table, topic_interpretations, topic_t
 from revlens.runtime import materialized
 
 
-def word_pipeline() -> Pipeline:
-    return Pipeline(stages=[
-        tokens.topic_tokenizer(),
-        tokens.topic_stop_word_remover(),
-        CountVectorizer(inputCol="filtered", outputCol="features", vocabSize=TOPIC_VOCABULARY,
-                        minDF=TOPIC_MIN_DF, maxDF=TOPIC_MAX_DF),
-    ])
+def word_counter(texts: DataFrame) -> PipelineModel:
+    """Topic words of a text, and how often each vocabulary word is among them."""
+    counter = tokens.vectorizer(
+        tokens.with_topic_words(texts), "filtered", "features",
+        TOPIC_VOCABULARY, TOPIC_MIN_DF, TOPIC_MAX_DF,
+    )
+    return PipelineModel(
+        stages=[tokens.topic_tokenizer(), tokens.topic_stop_word_remover(), counter]
+    )
 
 
 def train_topics(prepared: DataFrame):
@@ -34,9 +36,10 @@ def train_topics(prepared: DataFrame):
     Lower perplexity is better, so a larger score is better. LDA passes over the
     word counts once per iteration; they are written once, and cached from there.
     """
-    words = word_pipeline().fit(prepared.select("text_combined"))
-    counted = words.transform(prepared.select("text_combined")).select("features")
-    counts = materialized(counted, "topic-counts").persist()
+    texts = prepared.select("text_combined")
+    words = word_counter(texts)
+    counted = words.transform(texts).select("features")
+    counts = materialized(counted, "topic-counts").persist(StorageLevel.MEMORY_AND_DISK)
     lda = LDA(featuresCol="features", k=TOPIC_COUNT, maxIter=TOPIC_MAX_ITER, optimizer="online",
               seed=SEED).fit(counts)
     score = -abs(lda.logPerplexity(counts))

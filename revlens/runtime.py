@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SMALLEST_PARTITION = 4 * 1024 * 1024
+_written = []
 
 
 def local_session(cores="*", shuffle_partitions=8, **settings) -> SparkSession:
@@ -60,6 +61,7 @@ def materialized(df: DataFrame, label: str, merge_small: bool = False) -> DataFr
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    _written.append(path)
     plain = T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in df.schema])
     df.write.parquet(path)
     stored = spark.read.schema(plain).parquet(path)
@@ -68,6 +70,13 @@ def materialized(df: DataFrame, label: str, merge_small: bool = False) -> DataFr
     return stored.coalesce(math.ceil((_stored_bytes(spark, path) + 1) / SMALLEST_PARTITION))
 
 
+def release_materialized(spark: SparkSession) -> None:
+    """Delete what `materialized` has written in this process, once a job is done with it."""
+    while _written:
+        file_system, path = _file_system(spark, _written.pop())
+        file_system.delete(path, True)
+
+
 def small_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A few literal rows. Unlike rows shipped from Python, Spark knows how small they are,
     so it broadcasts them where they are joined."""

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revlens.runtime import path_exists
+from revlens.runtime import materialized, path_exists
 from revlens.schemas import TRAINING_FILE
 
 # CSV conventions. Texts hold quotes, line breaks and outer blanks.
@@ -47,12 +47,15 @@ def numbered(staged: DataFrame, name: str = "row_number") -> DataFrame:
     """Consecutive numbers from 1 in the order of `row_key`, without sorting.
 
     The upper bits of the key are the partition that wrote the row, the lower 33
-    its place there. Only the row counts per partition are summed up in order.
+    its place there. Only the row counts per partition are summed up in order. They
+    are written first: Spark then knows how few they are and does not shuffle the
+    reviews to join them.
     """
     part = F.shiftright("row_key", 33)
     counts = staged.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    offsets = materialized(counts.select("_part", start), "offsets")
     place = F.col("row_key").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         staged.withColumn("_part", part)

@@ -351,3 +351,10 @@ def test_alert_only_strictly_above_the_threshold(spark):
 def test_idf_formula(small_texts):
     weights = tokens.idf_weights(small_texts, tokens.vocabulary(small_texts, "terms", 1, 1))
     assert weights.first().idf == pytest.approx(math.log((5 + 1) / (2 + 1)))
+
+
+def test_vectorizer_order_is_total(small_texts):
+    model = tokens.vectorizer(small_texts, "terms", "v", 2, 1)
+    assert model.vocabulary == ["c", "a"]
+    counts = model.transform(small_texts).orderBy("id").collect()
+    assert [list(r.v.toArray()) for r in counts] == [[0, 2], [1, 0], [3, 0], [0, 1], [0, 0]]

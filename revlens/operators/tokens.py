@@ -60,8 +60,14 @@ def with_topic_words(prepared: DataFrame) -> DataFrame:
     return topic_stop_word_remover().transform(topic_tokenizer().transform(prepared))
 
 
-def term_statistics(documents: DataFrame, terms: str, by: tuple = ()) -> DataFrame:
-    """Per term: occurrences and documents, optionally within the groups `by`.
+def term_counts(documents: DataFrame, terms: str, *by) -> DataFrame:
+    """Occurrences of each term, within the groups `by`."""
+    rows = documents.select(*by, F.explode(terms).alias("term"))
+    return rows.groupBy(*by, "term").agg(F.count("*").alias("term_count"))
+
+
+def term_statistics(documents: DataFrame, terms: str) -> DataFrame:
+    """Per term: occurrences and documents.
 
     Each document sends one row per occurrence and one per distinct term, so one
     aggregation, combined on the map side, yields both counts. Counting distinct
@@ -74,8 +80,8 @@ def term_statistics(documents: DataFrame, terms: str, by: tuple = ()) -> DataFra
         F.array_distinct(terms),
         lambda t: F.struct(t.alias("term"), F.lit(0).alias("used"), F.lit(1).alias("seen")),
     )
-    rows = documents.select(*by, F.inline(F.concat(occurrence, presence)))
-    return rows.groupBy(*by, "term").agg(
+    rows = documents.select(F.inline(F.concat(occurrence, presence)))
+    return rows.groupBy("term").agg(
         F.sum("used").alias("term_count"), F.sum("seen").alias("doc_count")
     )
 

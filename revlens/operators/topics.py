@@ -33,14 +33,14 @@ def topic_terms(described: DataFrame, words: DataFrame) -> DataFrame:
     return listed.join(words, "term_index").select("topic", "rank", "word", "weight")
 
 
-def strongest_terms(statistics: DataFrame, topic: str, count: int = TOPIC_TERMS) -> DataFrame:
+def strongest_terms(counts: DataFrame, topic: str, count: int = TOPIC_TERMS) -> DataFrame:
     """The most used terms of each group, as topic, rank, word, weight.
 
     The window ranks within a topic in two steps, first per slice of its terms, so
     one topic with most of the terms is not sorted by a single task.
     """
     order = [F.desc("term_count"), F.asc("term")]
-    sliced = statistics.withColumn("_slice", F.pmod(F.xxhash64("term"), F.lit(64)))
+    sliced = counts.withColumn("_slice", F.pmod(F.xxhash64("term"), F.lit(64)))
     within = Window.partitionBy(topic, "_slice").orderBy(*order)
     first = sliced.withColumn("rank", F.row_number().over(within)).filter(F.col("rank") <= count)
     overall = Window.partitionBy(topic).orderBy(*order)

@@ -487,8 +487,8 @@ def kmeans_assign(spark, sf_dir) -> DataFrame:
 def _topic_terms_by_count(spark, sf_dir) -> DataFrame:
     """The most used words of each rule-based topic."""
     rows = tokens.with_topic_words(sample.annotated(spark, sf_dir))
-    statistics = tokens.term_statistics(rows, "filtered", by=("topic_pred",))
-    return topics.strongest_terms(statistics, "topic_pred")
+    counts = tokens.term_counts(rows, "filtered", "topic_pred")
+    return topics.strongest_terms(counts, "topic_pred")
 
 
 def _themes(spark, sf_dir) -> DataFrame:
@@ -496,8 +496,8 @@ def _themes(spark, sf_dir) -> DataFrame:
     turns = sample.table(spark, sf_dir, "conversations").select(
         "role", cleaned(F.col("text")).alias("text_combined")
     )
-    statistics = tokens.term_statistics(tokens.with_topic_words(turns), "filtered", by=("role",))
-    learned = topics.strongest_terms(statistics, "role", LEARNED_THEME_TERMS)
+    counts = tokens.term_counts(tokens.with_topic_words(turns), "filtered", "role")
+    learned = topics.strongest_terms(counts, "role", LEARNED_THEME_TERMS)
     built_in = topics.theme_table(spark)
     later = F.ascii("topic") + 100
     return built_in.unionByName(learned.select(

@@ -703,7 +703,7 @@ def windowed_anomaly_stream(spark, sf_dir) -> DataFrame:
     """Hourly shares from a stream over the scored table: windows the watermark has passed."""
     folder = fresh_path(spark, "stream")
     stored = sample.documents(spark, sf_dir).withColumn("source_file", F.lit("sample"))
-    tables.replace_partitions(stored, f"{folder}/scored", tables.SCORED_KEYS)
+    tables.replace_partitions(stored, f"{folder}/scored", tables.SCORED_KEYS, rebalance=True)
     running = windows.start_window_shares(
         windows.scored_stream(spark, f"{folder}/scored"), f"{folder}/windows",
         f"{folder}/checkpoint", trigger={"availableNow": True}, length="1 hour",

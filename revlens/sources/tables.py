@@ -18,11 +18,17 @@ SCORED_TABLE = _keyed(SCORED_DOCUMENT, SCORED_KEYS)
 SHARE_TABLE = _keyed(BATCH_SHARE, ["batch_key"])
 
 
-def replace_partitions(rows: DataFrame, path: str, keys: list) -> None:
-    """Overwrite only the partitions that `rows` has, so writing a batch again changes nothing."""
+def replace_partitions(rows: DataFrame, path: str, keys: list, rebalance: bool = False) -> None:
+    """Overwrite only the partitions that `rows` has, so writing a batch again changes nothing.
+
+    Rows that come from files lie together by file already and are written as they lie.
+    Rows that were shuffled by something else need `rebalance`, or every task would
+    write a small file into every partition.
+    """
+    if rebalance:
+        rows = rows.hint("rebalance", *keys)
     (
-        rows.hint("rebalance", *keys)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)

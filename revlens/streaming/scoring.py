@@ -9,13 +9,17 @@ from revlens.sources.messages import decode
 from revlens.sources.tables import SCORED_KEYS, read_scored, replace_partitions
 
 
-def score_batch(scorer, scored_path: str, shares_path: str, batch: DataFrame, batch_id: int) -> list:
+def score_batch(
+    scorer, scored_path: str, shares_path: str, batch: DataFrame, batch_id: int,
+    shuffled: bool = False,
+) -> list:
     """Score one micro-batch, write it once, and update the negative shares from what was written.
 
     The sink is keyed by replay batch and file (by trigger for a message queue), so a
     batch that is run again replaces its own rows. Shares are computed over the whole
     batch key as stored, even if its files arrived in several triggers. Returns the
-    batch keys it has seen, at most one per file of the trigger.
+    batch keys it has seen, at most one per file of the trigger. `shuffled` tells that
+    the rows no longer lie by file.
     """
     spark = batch.sparkSession
     for key in SCORED_KEYS:
@@ -25,7 +29,7 @@ def score_batch(scorer, scored_path: str, shares_path: str, batch: DataFrame, ba
     if not keys:
         return keys
     documents = scorer.documents(decode(batch), keep=tuple(SCORED_KEYS))
-    replace_partitions(documents, scored_path, SCORED_KEYS)
+    replace_partitions(documents, scored_path, SCORED_KEYS, rebalance=shuffled)
     if path_exists(spark, scored_path):
         stored = read_scored(spark, scored_path).filter(F.col("batch_key").isin(keys))
         now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -48,7 +52,7 @@ def start_scoring(
         # State must be read and written once per batch, so the result is kept.
         batch = batch.persist()
         try:
-            return score_batch(scorer, scored_path, shares_path, batch, batch_id)
+            return score_batch(scorer, scored_path, shares_path, batch, batch_id, shuffled=True)
         finally:
             batch.unpersist()
 

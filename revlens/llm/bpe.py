@@ -104,18 +104,23 @@ class Encoder:
             rank_at[taken] = None
             after[i] = end
             before[end] = i
-            left = before[i]
             # the two pairs that the new part makes
-            for place, found in (
-                (i, rank_of(piece[i:after[end]]) if end < size else None),
-                (left, rank_of(piece[left:end]) if left >= 0 else None),
-            ):
-                rank_at[place] = found
+            found = rank_at[i] = rank_of(piece[i:after[end]]) if end < size else None
+            if found is not None:
+                if found in buckets:
+                    heappush(buckets[found], i)
+                else:
+                    buckets[found] = [i]
+                    low[found >> WORD_BITS] |= 1 << (found & WORD_MASK)
+                    top |= 1 << (found >> WORD_BITS)
+            if i:
+                left = before[i]
+                found = rank_at[left] = rank_of(piece[left:end])
                 if found is not None:
                     if found in buckets:
-                        heappush(buckets[found], place)
+                        heappush(buckets[found], left)
                     else:
-                        buckets[found] = [place]
+                        buckets[found] = [left]
                         low[found >> WORD_BITS] |= 1 << (found & WORD_MASK)
                         top |= 1 << (found >> WORD_BITS)
         ids, i = [], 0

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 WORD_BITS = 8
 WORD_MASK = (1 << WORD_BITS) - 1
 # Separators of information that one regular-expression library counts as white space and

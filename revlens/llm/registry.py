@@ -5,9 +5,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, simhash
+from revlens.llm import bpe, packing, quality, secrets, simhash
 from revlens.llm.common import hex64, read, texts
 
+# The end of text that the packing contract names.
+END_ID = 2
+
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,9 +29,49 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.packed(read(spark, sf_dir, "documents"), path, END_ID)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = texts(read(spark, sf_dir, "documents")).select(
+        "doc_id", secrets.scan(F.col("text")).alias("found"))
+
+    def number(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(
+            spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    base = F.filter("found", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id", number("assign").alias("n_assign"), number("access").alias("n_access"),
+        number("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_simhash": op4_simhash,
+    "op6_packing": op6_packing,
+    "op9_secrets": op9_secrets,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {}

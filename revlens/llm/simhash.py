@@ -191,7 +191,8 @@ def near_duplicates(
     of at most `most_bits` bits reach.
 
     Null and empty texts have fingerprint zero and link like any other. Equal fingerprints are one
-    node, however many documents share it. Repeated rows each give a row.
+    node, however many documents share it. Repeated rows each give a row. Documents without id
+    neither link nor change a component.
     """
     prints = materialized(
         texts(docs).select("doc_id", fingerprint(F.col("text"), words).alias("fp")),
@@ -199,7 +200,7 @@ def near_duplicates(
     )
     distinct = materialized(
         prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints")
-    labels = smallest_reachable(links(distinct, most_bits))
+    labels = smallest_reachable(links(distinct.filter("id is not null"), most_bits))
     components = distinct.join(labels, "id", "left").select(
         "fp", F.coalesce("component", "id").alias("component_id"))
     return prints.join(components, "fp").select("doc_id", "fp", "component_id")

@@ -5,8 +5,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, packing, quality, secrets, simhash
+from revlens.llm import bpe, html, packing, quality, secrets, simhash, warc
 from revlens.llm.common import hex64, read, texts
+from revlens.runtime import fresh_path
 
 # The end of text that the packing contract names.
 END_ID = 2
@@ -24,6 +25,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("long").alias("page_id"), html.visible_text(F.col("html")).alias("text"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64("fp").alias("fingerprint"), "component_id")
@@ -38,6 +44,23 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write(warc.page_records(read(spark, sf_dir, "pages")), path)
+    responses = warc.load(spark, path).filter("record_type = 'response'").select(
+        warc.page_of("record_id").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), "record_type",
+        F.lit(None).cast("long").alias("refers_to"),
+    )
+    revisits = warc.load(spark, path, payload="false").filter("record_type = 'revisit'").select(
+        warc.page_of("record_id").alias("page_id"), "payload_bytes",
+        F.col("payload_sha1").alias("payload_digest"), "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+    )
+    return responses.unionByName(revisits)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = texts(read(spark, sf_dir, "documents")).select(
         "doc_id", secrets.scan(F.col("text")).alias("found"))
@@ -68,10 +91,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_html": op2_html,
     "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
+    "op7_warc": op7_warc,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {
+    "op7_warc": """
+        with pages_sha as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes,
+                   sha1(coalesce(html, '')) as payload_digest
+            from pages),
+        firsts as (
+            select *, case when payload_bytes >= 1000 then
+                       max(page_id) over (partition by payload_digest, payload_bytes)
+                       else page_id end as response
+            from pages_sha)
+        select page_id, payload_bytes, payload_digest,
+               case when page_id = response then 'response' else 'revisit' end as record_type,
+               case when page_id <> response then response end as refers_to
+        from firsts""",
+}

@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, html, packing, quality, secrets, simhash, warc
+from revlens.llm import bpe, html, neighbours, packing, quality, secrets, simhash, warc
 from revlens.llm.common import hex64, read, texts
 from revlens.runtime import fresh_path
 
@@ -30,6 +30,10 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), html.visible_text(F.col("html")).alias("text"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64("fp").alias("fingerprint"), "component_id")
@@ -92,6 +96,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_html": op2_html,
+    "op3_neighbours": op3_neighbours,
     "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,

@@ -27,7 +27,7 @@ from revlens.llm.common import texts
 
 CAPACITY = 4096
 BIN_BYTES = 4_000_000
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 # Ids of a bin's sequences follow each other; a bin never has this many.
 BIN_SEQUENCES = 1 << 24
 PIECES = (
@@ -37,6 +37,9 @@ PIECES = (
 # Below this, normal forms and lower case work character by character.
 _SIMPLE = "ɐ"
 _MARKS = ".,"
+# The sign that stands for each byte: itself if it prints, else the next one after 255.
+_UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_BYTE_SIGNS = {b: 256 + n for n, b in enumerate(_UNPRINTED)}
 # Not white space to the tokenizer.
 _UNCLEAR = re.compile("[\x1c-\x1f]")
 
@@ -44,8 +47,8 @@ _UNCLEAR = re.compile("[\x1c-\x1f]")
 class WordIds:
     """Ids of texts by a tokenizer whose pieces never span white space.
 
-    Blank-separated words are looked up; new ones go to the tokenizer, without the one
-    mark after their letters, which it splits off anyway. Texts with characters whose normal form
+    Blank-separated words are looked up. A new word of letters, with or without a mark that is split
+    off anyway, goes straight to the tokenizer's merges; others go through its whole chain. Texts with characters whose normal form
     may depend on others, with separators of information, or with the literal name of a special token, go to it whole.
     """
 
@@ -53,21 +56,26 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.special = [
             t.content for t in self.tokenizer.get_added_tokens_decoder().values()
         ]
         self.words: dict[str, bytes] = {}
+        self.marks = {mark: self._ask(mark) for mark in _MARKS}
 
     def _ask(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
+    def _letters(self, word: str) -> bytes:
+        seen = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.merges.tokenize(seen)])
+
     def _word(self, word: str) -> bytes:
-        stem = word[:-1]
-        if word[-1] in _MARKS and stem.isalpha():
-            ids = self.words.get(stem) or self._ask(stem)
-            self.words[stem] = ids
-            return ids + (self.words.get(word[-1]) or self._ask(word[-1]))
+        if word.isalpha():
+            return self._letters(word)
+        if word[-1] in _MARKS and word[:-1].isalpha():
+            return self._letters(word[:-1]) + self.marks[word[-1]]
         return self._ask(word)
 
     def ids(self, text: str | None) -> bytes:

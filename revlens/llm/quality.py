@@ -112,6 +112,20 @@ def _shares(measured: DataFrame) -> DataFrame:
     })
 
 
+def without_rejected(docs: DataFrame, labels: DataFrame, risk: float = RISK,
+                     error: float = ERROR) -> DataFrame:
+    """The documents that `judged` keeps, with their own columns. Texts are measured again
+    rather than shuffled to meet a verdict."""
+    chosen = cutoffs(materialized(measured_documents(docs), "measures"), labels, risk, error)
+    stratum = F.coalesce(F.col("_docs.lang"), F.lit("")).alias("stratum")
+    measured = _shares(
+        docs.select(F.struct(*docs.columns).alias("_docs"))
+        .withColumn("_m", measures(F.coalesce(F.col("_docs.text"), F.lit(""))))
+        .select("_docs", stratum, "_m.*"))
+    kept = ~F.col("base_failed") & ~rejected_by(chosen)
+    return measured.filter(kept).select("_docs.*")
+
+
 def measured_documents(docs: DataFrame) -> DataFrame:
     """doc_id, stratum, the measures and their shares, base_failed."""
     rows = texts(docs, F.coalesce(F.col("lang"), F.lit("")).alias("stratum"))

@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, html, neighbours, packing, quality, secrets, simhash, warc
+from revlens.llm import bpe, html, lines, neighbours, packing, quality, secrets, simhash, warc
 from revlens.llm.common import hex64, read, texts
 from revlens.runtime import fresh_path
 
@@ -39,6 +39,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64("fp").alias("fingerprint"), "component_id")
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return lines.without_repeated_lines(docs).select(
+        "doc_id", "text", F.col("line_counts.lines").alias("n_lines"),
+        F.col("line_counts.dropped").alias("n_dropped"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.packed(read(spark, sf_dir, "documents"), path, END_ID)
@@ -98,6 +106,7 @@ QUERIES = {
     "op2_html": op2_html,
     "op3_neighbours": op3_neighbours,
     "op4_simhash": op4_simhash,
+    "op5_lines": op5_lines,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
     "op9_secrets": op9_secrets,
@@ -105,6 +114,49 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_lines": r"""
+        with place as (
+            select doc_id, i - 1 as line_no, string_split(text, chr(10))[i] as line
+            from (select doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i
+                  from documents)),
+        long as (
+            select doc_id, line_no, line, w, len(w) as n, array_to_string(w, ' ') as norm
+            from (select *, list_filter(string_split_regex(line, '[\x09-\x0D\x20]+'),
+                                        lambda x: x <> '') as w from place)
+            where len(w) >= 5),
+        firsts as (
+            select norm, any_value(w) as w, any_value(n) as n,
+                   min((doc_id, line_no)) as first
+            from long group by norm),
+        deletions as (
+            select norm, first, n - 1 as m, i as slot,
+                   md5(array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ')) as variant
+            from (select *, unnest(range(1, n + 1)) as i from firsts)),
+        wholes as (select norm, first, n as m, md5(norm) as variant from firsts),
+        edited as (
+            select norm from (
+                select norm, first, min(first) over (partition by variant, m, slot) as least
+                from deletions) where least < first
+            union
+            select d.norm from deletions d join wholes w using (variant, m) where w.first < d.first
+            union
+            select w.norm from deletions d join wholes w using (variant, m) where d.first < w.first),
+        dropped as (
+            select l.doc_id, l.line_no
+            from long l join firsts f using (norm) left join edited e using (norm)
+            where e.norm is not null or f.first <> (l.doc_id, l.line_no)),
+        kept as (
+            select p.doc_id, string_agg(p.line, chr(10) order by p.line_no) as text
+            from place p anti join dropped d on d.doc_id = p.doc_id and d.line_no = p.line_no
+            group by p.doc_id),
+        counts as (
+            select p.doc_id, count(*) as n_lines, count(d.line_no) as n_dropped
+            from place p left join dropped d on d.doc_id = p.doc_id and d.line_no = p.line_no
+            group by p.doc_id)
+        select o.doc_id,
+               case when o.text is null then null else coalesce(k.text, '') end as text,
+               coalesce(c.n_lines, 0) as n_lines, coalesce(c.n_dropped, 0) as n_dropped
+        from documents o left join kept k using (doc_id) left join counts c using (doc_id)""",
     "op7_warc": """
         with pages_sha as (
             select page_id, strlen(coalesce(html, '')) as payload_bytes,

@@ -204,3 +204,15 @@ def near_duplicates(
     components = distinct.join(labels, "id", "left").select(
         "fp", F.coalesce("component", "id").alias("component_id"))
     return prints.join(components, "fp").select("doc_id", "fp", "component_id")
+
+
+def without_near_duplicates(
+    docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS
+) -> DataFrame:
+    """The document with the smallest doc_id of every group, with its own columns. Rows that share
+    a doc_id are one document; documents without id stay."""
+    gone = near_duplicates(docs, words, most_bits).filter("doc_id <> component_id").select(
+        F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.filter("doc_id is not null").join(
+        gone, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id is null"))

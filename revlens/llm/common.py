@@ -8,7 +8,8 @@ from revlens.runtime import materialized
 __all__ = ["materialized", "read", "texts", "hex64"]
 
 
-BATCH_TEXTS = 500
+BATCH_TEXTS = 2000
+BATCH_BYTES = 16 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,8 +20,10 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text (null as empty) and the named columns; any others are left behind,
     so that their names cannot clash with what an operator adds.
 
-    Texts may be long, so Python workers get a few hundred at a time."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_TEXTS)
+    Texts may be long, so Python workers get a batch of bounded size at a time."""
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_TEXTS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),

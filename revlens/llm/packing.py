@@ -14,12 +14,14 @@ so a bin's size does not grow with the input, and a piece's bin does not depend
 """
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,21 +29,20 @@ from revlens.llm.common import texts
 
 CAPACITY = 4096
 BIN_BYTES = 4_000_000
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 # Ids of a bin's sequences follow each other; a bin never has this many.
 BIN_SEQUENCES = 1 << 24
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
     "sequence_id long, offset long"
 )
-# Below this, normal forms and lower case work character by character.
-_SIMPLE = "ɐ"
 _MARKS = ".,"
 # The sign that stands for each byte: itself if it prints, else the next one after 255.
 _UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 _BYTE_SIGNS = {b: 256 + n for n, b in enumerate(_UNPRINTED)}
-# Not white space to the tokenizer.
-_UNCLEAR = re.compile("[\x1c-\x1f]")
+# Characters whose normal form or lower case may depend on others, and separators of information,
+# which are white space to one library and not to another.
+_INTRICATE = "[\x1c-\x1f\u0250-\U0010ffff]"
 
 
 class WordIds:
@@ -57,10 +58,10 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
-        self.special = [
-            t.content for t in self.tokenizer.get_added_tokens_decoder().values()
-        ]
-        self.words: dict[str, bytes] = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.intricate = re.compile("|".join([_INTRICATE, *map(re.escape, special)]))
+        self.words: dict[str, bytes] = {}  # recent, and those before them
+        self.older: dict[str, bytes] = {}
         self.marks = {mark: self._ask(mark) for mark in _MARKS}
 
     def _ask(self, text: str) -> bytes:
@@ -69,30 +70,48 @@ class WordIds:
 
     def _letters(self, word: str) -> bytes:
         seen = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.merges.tokenize(seen)])
-
-    def _word(self, word: str) -> bytes:
-        if word.isalpha():
-            return self._letters(word)
-        if word[-1] in _MARKS and word[:-1].isalpha():
-            return self._letters(word[:-1]) + self.marks[word[-1]]
-        return self._ask(word)
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if max(text) >= _SIMPLE or _UNCLEAR.search(text) or any(name in text for name in self.special):
-            return self._ask(text)
-        words = self.words
-        found = []
-        for word in text.lower().split():
-            ids = words.get(word)
-            if ids is None:
-                if len(words) >= REMEMBERED:
-                    words.clear()
-                ids = words[word] = self._word(word)
-            found.append(ids)
-        return b"".join(found)
+        ids = [t.id for t in self.merges.tokenize(seen)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _new(self, word: str) -> bytes:
+        """Ids of a word that is not among the recent ones."""
+        ids = self.older.pop(word, None)
+        if ids is None:
+            stem = word[:-1]
+            if word.isalpha():
+                ids = self._letters(word)
+            elif word[-1] in _MARKS and stem.isalpha():
+                ids = (self.words.get(stem) or self._new(stem)) + self.marks[word[-1]]
+            else:
+                ids = self._ask(word)
+        if len(self.words) >= REMEMBERED:
+            self.older, self.words = self.words, {}
+        self.words[word] = ids
+        return ids
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text. Arrow splits the texts and finds the batch's different words, so
+        that Python sees each of these once."""
+        simple = [
+            "" if not text or self.intricate.search(text) else text.lower() for text in texts]
+        split = pc.utf8_split_whitespace(pa.array(simple, pa.large_string()))
+        places = pc.dictionary_encode(split.flatten())
+        found = [
+            word and (self.words.get(word) or self._new(word)) or b""
+            for word in places.dictionary.to_pylist()
+        ]
+        lengths = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+        of_word = places.indices.to_numpy()
+        taken = lengths[of_word]
+        ends = np.concatenate(([0], np.cumsum(taken)))
+        source = np.repeat(starts[of_word] - ends[:-1], taken) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[source]
+        bounds = ends[split.offsets.to_numpy()]
+        return [
+            self._ask(text) if text and not plain else ids[a:b].tobytes()
+            for text, plain, a, b in zip(texts, simple, bounds[:-1], bounds[1:])
+        ]
 
 
 @cache
@@ -111,11 +130,10 @@ def cut(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> Da
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ids_of = word_ids(path).ids
         for batch in batches:
-            rows = []
-            for text in batch:
-                ids = ids_of(text) + end
-                rows.append([ids[at:at + width] for at in range(0, len(ids), width)])
-            yield pd.Series(rows, dtype=object)
+            rows = [ids + end for ids in ids_of(batch.tolist())]
+            yield pd.Series([
+                [ids[at:at + width] for at in range(0, len(ids), width)] for ids in rows
+            ], dtype=object)
 
     ids_length = (F.octet_length("ids") / 4).cast("long")
     last = F.octet_length(F.element_at("pieces", -1)) / 4

@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, html, lines, neighbours, packing, quality, secrets, simhash, warc
+from revlens.llm import bpe, html, lines, neighbours, packing, quality, secrets, simhash, suffixes, warc
 from revlens.llm.common import hex64, read, texts
 from revlens.runtime import fresh_path
 
@@ -73,6 +73,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.unionByName(revisits)
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = texts(read(spark, sf_dir, "documents")).select(
         "doc_id", secrets.scan(F.col("text")).alias("found"))
@@ -109,6 +114,7 @@ QUERIES = {
     "op5_lines": op5_lines,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
+    "op8_suffixes": op8_suffixes,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }

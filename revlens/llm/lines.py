@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from revlens.llm.common import materialized
 
 MIN_WORDS = 5
-BLOCK = 128
+BLOCK = 16
 _SEPARATORS = "\t\n\x0b\x0c\r "
 _LAST = str(1 << 63)  # documents without id
 _LINES_OF_DOCUMENT = 1 << 31
@@ -39,7 +39,12 @@ def _doc() -> Column:
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(_SEPARATORS)), "[\\x09-\\x0D\\x20]+")
+    """Most lines have single blanks only; for these a split without regular expression will do."""
+    trimmed = F.btrim(line, F.lit(_SEPARATORS))
+    other = F.contains(line, F.lit("  "))
+    for separator in _SEPARATORS.replace(" ", ""):
+        other |= F.contains(line, F.lit(separator))
+    return F.when(other, F.split(trimmed, "[\\x09-\\x0D\\x20]+")).otherwise(F.split(trimmed, " "))
 
 
 def _identity(words: Column) -> tuple[Column, Column]:
@@ -69,15 +74,19 @@ def _half_keys() -> list[Column]:
     return keys
 
 
-def _distinct_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """One row per different line: h1, h2, its first place, how often it occurs, half keys."""
+def _named_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """Each line's place, doc and line_no, its identity h1, h2, and its half keys."""
     h1, h2 = _identity(F.col("words"))
     a, b, c, d = _half_keys()
     even = F.col("n") % 2 == 0  # odd lengths have one half only
-    rows = _long_lines(docs, min_words).select(
-        "place", h1.alias("h1"), h2.alias("h2"), a.alias("k1"), b.alias("k2"),
+    return _long_lines(docs, min_words).select(
+        "place", "doc", "line_no", h1.alias("h1"), h2.alias("h2"), a.alias("k1"), b.alias("k2"),
         F.when(even, c).alias("k3"), F.when(even, d).alias("k4"))
-    return rows.groupBy("h1", "h2", "k1", "k2", "k3", "k4").agg(
+
+
+def _distinct_lines(named: DataFrame) -> DataFrame:
+    """One row per different line: h1, h2, its first place, how often it occurs, half keys."""
+    return named.groupBy("h1", "h2", "k1", "k2", "k3", "k4").agg(
         F.min("place").alias("place"), F.count("*").alias("times"))
 
 
@@ -205,16 +214,17 @@ def _edited(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their texts cut to the kept lines, and line_counts (struct of lines
     and dropped) of each."""
-    distinct = materialized(_distinct_lines(docs, min_words), "distinct-lines")
+    named = materialized(_named_lines(docs, min_words), "named-lines")
+    distinct = materialized(_distinct_lines(named), "distinct-lines")
     edited = _edited(docs, distinct).withColumn("edited", F.lit(True))
-    decided = (
+    # stored, so that the join below can split a line that many places share
+    decided = materialized(
         distinct.select("h1", "h2", F.col("place").alias("first"), "times")
-        .join(edited, ["h1", "h2"], "left").filter("times > 1 or edited").drop("times")
+        .join(edited, ["h1", "h2"], "left").filter("times > 1 or edited").drop("times"),
+        "decided-lines",
     )
-    h1, h2 = _identity(F.col("words"))
     dropped = (
-        _long_lines(docs, min_words).select("doc", "line_no", "place", h1.alias("h1"), h2.alias("h2"))
-        .join(decided, ["h1", "h2"])
+        named.select("doc", "line_no", "place", "h1", "h2").join(decided, ["h1", "h2"])
         .filter(F.col("edited").eqNullSafe(True) | (F.col("place") != F.col("first")))
         .groupBy("doc").agg(F.collect_set(F.struct("line_no", "h1")).alias("_dropped"))
     )

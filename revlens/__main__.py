@@ -3,8 +3,9 @@
     train   --csv PATH --root PATH                 train all models on labelled reviews
     replay  --csv PATH --staged PATH (--out PATH | --servers H:P --topic T)
     score   --root PATH (--replay PATH | --servers H:P --topic T) [--once] [--dedup "1 hour"]
-    windows --root PATH [--once]                   negative share per day of the scored table
-    report  --root PATH --name NAME                print one report
+    windows --root PATH [--length "1 day"]         negative share per window of all counted reviews
+    report  --root PATH --name NAME [--out PATH]   write a whole report; without --out, preview it
+            [--value TOPIC_OR_SEGMENT] [--dismissed PATH]
 """
 
 import argparse
@@ -29,11 +30,13 @@ EVALUATION_REPORTS = {
     "latest_evaluation": reports.current_evaluation, "training_history": reports.training_history,
 }
 
+DRILLDOWNS = {
+    "topic_drilldown": reports.topic_drilldown, "segment_drilldown": reports.segment_drilldown,
+}
+
 
 def train(spark, args):
-    metrics = train_from_csv(spark, args.csv, args.root, multiline=not args.single_line)
-    release_materialized(spark)
-    print(metrics)
+    print(train_from_csv(spark, args.csv, args.root, multiline=not args.single_line))
 
 
 def replay(spark, args):
@@ -55,18 +58,18 @@ def score(spark, args):
     if args.replay:
         stream = messages.file_stream(spark, args.replay, args.files_per_trigger)
     else:
-        stream = messages.kafka_stream(spark, args.servers, args.topic).select("value")
+        stream = messages.kafka_stream(
+            spark, args.servers, args.topic, most_per_trigger=args.offsets_per_trigger
+        ).select("value")
     scoring.start_scoring(
-        stream, ReviewScorer.load(spark, args.root), f"{args.root}/scored", f"{args.root}/shares",
+        stream, ReviewScorer.load(spark, args.root), f"{args.root}/scored", f"{args.root}/counts",
         f"{args.root}/checkpoints/score", _trigger(args), args.dedup,
     ).awaitTermination()
 
 
 def window_shares(spark, args):
-    windows.start_window_shares(
-        windows.scored_stream(spark, f"{args.root}/scored"), f"{args.root}/window_shares",
-        f"{args.root}/checkpoints/windows", _trigger(args),
-    ).awaitTermination()
+    shares = windows.window_shares(tables.read_counts(spark, f"{args.root}/counts"), args.length)
+    shares.write.mode("overwrite").parquet(f"{args.root}/window_shares")
 
 
 def report(spark, args):
@@ -76,9 +79,20 @@ def report(spark, args):
     elif args.name in EVALUATION_REPORTS:
         evaluations = spark.read.schema(EVALUATION).parquet(f"{args.root}/evaluations")
         result = EVALUATION_REPORTS[args.name](evaluations)
+    elif args.name in DRILLDOWNS:
+        scored = documents.reportable(tables.read_scored(spark, f"{args.root}/scored"))
+        result = DRILLDOWNS[args.name](scored, args.value)
+    else:
+        alerts = tables.read_alerts(spark, f"{args.root}/counts")
+        if args.name == "open_alerts":
+            dismissed = spark.read.schema("alert_id string").parquet(args.dismissed)
+            result = reports.open_alerts(alerts, dismissed)
+        else:
+            result = reports.recent_alerts(alerts)
+    if args.out:
+        result.write.mode("overwrite").parquet(args.out)
     else:
-        result = reports.recent_alerts(tables.read_alerts(spark, f"{args.root}/shares"))
-    result.show(args.rows, truncate=False)
+        result.show(args.preview, truncate=False)
 
 
 def parser():
@@ -107,18 +121,26 @@ def parser():
     for added in (replays, scores):
         added.add_argument("--servers")
         added.add_argument("--topic")
-    for added in (scores, windowed):
-        added.add_argument("--once", action="store_true")
-        added.add_argument("--every", default="10 seconds")
-    names = [*REVIEW_REPORTS, *EVALUATION_REPORTS, "recent_alerts"]
+    scores.add_argument("--once", action="store_true")
+    scores.add_argument("--every", default="10 seconds")
+    scores.add_argument("--offsets-per-trigger", type=int, default=1_000_000)
+    windowed.add_argument("--length", default="1 day")
+    names = [*REVIEW_REPORTS, *EVALUATION_REPORTS, *DRILLDOWNS, "recent_alerts", "open_alerts"]
     reported.add_argument("--name", required=True, choices=names)
-    reported.add_argument("--rows", type=int, default=50)
+    reported.add_argument("--out")
+    reported.add_argument("--preview", type=int, default=50)
+    reported.add_argument("--value")
+    reported.add_argument("--dismissed")
     return top
 
 
 def main(argv=None):
     args = parser().parse_args(argv)
-    args.run(SparkSession.builder.appName("revlens").getOrCreate(), args)
+    spark = SparkSession.builder.appName("revlens").getOrCreate()
+    try:
+        args.run(spark, args)
+    finally:
+        release_materialized(spark)
 
 
 if __name__ == "__main__":

@@ -22,8 +22,15 @@ TOPIC_MAX_DF = 0.8
 TOPIC_MIN_TOKEN = 3
 TOPIC_TERMS = 10
 TOPIC_KEYWORDS = 5
+SEGMENT_INPUTS = [
+    "text_len", "sentiment_score", "review_len", "summary_len", "rate_score", "word_count",
+    "topic_0", "topic_1", "topic_2", "topic_3", "topic_4",
+]
 SEGMENT_RANGE = (2, 5)
 SEGMENT_MAX_ITER = 20
+# Partitions in which segment features lie while a model is fitted; part of the model's
+# settings, since start points are drawn partition by partition.
+SEGMENT_PARTITIONS = 8
 
 # --- Fixed values: reports and alerts ---------------------------------------
 
@@ -52,47 +59,63 @@ DEFAULT_SEGMENT_NAMES = [
 # --- Fixed values: topic themes and the keywords that vote for them ----------
 
 TOPIC_THEMES = {
-    "Delivery & Shipping": "delivery shipping arrived package delayed received courier",
-    "Price & Value": (
-        "purchase price expensive cheap cost money affordable budget deal rupees rs value penny"
-    ),
-    "Customer Service": "service support help staff call response representative care",
-    "Product Features": (
-        "battery camera screen memory color design feature specification display sound machine"
-    ),
-    "Product Quality": "quality defective durable broken damaged condition build product",
-    "General Sentiment": (
-        "excellent good bad nice best worst great awesome terrific fabulous super poor perfect"
-    ),
+    "Delivery & Shipping": [
+        "delivery", "shipping", "arrived", "package", "delayed", "received", "courier",
+    ],
+    "Price & Value": [
+        "purchase", "price", "expensive", "cheap", "cost", "money", "affordable", "budget",
+        "deal", "rupees", "rs", "value", "penny",
+    ],
+    "Customer Service": [
+        "service", "support", "help", "staff", "call", "response", "representative", "care",
+    ],
+    "Product Features": [
+        "battery", "camera", "screen", "memory", "color", "design", "feature", "specification",
+        "display", "sound", "machine",
+    ],
+    "Product Quality": [
+        "quality", "defective", "durable", "broken", "damaged", "condition", "build", "product",
+    ],
+    "General Sentiment": [
+        "excellent", "good", "bad", "nice", "best", "worst", "great", "awesome", "terrific",
+        "fabulous", "super", "poor", "perfect",
+    ],
 }
 THEME_MIN_OVERLAP = 2
 
 # --- Fixed values: words a topic may not be made of, besides English stop words
 
-TOPIC_SENTIMENT_WORDS = (
-    "good bad best worst excellent poor great terrible awesome horrible amazing awful nice "
-    "fabulous perfect wonderful mindblowing terrific super happy love hate"
-).split()
-TOPIC_DOMAIN_WORDS = (
-    "flipkart amazon really brilliant expectations disappointed wow thank thanks one also every "
-    "simply must working used use using"
-).split()
+TOPIC_SENTIMENT_WORDS = [
+    "good", "bad", "best", "worst", "excellent", "poor", "great", "terrible", "awesome",
+    "horrible", "amazing", "awful", "nice", "fabulous", "perfect", "wonderful", "mindblowing",
+    "terrific", "super", "happy", "love", "hate",
+]
+TOPIC_DOMAIN_WORDS = [
+    "flipkart", "amazon", "really", "brilliant", "expectations", "disappointed", "wow", "thank",
+    "thanks", "one", "also", "every", "simply", "must", "working", "used", "use", "using",
+]
 
 # --- Fixed values: Spark ML's default English stop words, for the SQL checks --
 
-ENGLISH_STOP_WORDS = (
-    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
-    "she her hers herself it its itself they them their theirs themselves what which who whom "
-    "this that these those am is are was were be been being have has had having do does did "
-    "doing a an the and but if or because as until while of at by for with about against between "
-    "into through during before after above below to from up down in out on off over under again "
-    "further then once here there when where why how all any both each few more most other some "
-    "such no nor not only own same so than too very s t can will just don should now i'll you'll "
-    "he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're "
-    "they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't "
-    "doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's "
-    "how's let's ought that's there's what's when's where's who's why's would"
-).split()
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours",
+    "yourself", "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself",
+    "it", "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which",
+    "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were", "be",
+    "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an",
+    "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by", "for",
+    "with", "about", "against", "between", "into", "through", "during", "before", "after",
+    "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under",
+    "again", "further", "then", "once", "here", "there", "when", "where", "why", "how", "all",
+    "any", "both", "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not",
+    "only", "own", "same", "so", "than", "too", "very", "s", "t", "can", "will", "just", "don",
+    "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll", "i'd", "you'd",
+    "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're",
+    "they're", "i've", "we've", "you've", "they've", "isn't", "aren't", "wasn't", "weren't",
+    "haven't", "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't", "wouldn't", "shan't",
+    "shouldn't", "mustn't", "can't", "couldn't", "cannot", "could", "here's", "how's", "let's",
+    "ought", "that's", "there's", "what's", "when's", "where's", "who's", "why's", "would",
+]
 
 # --- Fixed values: segment naming, first matching rule wins -------------------
 # (name, description, sentiment bound, rating bound); "below" rules need both

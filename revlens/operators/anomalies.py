@@ -20,6 +20,23 @@ def negative_share(scored: DataFrame, *by, also: tuple = ()) -> DataFrame:
     )
 
 
+def share_of_counts(counts: DataFrame, *by, also: tuple = ()) -> DataFrame:
+    """The same from stored counts of reviews and negative reviews."""
+    return (
+        counts.groupBy(*by)
+        .agg(F.sum("total_reviews").alias("total_reviews"),
+             F.sum("negative_reviews").alias("negative_reviews"), *also)
+        .withColumn("negative_pct", F.col("negative_reviews") / F.col("total_reviews") * 100.0)
+    )
+
+
+def review_counts(scored: DataFrame, *by) -> DataFrame:
+    """Reviews and negative reviews per group and minute of the review; a NULL minute
+    counts reviews without a readable time."""
+    minute = F.date_trunc("minute", event_time()).alias("minute")
+    return negative_share(scored, *by, minute).drop("negative_pct")
+
+
 def anomalous(shares: DataFrame, threshold: float = ALERT_SHARE) -> DataFrame:
     return shares.filter(F.col("negative_pct") > threshold)
 

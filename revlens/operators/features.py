@@ -3,15 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.fixed_values import TOPIC_COUNT
+from revlens.fixed_values import SEGMENT_INPUTS, TOPIC_COUNT
 from revlens.functions.arrays import even_probabilities, topic_probabilities
 from revlens.functions.text import length_or_zero
 
 TOPIC_INPUTS = [f"topic_{i}" for i in range(TOPIC_COUNT)]
-SEGMENT_INPUTS = [
-    "text_len", "sentiment_score", "review_len", "summary_len", "rate_score", "word_count",
-    *TOPIC_INPUTS,
-]
 
 
 def standardized(rows: DataFrame, columns: list) -> DataFrame:

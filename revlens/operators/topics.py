@@ -12,7 +12,7 @@ def theme_table(spark: SparkSession) -> DataFrame:
     rows = [
         (order, theme, word)
         for order, (theme, words) in enumerate(TOPIC_THEMES.items(), start=1)
-        for word in sorted(set(words.split()))
+        for word in sorted(set(words))
     ]
     return small_table(spark, rows, "theme_order int, theme string, keyword string")
 

@@ -159,7 +159,7 @@ CTES = {
     + ", ".join(
         f"({order}, {_text(theme)}, {_text(word)})"
         for order, (theme, words) in enumerate(TOPIC_THEMES.items(), start=1)
-        for word in sorted(set(words.split()))
+        for word in sorted(set(words))
     )
     + ") t(theme_order, theme, keyword)",
     "themes": """
@@ -368,10 +368,7 @@ QUERIES = {
         select batch_key, total_reviews, negative_reviews, round(negative_pct, 4) as negative_pct, message
         from shares join alerts on alert_id = batch_key""",
     "windowed_anomaly": WINDOWS.format("true"),
-    "windowed_anomaly_stream": WINDOWS.format(
-        """date_trunc('hour', "timestamp"::timestamp) + interval 1 hour
-           <= (select max("timestamp"::timestamp) - interval 10 minute from docs)"""
-    ),
+    "windowed_anomaly_stream": WINDOWS.format("true"),
     "stream_alerts": "select alert_id, type, message from alerts",
     "stream_replayed": "select batch_key, total_reviews, negative_reviews from shares",
     "stream_dedup": "select review_id, product, rating, sentiment_label from docs",

@@ -459,7 +459,7 @@ def classifier_metrics(spark, sf_dir) -> DataFrame:
 
 
 def _embeddings(spark, sf_dir) -> DataFrame:
-    return tables.spread(sample.table(spark, sf_dir, "embeddings"), "vec_id")
+    return sample.table(spark, sf_dir, "embeddings")
 
 
 @query
@@ -659,7 +659,7 @@ def _scored_stream(spark, replay, folder, runs: int = 1, dedup_within=None):
     for run in range(runs):
         running = scoring.start_scoring(
             messages.file_stream(spark, replay), sample.SampleScorer.default(spark),
-            f"{folder}/scored", f"{folder}/shares", f"{folder}/checkpoint-{run}",
+            f"{folder}/scored", f"{folder}/counts", f"{folder}/checkpoint-{run}",
             trigger={"availableNow": True}, dedup_within=dedup_within,
         )
         running.awaitTermination()
@@ -686,7 +686,7 @@ def stream_replayed(spark, sf_dir) -> DataFrame:
 def stream_alerts(spark, sf_dir) -> DataFrame:
     folder = fresh_path(spark, "stream")
     _scored_stream(spark, _replayed(spark, sf_dir), folder)
-    return tables.read_alerts(spark, f"{folder}/shares").select("alert_id", "type", "message")
+    return tables.read_alerts(spark, f"{folder}/counts").select("alert_id", "type", "message")
 
 
 @query
@@ -700,13 +700,8 @@ def stream_dedup(spark, sf_dir) -> DataFrame:
 
 @query
 def windowed_anomaly_stream(spark, sf_dir) -> DataFrame:
-    """Hourly shares from a stream over the scored table: windows the watermark has passed."""
+    """Hourly shares from the counts of a stream that was scored twice."""
     folder = fresh_path(spark, "stream")
-    stored = sample.documents(spark, sf_dir).withColumn("source_file", F.lit("sample"))
-    tables.replace_partitions(stored, f"{folder}/scored", tables.SCORED_KEYS, rebalance=True)
-    running = windows.start_window_shares(
-        windows.scored_stream(spark, f"{folder}/scored"), f"{folder}/windows",
-        f"{folder}/checkpoint", trigger={"availableNow": True}, length="1 hour",
-    )
-    running.awaitTermination()
-    return _window_rows(spark.read.parquet(f"{folder}/windows"))
+    _scored_stream(spark, _replayed(spark, sf_dir), folder, runs=2)
+    counts = tables.read_counts(spark, f"{folder}/counts")
+    return _window_rows(windows.window_shares(counts, "1 hour"))

@@ -15,7 +15,6 @@ from revlens.operators.documents import reportable
 from revlens.operators.prepare import prepare_reviews
 from revlens.plans.scoring import ReviewScorer
 from revlens.sources.lookups import default_segment_names, default_topic_names
-from revlens.sources.tables import spread
 
 
 # Columns of the sample tables that reviews are made of. Reading with a known schema
@@ -36,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def reviews(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """All documents as reviews. All joins are on the document number, so the texts are
     shuffled once at most."""
-    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    documents = table(spark, sf_dir, "documents")
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), "ts", "event_type", "value"
     )

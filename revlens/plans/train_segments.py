@@ -5,8 +5,9 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from revlens.fixed_values import SEED, SEGMENT_MAX_ITER, SEGMENT_RANGE
+from revlens.fixed_values import SEED, SEGMENT_MAX_ITER, SEGMENT_PARTITIONS, SEGMENT_RANGE
 from revlens.operators.features import SEGMENT_INPUTS, segment_features
 from revlens.operators.segments import segment_profiles
 from revlens.runtime import materialized
@@ -34,9 +35,17 @@ def sweep(scaled: DataFrame) -> list:
 def scaled_features(with_topics: DataFrame, sentiment: str = "sentiment_label"):
     """The fitted scaler, and the scaled features written once for the sweep."""
     features = segment_features(with_topics, sentiment).select(*SEGMENT_INPUTS)
-    stored = materialized(features, "segment-inputs", merge_small=True)
-    scaler = scaling_pipeline().fit(stored)
-    return scaler, materialized(scaler.transform(stored), "segment-features", merge_small=True)
+    stored = materialized(
+        features.withColumn("row_hash", F.xxhash64(*SEGMENT_INPUTS)), "segment-inputs")
+    scaler = scaling_pipeline().fit(laid_out(stored))
+    return scaler, laid_out(materialized(scaler.transform(stored), "segment-features"))
+
+
+def laid_out(rows: DataFrame) -> DataFrame:
+    """Rows dealt and sorted by their hash. K-means draws its start points, and sums are
+    rounded, partition by partition; so files, cores and earlier shuffles must not decide
+    what a partition holds. Rows of equal hash have equal features."""
+    return rows.repartition(SEGMENT_PARTITIONS, "row_hash").sortWithinPartitions("row_hash")
 
 
 def train_segments(with_topics: DataFrame):

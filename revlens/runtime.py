@@ -1,6 +1,5 @@
 """Session helpers: a local session for tests, and the shared working folder."""
 
-import math
 import tempfile
 import uuid
 
@@ -8,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALLEST_PARTITION = 4 * 1024 * 1024
 _written = []
 
 
@@ -50,24 +48,26 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/revlens/{label}-{uuid.uuid4().hex}"
 
 
-def materialized(df: DataFrame, label: str, merge_small: bool = False) -> DataFrame:
+def materialized(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back.
 
     The result survives lost executors and cuts the lineage for everything that
-    passes over it repeatedly. Gradient and distance passes cost next to nothing per
-    row but something per partition; for them `merge_small` reads small files together.
-    Large data is read in its usual splits either way. Column metadata is left behind:
-    that of a text vector names every term, and Spark would ship it with every job.
+    passes over it repeatedly. Column metadata is left behind: that of a text vector
+    names every term, and Spark would ship it with every job.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
     _written.append(path)
     plain = T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in df.schema])
     df.write.parquet(path)
-    stored = spark.read.schema(plain).parquet(path)
-    if not merge_small:
-        return stored
-    return stored.coalesce(math.ceil((_stored_bytes(spark, path) + 1) / SMALLEST_PARTITION))
+    return spark.read.schema(plain).parquet(path)
+
+
+def stored_id(spark: SparkSession, path: str) -> str:
+    """An id made on the first call and read from `path` on later ones."""
+    if not path_exists(spark, path):
+        spark.range(1).select(F.lit(uuid.uuid4().hex)).coalesce(1).write.text(path)
+    return spark.read.text(path).first()[0]
 
 
 def release_materialized(spark: SparkSession) -> None:
@@ -94,11 +94,6 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _stored_bytes(spark: SparkSession, path: str) -> int:
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.getContentSummary(hadoop_path).getLength()
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     file_system, hadoop_path = _file_system(spark, path)
     return file_system.exists(hadoop_path)

@@ -39,10 +39,10 @@ SCORED_DOCUMENT = T.StructType([
 
 ALERT = _strings("type", "message", "timestamp")
 
-BATCH_SHARE = T.StructType([
+REVIEW_COUNT = T.StructType([
+    T.StructField("minute", T.TimestampType()),
     T.StructField("total_reviews", T.LongType()),
     T.StructField("negative_reviews", T.LongType()),
-    T.StructField("negative_pct", T.DoubleType()),
     T.StructField("computed_at", T.StringType()),
 ])
 

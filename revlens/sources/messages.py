@@ -11,14 +11,19 @@ CORRUPT = "_corrupt_message"
 WITH_CORRUPT = T.StructType([*MESSAGE.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, starting="latest") -> DataFrame:
-    """One topic as a stream. Needs the Kafka connector on the class path."""
+def kafka_stream(
+    spark: SparkSession, servers: str, topic: str, starting="latest",
+    most_per_trigger: int = 1_000_000,
+) -> DataFrame:
+    """One topic as a stream. Needs the Kafka connector on the class path. A backlog is taken
+    in triggers of at most so many messages."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
         .option("failOnDataLoss", "false")
+        .option("maxOffsetsPerTrigger", most_per_trigger)
         .load()
     )
 

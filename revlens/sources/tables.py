@@ -1,11 +1,12 @@
-"""Result tables: scored reviews and alerts, replaced batch by batch."""
+"""Result tables: scored reviews and their counts, replaced file by file; alerts from counts."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revlens.operators.anomalies import alert_documents, anomalous
-from revlens.schemas import BATCH_SHARE, SCORED_DOCUMENT
+from revlens.operators.anomalies import alert_documents, anomalous, share_of_counts
+from revlens.runtime import path_exists
+from revlens.schemas import REVIEW_COUNT, SCORED_DOCUMENT
 
 SCORED_KEYS = ["batch_key", "source_file"]
 
@@ -15,7 +16,7 @@ def _keyed(schema: T.StructType, keys: list) -> T.StructType:
 
 
 SCORED_TABLE = _keyed(SCORED_DOCUMENT, SCORED_KEYS)
-SHARE_TABLE = _keyed(BATCH_SHARE, ["batch_key"])
+COUNT_TABLE = _keyed(REVIEW_COUNT, SCORED_KEYS)
 
 
 def replace_partitions(rows: DataFrame, path: str, keys: list, rebalance: bool = False) -> None:
@@ -35,26 +36,41 @@ def replace_partitions(rows: DataFrame, path: str, keys: list, rebalance: bool =
     )
 
 
-def read_scored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCORED_TABLE).parquet(path)
+def read_scored(spark: SparkSession, path: str, keys: list | None = None) -> DataFrame:
+    """The whole table, or only the folders of the given (batch_key, source_file)."""
+    rows = spark.read.schema(SCORED_TABLE)
+    if keys is None:
+        return rows.parquet(path)
+    folders = [f"{path}/batch_key={_escaped(b)}/source_file={_escaped(f)}" for b, f in keys]
+    stored = [folder for folder in folders if path_exists(spark, folder)]
+    if not stored:
+        return spark.createDataFrame([], SCORED_TABLE)
+    return rows.option("basePath", path).parquet(*stored)
 
 
-def read_alerts(spark: SparkSession, path: str, keep: tuple = ()) -> DataFrame:
-    """Alerts on the batches whose stored share of negative reviews is too high.
+def _escaped(value: str) -> str:
+    """A partition's value as Spark writes it into the folder's name."""
+    spark = SparkSession.active()
+    catalog = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return catalog.escapePathName(value)
 
-    The share of every batch is stored, not only the high ones: a batch that a later
-    file brings back under the threshold takes its alert back.
-    """
-    raised = anomalous(spark.read.schema(SHARE_TABLE).parquet(path))
-    named = raised.withColumn("alert_id", F.col("batch_key"))
-    return alert_documents(named, F.col("computed_at"), keep=("alert_id", *keep))
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Reviews and negative reviews by batch, file and minute of the review."""
+    return spark.read.schema(COUNT_TABLE).parquet(path)
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """A table spread over all cores if its files make too few partitions.
+def batch_shares(counts: DataFrame) -> DataFrame:
+    """Negative share of every batch, summed over the files that have arrived."""
+    return share_of_counts(counts, "batch_key", also=(F.max("computed_at").alias("computed_at"),))
 
-    Large tables have more splits than cores and are read as they lie, without a
-    shuffle; a small one in a single file would keep all work in one task.
+
+def read_alerts(spark: SparkSession, path: str, keep: tuple = ()) -> DataFrame:
+    """Alerts on the batches whose share of negative reviews is too high.
+
+    Counts of every file are stored, not alerts: a batch that a later file brings back
+    under the threshold takes its alert back.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+    raised = anomalous(batch_shares(read_counts(spark, path)))
+    named = raised.withColumn("alert_id", F.col("batch_key"))
+    return alert_documents(named, F.col("computed_at"), keep=("alert_id", *keep))

@@ -1,58 +1,63 @@
-"""Score a stream of review messages into the scored table and the table of shares."""
+"""Score a stream of review messages into the scored table and the table of counts."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.operators.anomalies import negative_share
-from revlens.runtime import path_exists
+from revlens.operators.anomalies import review_counts
+from revlens.runtime import stored_id
 from revlens.sources.messages import decode
 from revlens.sources.tables import SCORED_KEYS, read_scored, replace_partitions
 
 
 def score_batch(
-    scorer, scored_path: str, shares_path: str, batch: DataFrame, batch_id: int,
-    shuffled: bool = False,
+    scorer, scored_path: str, counts_path: str, batch: DataFrame, batch_id: int,
+    shuffled: bool = False, run_id: str = "",
 ) -> list:
-    """Score one micro-batch, write it once, and update the negative shares from what was written.
+    """Score one micro-batch, write it once, and count what was written.
 
-    The sink is keyed by replay batch and file (by trigger for a message queue), so a
-    batch that is run again replaces its own rows. Shares are computed over the whole
-    batch key as stored, even if its files arrived in several triggers. Returns the
-    batch keys it has seen, at most one per file of the trigger. `shuffled` tells that
-    the rows no longer lie by file.
+    The sink is keyed by replay batch and file, so a batch that is run again replaces its own
+    rows. Rows of a message queue have no such origin; they are keyed by run and trigger, since
+    trigger numbers begin anew with every checkpoint. Counts have the same keys and come from
+    the folders this trigger has written, whatever else the table holds. Returns the keys
+    it has seen, at most one per file of the trigger. `shuffled` tells that the rows no
+    longer lie by file.
     """
-    spark = batch.sparkSession
-    for key in SCORED_KEYS:
-        if key not in batch.columns:
-            batch = batch.withColumn(key, F.lit(f"trigger-{batch_id}"))
-    keys = sorted(row[0] for row in batch.select("batch_key").distinct().collect())
+    if any(key not in batch.columns for key in SCORED_KEYS):
+        origin = f"run-{run_id}-{batch_id}"
+        for key in SCORED_KEYS:
+            if key not in batch.columns:
+                batch = batch.withColumn(key, F.lit(origin))
+    keys = sorted(tuple(row) for row in batch.select(*SCORED_KEYS).distinct().collect())
     if not keys:
         return keys
+    spark = batch.sparkSession
     documents = scorer.documents(decode(batch), keep=tuple(SCORED_KEYS))
     replace_partitions(documents, scored_path, SCORED_KEYS, rebalance=shuffled)
-    if path_exists(spark, scored_path):
-        stored = read_scored(spark, scored_path).filter(F.col("batch_key").isin(keys))
-        now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        shares = negative_share(stored, "batch_key").withColumn("computed_at", now)
-        replace_partitions(shares, shares_path, ["batch_key"])
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    counts = review_counts(read_scored(spark, scored_path, keys), *SCORED_KEYS)
+    replace_partitions(counts.withColumn("computed_at", now), counts_path, SCORED_KEYS, rebalance=True)
     return keys
 
 
 def start_scoring(
-    messages: DataFrame, scorer, scored_path: str, shares_path: str, checkpoint: str,
+    messages: DataFrame, scorer, scored_path: str, counts_path: str, checkpoint: str,
     trigger: dict | None = None, dedup_within: str | None = None,
 ):
     """Start the query. `trigger` is passed to writeStream.trigger; default every 10 seconds.
 
     `dedup_within` drops a message that is sent again within that time of its event.
     """
+    run_id = stored_id(messages.sparkSession, f"{checkpoint}-run")
+
     def process(batch, batch_id):
         if not dedup_within:
-            return score_batch(scorer, scored_path, shares_path, batch, batch_id)
+            return score_batch(
+                scorer, scored_path, counts_path, batch, batch_id, run_id=run_id)
         # State must be read and written once per batch, so the result is kept.
         batch = batch.persist()
         try:
-            return score_batch(scorer, scored_path, shares_path, batch, batch_id, shuffled=True)
+            return score_batch(
+                scorer, scored_path, counts_path, batch, batch_id, shuffled=True, run_id=run_id)
         finally:
             batch.unpersist()
 
@@ -68,12 +73,20 @@ def start_scoring(
 
 
 def deduplicated(messages: DataFrame, within: str) -> DataFrame:
-    """Each review id once, as far as repeats arrive within the given event time."""
+    """Each message once, as far as repeats arrive within the given event time.
+
+    Review ids begin anew in every replay, so a repeat is a message with the same id and the same
+    text in the same batch. Messages without id or readable time are all kept.
+    """
     payload = F.from_json(F.col("value").cast("string"), "review_id string, timestamp string")
     timed = messages.select("*", payload.alias("_p")).select(
         *messages.columns,
         F.col("_p.review_id").alias("_review_id"),
         F.try_to_timestamp("_p.timestamp").alias("_event_time"),
+        F.xxhash64("value").alias("_payload"),
     )
-    once = timed.withWatermark("_event_time", within).dropDuplicatesWithinWatermark(["_review_id"])
-    return once.drop("_review_id", "_event_time")
+    known = (F.coalesce("_review_id", F.lit("")) != "") & F.col("_event_time").isNotNull()
+    same = ["_review_id", "_payload", *[c for c in messages.columns if c == "batch_key"]]
+    once = timed.filter(known).withWatermark("_event_time", within)
+    once = once.dropDuplicatesWithinWatermark(same)
+    return once.select(*messages.columns).union(timed.filter(~known).select(*messages.columns))

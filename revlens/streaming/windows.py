@@ -1,29 +1,22 @@
-"""Alerts per event-time window over a stream of scored reviews."""
+"""Alerts per event-time window over the counts that the scoring stream keeps."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.operators.anomalies import windowed_negative_share
-from revlens.sources.tables import SCORED_TABLE
+from revlens.operators.anomalies import share_of_counts
 
 
-def scored_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The scored table as it grows."""
-    return spark.readStream.schema(SCORED_TABLE).parquet(path)
+def window_shares(counts: DataFrame, length: str = "1 day") -> DataFrame:
+    """Negative share of each window, of whole minutes, over everything counted so far.
 
-
-def start_window_shares(
-    scored: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-    length: str = "1 day", lateness: str = "10 minutes",
-):
-    """Write the share of negative reviews of each window once the watermark has passed it."""
-    shares = windowed_negative_share(scored, length, lateness)
-    return (
-        shares.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy("day")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start(path)
+    Counts are kept by file and replaced when a file is scored again. So a batch that runs twice
+    counts once, a batch that comes late still counts, and the newest window is there too: it
+    changes as long as reviews of its time arrive. Reviews without a readable time
+    belong to no window.
+    """
+    shares = share_of_counts(
+        counts.filter(F.col("minute").isNotNull()), F.window("minute", length).alias("period"))
+    return shares.select(
+        F.col("period.start").alias("window_start"), F.col("period.end").alias("window_end"),
+        "total_reviews", "negative_reviews", "negative_pct",
     )

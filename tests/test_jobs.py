@@ -27,4 +27,16 @@ def test_train_replay_score_report(spark, sf_dir, capsys, monkeypatch):
     for name in ("kpi_summary", "topic_summary", "recent_alerts", "training_history"):
         jobs.main(["report", "--root", root, "--name", name])
     shown = capsys.readouterr().out
+    jobs.main(["windows", "--root", root])
+    assert spark.read.parquet(f"{root}/window_shares").columns[0] == "window_start"
+    spark.createDataFrame([("none",)], "alert_id string").write.parquet(f"{root}/dismissed")
+    for name, extra in (
+        ("recent_reviews", []), ("topic_drilldown", ["--value", "Price & Value"]),
+        ("segment_drilldown", ["--value", "Critical Issues"]),
+        ("open_alerts", ["--dismissed", f"{root}/dismissed"]),
+    ):
+        out = f"{root}/out/{name}"
+        jobs.main(["report", "--root", root, "--name", name, "--out", out, *extra])
+        assert spark.read.parquet(out).count() >= 0
+    assert spark.read.parquet(f"{root}/out/recent_reviews").count() == scored.count()
     assert "total_reviews" in shown and "avg_rating" in shown and "log_perplexity" in shown

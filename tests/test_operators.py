@@ -178,7 +178,7 @@ def test_theme_overlap_counts_distinct_words(spark, fixed_terms):
     found = {(r.topic, r.theme): r.overlap for r in overlap}
     for topic, words in WORDS.items():
         for theme, keywords in TOPIC_THEMES.items():
-            expected = len(set(words.split()) & set(keywords.split()))
+            expected = len(set(words.split()) & set(keywords))
             assert found.get((topic, theme), 0) == expected
 
 

@@ -57,3 +57,18 @@ def test_every_query_has_sql_or_trains_or_hashes():
         "split_counts", "hash_segment",
     }
     assert set(oracle_sql()) <= set(REGISTRY)
+
+
+def test_segments_do_not_depend_on_the_layout(spark, prepared):
+    """Files, cores and earlier shuffles decide nothing about a model."""
+    from pyspark.sql import functions as F
+
+    from revlens.plans import train_segments
+
+    rows = prepared.withColumn("topic_probabilities", F.lit(None).cast("array<double>"))
+    found = []
+    for partitions in (1, 3, 7):
+        dealt = rows.repartition(partitions, F.rand(partitions))
+        _, scaled = train_segments.scaled_features(dealt)
+        found.append([(k, score) for k, score, _ in train_segments.sweep(scaled)])
+    assert found[0] == found[1] == found[2]

@@ -24,7 +24,7 @@ class Folder:
 def run(spark, stream, folder, checkpoint, scorer=None, **options):
     scorer = scorer or sample.SampleScorer.default(spark)
     running = scoring.start_scoring(
-        stream, scorer, folder.scored, folder.shares, f"{folder.path}/{checkpoint}",
+        stream, scorer, folder.scored, folder.counts, f"{folder.path}/{checkpoint}",
         trigger=ONCE, **options,
     )
     running.awaitTermination()
@@ -55,7 +55,7 @@ def test_stream_equals_batch_and_rerun_changes_nothing(spark, sf_dir, replay, ba
     # The same checkpoint has nothing left to do; a new one starts over.
     assert contents(run(spark, stream, folder, "c1")) == batch
     assert contents(run(spark, stream, folder, "c2")) == batch
-    alerts = {a.alert_id for a in tables.read_alerts(spark, folder.shares).collect()}
+    alerts = {a.alert_id for a in tables.read_alerts(spark, folder.counts).collect()}
     assert alerts == {a.alert_id for a in sample.alerts(spark, sf_dir).collect()}
 
 
@@ -75,13 +75,13 @@ def test_batch_in_several_triggers_and_alert_taken_back(spark):
     _write_lines(spark, replay, "b1", [_message(i, 1) for i in range(8)] + ["{malformed"])
     stream = messages.file_stream(spark, replay, files_per_trigger=1)
     assert run(spark, stream, folder, "c").count() == 8
-    assert [a.message for a in tables.read_alerts(spark, folder.shares).collect()] == [
+    assert [a.message for a in tables.read_alerts(spark, folder.counts).collect()] == [
         "High negative sentiment: 100% in batch"
     ]
     # A second file of the same batch brings the share down to 50 %.
     _write_lines(spark, replay, "b1", [_message(i, 5) for i in range(8, 16)])
     assert run(spark, stream, folder, "c").count() == 16
-    assert tables.read_alerts(spark, folder.shares).count() == 0
+    assert tables.read_alerts(spark, folder.counts).count() == 0
 
 
 def test_batch_without_any_text_is_skipped(spark):
@@ -98,10 +98,25 @@ def test_messages_without_origin_are_keyed_by_trigger(spark):
     folder = Folder(spark)
     scorer = sample.SampleScorer.default(spark)
     for _ in range(2):  # a retried trigger replaces its own rows
-        done = scoring.score_batch(scorer, folder.scored, folder.shares, rows, 7)
-    assert done == ["trigger-7"]
+        done = scoring.score_batch(scorer, folder.scored, folder.counts, rows, 7, run_id="r")
+    assert done == [("run-r-7", "run-r-7")]
     assert tables.read_scored(spark, folder.scored).count() == 2
-    assert scoring.score_batch(scorer, folder.scored, folder.shares, rows.limit(0), 8) == []
+    assert scoring.score_batch(
+        scorer, folder.scored, folder.counts, rows.limit(0), 8, run_id="r") == []
+
+
+def test_a_new_checkpoint_of_a_queue_keeps_older_rows(spark):
+    """Trigger numbers begin anew with a checkpoint; the rows stored before must stay."""
+    folder = Folder(spark)
+    for checkpoint, numbers in (("c1", (1, 2, 3)), ("c2", (4, 5))):
+        source = fresh_path(spark, "queue")
+        lines = spark.createDataFrame([(_message(i, 1),) for i in numbers], "value string")
+        lines.coalesce(1).write.text(source)
+        queue = spark.readStream.schema("value string").text(source)
+        stored = run(spark, queue, folder, checkpoint)
+    assert sorted(r.review_id for r in stored.collect()) == [f"review_{i}" for i in (1, 2, 3, 4, 5)]
+    shares = tables.batch_shares(tables.read_counts(spark, folder.counts)).collect()
+    assert sorted(r.total_reviews for r in shares) == [2, 3]
 
 
 def test_repeated_messages_are_scored_once(spark):
@@ -112,21 +127,42 @@ def test_repeated_messages_are_scored_once(spark):
     assert stored.count() == 1
 
 
-def test_closed_windows_equal_the_batch(spark, sf_dir):
+def _timed(number, rate, time, text="some text", review_id=None):
+    message = _message(number, rate).replace("some text", text)
+    message = message.replace('"timestamp":""', f'"timestamp":"{time}"')
+    return message if review_id is None else message.replace(f"review_{number}", review_id)
+
+
+def test_only_repeats_are_dropped(spark):
+    """Ids begin anew in every replay, and may be missing."""
+    replay, folder = fresh_path(spark, "replay"), Folder(spark)
+    time = "2024-01-01 00:00:00"
+    _write_lines(spark, replay, "b1", [
+        _timed(1, 5, time), _timed(1, 5, time), _timed(1, 5, time, "other text"),
+        *[_timed(9, 1, time, "no id", "")] * 2, _timed(2, 1, ""), _timed(2, 1, ""),
+    ])
+    _write_lines(spark, replay, "b2", [_timed(1, 5, time, "third text"), _timed(1, 5, time)])
+    stored = run(spark, messages.file_stream(spark, replay), folder, "c", dedup_within="1 hour")
+    assert stored.count() == 8
+
+
+def test_windows_equal_the_batch(spark, sf_dir, replay):
+    """Also after the whole replay ran twice."""
     folder = Folder(spark)
-    stored = sample.documents(spark, sf_dir)
-    from pyspark.sql import functions as F
+    for checkpoint in ("c1", "c2"):
+        run(spark, messages.file_stream(spark, replay), folder, checkpoint)
+    columns = ["window_start", "total_reviews", "negative_reviews", "negative_pct"]
+    counted = windows.window_shares(tables.read_counts(spark, folder.counts), "1 hour")
+    expected = windowed_negative_share(sample.documents(spark, sf_dir), "1 hour")
+    rows = sorted(map(tuple, counted.select(*columns).collect()))
+    assert rows == sorted(map(tuple, expected.select(*columns).collect())) and rows
 
-    tables.replace_partitions(
-        stored.withColumn("source_file", F.lit("f")), folder.scored, tables.SCORED_KEYS
-    )
-    running = windows.start_window_shares(
-        windows.scored_stream(spark, folder.scored), folder.windows, folder.checkpoint,
-        trigger=ONCE, length="1 hour",
-    )
-    running.awaitTermination()
-    columns = ["window_start", "total_reviews", "negative_reviews"]
-    closed = spark.read.parquet(folder.windows).select(*columns).collect()
-    expected = windowed_negative_share(stored, "1 hour").select(*columns).collect()
-    assert closed and set(map(tuple, closed)) <= set(map(tuple, expected))
-    assert len(closed) >= len(expected) - 2
+
+def test_a_late_batch_of_older_reviews_counts(spark):
+    replay, folder = fresh_path(spark, "replay"), Folder(spark)
+    for key, day in (("new", "2024-05-02"), ("old", "2024-01-01")):
+        _write_lines(spark, replay, key, [_timed(i, 1, f"{day} 10:00:00") for i in range(3)])
+        run(spark, messages.file_stream(spark, replay), folder, "c")
+    shares = windows.window_shares(tables.read_counts(spark, folder.counts)).collect()
+    assert sorted((str(r.window_start)[:10], r.total_reviews) for r in shares) == [
+        ("2024-01-01", 3), ("2024-05-02", 3)]

@@ -14,7 +14,7 @@ so a bin's size does not grow with the input, and a piece's bin does not depend
 """
 
 import re
-import struct
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,7 +29,7 @@ from revlens.llm.common import texts
 
 CAPACITY = 4096
 BIN_BYTES = 4_000_000
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # Ids of a bin's sequences follow each other; a bin never has this many.
 BIN_SEQUENCES = 1 << 24
 PIECES = (
@@ -70,8 +70,7 @@ class WordIds:
 
     def _letters(self, word: str) -> bytes:
         seen = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
-        ids = [t.id for t in self.merges.tokenize(seen)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [t.id for t in self.merges.tokenize(seen)]).tobytes()
 
     def _new(self, word: str) -> bytes:
         """Ids of a word that is not among the recent ones."""
@@ -84,8 +83,6 @@ class WordIds:
                 ids = (self.words.get(stem) or self._new(stem)) + self.marks[word[-1]]
             else:
                 ids = self._ask(word)
-        if len(self.words) >= REMEMBERED:
-            self.older, self.words = self.words, {}
         self.words[word] = ids
         return ids
 
@@ -96,11 +93,12 @@ class WordIds:
             "" if not text or self.intricate.search(text) else text.lower() for text in texts]
         split = pc.utf8_split_whitespace(pa.array(simple, pa.large_string()))
         places = pc.dictionary_encode(split.flatten())
-        found = [
-            word and (self.words.get(word) or self._new(word)) or b""
-            for word in places.dictionary.to_pylist()
-        ]
-        lengths = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        if len(self.words) >= REMEMBERED:
+            self.older, self.words = self.words, {}
+        known, new = self.words.get, self._new
+        different = places.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [known(word) or new(word) if word else b"" for word in different]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
         of_word = places.indices.to_numpy()
         taken = lengths[of_word]

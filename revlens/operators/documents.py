@@ -11,15 +11,20 @@ from revlens.functions.sentiment import UNKNOWN, name_of
 def with_name(rows: DataFrame, id_column: str, names: DataFrame, kind: str) -> DataFrame:
     """`<id_column>_name` from the lookup (id, name), else "<kind> <id>".
 
-    No broadcast hint: the lookup has a row per topic or segment, so Spark broadcasts
-    it by its measured size, and one that has grown too large is joined by shuffle.
+    A model has a handful of topics or segments, so its names reach the rows as one map
+    value. A join on them would shuffle all texts onto a handful of keys as soon as
+    Spark could not tell how small a computed lookup is.
     """
-    looked_up = names.select(F.col("id").alias("_id"), F.col("name").alias("_name"))
+    named = names.filter("id is not null").groupBy(F.col("id").cast("int").alias("id")).agg(
+        F.min("name").alias("name"))
+    by_id = named.agg(F.map_from_entries(F.collect_list(F.struct("id", "name")))).scalar()
     fallback = F.concat_ws(" ", F.lit(kind), F.col(id_column).cast("string"))
     return (
-        rows.join(looked_up, F.col(id_column) == F.col("_id"), "left")
-        .withColumn(f"{id_column}_name", F.coalesce("_name", fallback))
-        .drop("_id", "_name")
+        rows.withColumn("_names", by_id)
+        .withColumn(
+            f"{id_column}_name",
+            F.coalesce(F.try_element_at("_names", F.col(id_column).cast("int")), fallback))
+        .drop("_names")
     )
 
 

@@ -120,7 +120,15 @@ def segment_counts_by_id(reviews: DataFrame) -> DataFrame:
 
 
 def recent_reviews(documents: DataFrame, count: int = RECENT_REVIEWS) -> DataFrame:
-    return documents.orderBy(F.desc("processed_at"), F.desc("review_id")).limit(count)
+    """The newest keys are found first, on two columns; only their documents are then fetched."""
+    order = (F.desc("processed_at"), F.desc("review_id"))
+    keys = documents.select(
+        F.col("processed_at").alias("_at"), F.col("review_id").alias("_id")
+    ).orderBy(F.desc("_at"), F.desc("_id")).limit(count)
+    newest = documents.join(
+        keys, F.col("processed_at").eqNullSafe(F.col("_at"))
+        & F.col("review_id").eqNullSafe(F.col("_id")), "left_semi")
+    return newest.orderBy(*order).limit(count)
 
 
 def recent_alerts(alerts: DataFrame, count: int = RECENT_ALERTS) -> DataFrame:

@@ -37,14 +37,19 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     assert "text" not in plan.split("ReadSchema: ")[1].split(">")[0]
 
 
-def test_lookups_grow_into_shuffle_joins(spark, sf_dir):
-    """Names are broadcast for their size only; past the threshold the join shuffles."""
+def test_names_are_not_joined(spark, sf_dir):
+    """Five hot keys would carry all texts; names of any origin reach the rows as a map."""
+    from revlens.operators.documents import with_name
+    from revlens.plans.queries import _segment_profiles
+
+    rows = sample.annotated(spark, sf_dir)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" not in plan_of(sample.documents(spark, sf_dir))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
-        plan = plan_of(sample.documents(spark, sf_dir))
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        names = _segment_profiles(spark, sf_dir).selectExpr("cluster_id as id", "name")
+        plan = plan_of(with_name(rows, "cluster_pred", names, "Cluster"))
+        assert "SortMergeJoin" in plan
+        assert not [x for x in plan.splitlines() if "Join" in x and "cluster_pred" in x]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 

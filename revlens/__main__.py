@@ -41,7 +41,7 @@ def train(spark, args):
 
 def replay(spark, args):
     rows = files.read_csv(spark, args.csv, multiline=not args.single_line)
-    sent = messages.encode(files.stage(rows, args.staged), keep=("row_key",))
+    sent = messages.encode(files.stage(rows, args.staged, source=args.csv), keep=("row_key",))
     if args.out:
         # One batch per partition that wrote the staged rows.
         part = F.shiftright("row_key", 33).cast("string")

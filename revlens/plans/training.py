@@ -37,7 +37,8 @@ def train_all(reviews: DataFrame, root: str, key: str, grid: list | None = None)
 
 
 def train_from_csv(spark: SparkSession, csv: str, root: str, multiline: bool = True) -> dict:
-    staged = files.stage(files.read_csv(spark, csv, multiline=multiline), f"{root}/staged_reviews")
+    reviews = files.read_csv(spark, csv, multiline=multiline)
+    staged = files.stage(reviews, f"{root}/staged_reviews", source=csv)
     return train_all(staged, root, key="row_key")
 
 

@@ -1,5 +1,6 @@
 """Session helpers: a local session for tests, and the shared working folder."""
 
+import hashlib
 import tempfile
 import uuid
 
@@ -94,6 +95,16 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def files_state(spark: SparkSession, path: str) -> str:
+    """A hash of the names, sizes and times of all files below a path."""
+    file_system, hadoop_path = _file_system(spark, path)
+    found, seen = file_system.listFiles(hadoop_path, True), []
+    while found.hasNext():
+        status = found.next()
+        seen.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     file_system, hadoop_path = _file_system(spark, path)
     return file_system.exists(hadoop_path)

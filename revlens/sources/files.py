@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from revlens.runtime import materialized, path_exists
+from revlens.runtime import files_state, materialized, path_exists
 from revlens.schemas import TRAINING_FILE
 
 # CSV conventions. Texts hold quotes, line breaks and outer blanks.
@@ -30,16 +30,24 @@ def write_csv(reviews: DataFrame, path: str, rows_per_file: int = 1_000_000) ->
     writer.csv(path)
 
 
-def stage(reviews: DataFrame, path: str) -> DataFrame:
+def stage(reviews: DataFrame, path: str, source: str = "") -> DataFrame:
     """A parquet copy with a stable `row_key`, written only if it is not there yet.
 
     The key is assigned once and then stored, so splits and numbering that are
-    derived from it stay the same when a lost task is run again.
+    derived from it stay the same when a lost task is run again. `source` is the path that the
+    reviews were read from: its files' names, sizes and times are stored beside the copy, and
+    a copy of anything else is replaced.
     """
     spark = reviews.sparkSession
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+    state = files_state(spark, source) if source else ""
+    beside = f"{path}-source"
+    staged = path_exists(spark, f"{path}/_SUCCESS") and (
+        not source or path_exists(spark, beside) and spark.read.text(beside).first()[0] == state)
+    if not staged:
         keyed = reviews.withColumn("row_key", F.monotonically_increasing_id())
         keyed.write.mode("overwrite").parquet(path)
+        if source:
+            spark.range(1).select(F.lit(state)).coalesce(1).write.mode("overwrite").text(beside)
     return spark.read.parquet(path)
 
 

@@ -30,6 +30,19 @@ def test_staging_is_done_once(spark):
     assert again.select("row_key").distinct().count() == 100
 
 
+def test_another_source_is_staged_anew(spark):
+    path, first, second = (fresh_path(spark, n) for n in ("staged", "one", "two"))
+    spark.range(3).write.csv(first)
+    spark.range(5).write.csv(second)
+
+    def staged(source):
+        return files.stage(spark.read.schema("id long").csv(source), path, source=source).count()
+
+    assert [staged(first), staged(first), staged(second), staged(second)] == [3, 3, 5, 5]
+    spark.range(2).write.mode("append").csv(second)
+    assert staged(second) == 7
+
+
 def test_numbering_is_consecutive_and_follows_the_row_key(spark):
     staged = files.stage(spark.range(1000).repartition(9), fresh_path(spark, "staged"))
     numbered = files.numbered(staged, "n").orderBy("row_key").select("n").collect()

@@ -8,7 +8,7 @@ from revlens.runtime import materialized
 __all__ = ["materialized", "read", "texts", "hex64"]
 
 
-BATCH_TEXTS = 4000
+BATCH_TEXTS = 2000
 BATCH_BYTES = 16 << 20
 
 

@@ -29,7 +29,7 @@ from revlens.llm.common import texts
 
 CAPACITY = 4096
 BIN_BYTES = 4_000_000
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 # Ids of a bin's sequences follow each other; a bin never has this many.
 BIN_SEQUENCES = 1 << 24
 PIECES = (
@@ -98,12 +98,14 @@ class WordIds:
         known, new = self.words.get, self._new
         different = places.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = [known(word) or new(word) if word else b"" for word in different]
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+        lengths = np.fromiter(map(len, found), dtype=np.int32, count=len(found)) // 4
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
         of_word = places.indices.to_numpy()
         taken = lengths[of_word]
-        ends = np.concatenate(([0], np.cumsum(taken)))
-        source = np.repeat(starts[of_word] - ends[:-1], taken) + np.arange(ends[-1])
+        ends = np.zeros(len(taken) + 1, dtype=np.int32)  # of at most 2 GB of text
+        np.cumsum(taken, out=ends[1:])
+        source = np.repeat(starts[of_word] - ends[:-1], taken)
+        source += np.arange(ends[-1], dtype=np.int32)
         ids = np.frombuffer(b"".join(found), dtype="<u4")[source]
         bounds = ends[split.offsets.to_numpy()]
         return [

@@ -40,7 +40,7 @@ from revlens.llm.common import materialized, texts
 LENGTH = 100
 GRAM = 32
 HOT = 4096
-RUN_RECORDS = 40_000
+RUN_RECORDS = 120_000
 RANGE_RECORDS = 60_000
 SAMPLES_PER_RANGE = 32
 CHUNK = 1 << 20
@@ -381,7 +381,9 @@ def _merge(key: tuple, runs: pa.Table) -> pa.Table:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(row, start, end): bytes of rows (doc, row, text) that an earlier string covers."""
     anchors = rows.select("row", "text").mapInArrow(_anchors, "gram long, row long, place long")
-    twice = anchors.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    # stored, so that the join can split a hash that very many anchors have
+    twice = materialized(
+        anchors.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "repeated-hashes")
     place = F.col("place") + 1  # the sign marks the hot ones
     found = materialized(
         anchors.join(twice, "gram")

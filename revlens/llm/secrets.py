@@ -7,8 +7,8 @@ guess a value, segmenting it into common words, dates, repeated parts, walks ove
 and brute force, and values that still cost more than `MIN_LOG10_GUESSES` are reported.
 
 Defined results: null and empty texts have no spans. Offsets count code points, ends are
-exclusive. A value longer than `MOST_CHARS` is judged by its base shape and, for the guess cost, as
-costly without further search, because brute force over its parts only adds up.
+exclusive. Values of every length are judged by the same program, which stops at the place where
+every way to go on already costs enough.
 """
 
 import math
@@ -16,6 +16,8 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -40,7 +42,8 @@ CONTEXT = re.compile(
 )
 CONTEXT_HINT = re.compile(r"pass|pwd|secret|token|api|credential|auth|private|pin", re.IGNORECASE)
 MIN_LOG10_GUESSES = 10.0
-MOST_CHARS = 128
+CACHED_CHARS = 128  # costs of longer values are computed each time, so that the cache stays small
+LONGEST_PERIOD = 16  # a longer part costs more than the threshold by itself
 
 # Words that guessers try first, most common first: the rank is the number of guesses.
 COMMON_WORDS = (
@@ -58,7 +61,11 @@ DATE = re.compile(
     r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d"
 )
 _RANK = {word: rank for rank, word in enumerate(COMMON_WORDS, 1)}
-_LONGEST = max(map(len, COMMON_WORDS))
+_LONGEST: dict[str, int] = {}  # by the first three letters
+for _word in COMMON_WORDS:
+    _LONGEST[_word[:3]] = max(len(_word), _LONGEST.get(_word[:3], 0))
+_BETWEEN = math.log10(2)
+_STEPS = {size: math.log10(size) for size in (10, 26, 33)}
 _PLACE = {
     key: (row, column + row / 2)
     for row, keys in enumerate(KEYBOARD_ROWS) for column, key in enumerate(keys)
@@ -79,14 +86,18 @@ def _next_to(a: str, b: str) -> bool:
     )
 
 
-def _segments(value: str) -> Iterator[tuple[int, int, float]]:
-    """(start, end, log10 of the guesses) of every part that is not guessed by brute force."""
+def _segments(value: str, enough: float = math.inf) -> Iterator[tuple[int, int, float]]:
+    """(start, end, log10 of the guesses) of every part that is not guessed by brute force, by
+    start. Parts that cost `enough` by themselves may be left out."""
     lower = value.lower()
     plain = lower.translate(LEET)
     keys = lower.translate(SHIFTED)
     size = len(value)
+    before = [0.0, *accumulate(_STEPS[_alphabet(c)] for c in value)]
+    matched = [0] * (LONGEST_PERIOD + 1)  # up to where the value equals itself shifted by a period
     for start in range(size):
-        for end in range(start + 3, min(size, start + _LONGEST) + 1):
+        longest = max(_LONGEST.get(text[start:start + 3], 0) for text in (lower, plain))
+        for end in range(start + 3, min(size, start + longest) + 1):
             for text, twist in ((lower, 1), (plain, 4)):
                 rank = _RANK.get(text[start:end])
                 if rank:
@@ -105,37 +116,56 @@ def _segments(value: str) -> Iterator[tuple[int, int, float]]:
                 turns += 1
             end += 1
             if end - start >= 3:
-                yield start, end, math.log10(47 * (end - start) * 6.0 ** (turns + 1))
-        for period in range(1, min(16, (size - start) // 2) + 1):
-            part = value[start:start + period]
-            times = 1
-            while value.startswith(part, start + times * period):
-                times += 1
+                cost = math.log10(47 * (end - start) * 6.0 ** (turns + 1))
+                if cost >= enough:
+                    break  # longer walks cost more
+                yield start, end, cost
+        for period in range(1, min(LONGEST_PERIOD, (size - start) // 2) + 1):
+            end = max(matched[period], start)
+            while end + period < size and value[end] == value[end + period]:
+                end += 1
+            matched[period] = end
+            times = (end - start) // period + 1
             if times > 1 and times * period > 2:
-                own = sum(math.log10(_alphabet(c)) for c in part)
+                own = before[start + period] - before[start]
                 yield start, start + times * period, own + math.log10(times)
 
 
-@lru_cache(maxsize=50_000)
-def log10_guesses(value: str) -> float:
-    """Cost of the cheapest segmentation; each further segment doubles the guesses."""
+def _cheapest(value: str, enough: float = math.inf) -> float:
+    """Cost of the cheapest segmentation; each further segment doubles the guesses. At `enough` or
+    above, a lower bound of it: whichever way leads past a place costs that much up to there."""
     if not value:
         return 0.0
     size = len(value)
-    ending: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
-    for start, end, cost in _segments(value):
-        ending[end].append((start, cost))
-    between = math.log10(2)
+    parts = _segments(value, enough)
+    part = next(parts, None)
     cheapest = [0.0] + [math.inf] * size
-    brute = [math.inf] * (size + 1)  # cheapest with brute force up to here
-    for end in range(1, size + 1):
-        step = math.log10(_alphabet(value[end - 1]))
-        brute[end] = min(brute[end - 1], cheapest[end - 1] + between) + step
-        cheapest[end] = min(
-            [brute[end], *(cheapest[start] + cost + between for start, cost in ending[end])])
+    brute = math.inf  # cheapest with brute force up to here
+    ahead: list[tuple[float, int]] = []  # costs of segments that end further on
+    for at, char in enumerate(value):
+        while part and part[0] == at:
+            cost, end = cheapest[at] + part[2] + _BETWEEN, part[1]
+            if cost < cheapest[end]:
+                cheapest[end] = cost
+                heappush(ahead, (cost, end))
+            part = next(parts, None)
+        brute = min(brute, cheapest[at] + _BETWEEN) + _STEPS[_alphabet(char)]
+        cheapest[at + 1] = min(cheapest[at + 1], brute)
+        while ahead and ahead[0][1] <= at + 1:
+            heappop(ahead)
+        least = min(cheapest[at + 1], ahead[0][0]) if ahead else cheapest[at + 1]
+        if least >= enough:
+            return least
     return cheapest[size]
 
 
+_cached = lru_cache(maxsize=50_000)(_cheapest)
+
+
+def log10_guesses(value: str, enough: float = math.inf) -> float:
+    return (_cached if len(value) <= CACHED_CHARS else _cheapest)(value, enough)
+
+
 def spans(text: str | None, min_guesses: float = MIN_LOG10_GUESSES) -> list[tuple]:
     """(start, kind's place in KINDS, end), in order."""
     if not text:
@@ -153,7 +183,7 @@ def spans(text: str | None, min_guesses: float = MIN_LOG10_GUESSES) -> list[tupl
             base = bisect_right(starts, start) - 1
             if len(value) < 8 or base >= 0 and start < ends[base]:
                 continue  # a base span already has it
-            if len(value) > MOST_CHARS or log10_guesses(value) >= min_guesses:
+            if log10_guesses(value, min_guesses) >= min_guesses:
                 found.append((start, 3, end))
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -91,3 +92,24 @@ def test_added_spans_and_redaction():
     assert secrets.spans("password is changeme please") == []
     assert secrets.redact("password=deadbeefdeadbeefdeadbeef!") == "[SECRET]!"
     assert secrets.redact(None) is None
+
+
+@pytest.mark.parametrize("filler", ["*", "=", "-", "x", "xy"])
+def test_long_values_are_judged_like_short_ones(filler):
+    for size in (128, 130, 1000, 20_000):
+        value = filler * (size // len(filler))
+        assert secrets.spans(f"pin is {value} end") == []
+        costly = value + " password is G7#kd9!mZq2" + value
+        start = 7 + len(value) + 13
+        assert secrets.spans(f"pin is {costly} end") == [(start, 3, start + 11 + len(value))]
+    assert secrets.spans("password: " + "*" * 129) == []
+
+
+def test_stopping_early_changes_no_verdict():
+    chance = random.Random(3)
+    parts = ("password", "2019", "aaaa", "qwerty", "*****", "G7#", "k9", "abab", "=", "zaq1")
+    for _ in range(500):
+        value = "".join(chance.choice(parts) for _ in range(chance.randint(1, 7)))
+        for enough in (4.0, 10.0, 15.0):
+            assert (secrets.log10_guesses(value, enough) >= enough) == (
+                secrets.log10_guesses(value) >= enough), value

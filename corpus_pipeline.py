@@ -41,7 +41,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(docs.withColumn("text", secrets.redacted(F.col("text"))))
+    common = secrets.common_words(docs)
+    return _documents(docs.withColumn("text", secrets.redacted(F.col("text"), common)))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

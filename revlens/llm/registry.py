@@ -79,8 +79,9 @@ def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = texts(read(spark, sf_dir, "documents")).select(
-        "doc_id", secrets.scan(F.col("text")).alias("found"))
+    docs = texts(read(spark, sf_dir, "documents"))
+    found = docs.select(
+        "doc_id", secrets.scan(F.col("text"), secrets.common_words(docs)).alias("found"))
 
     def number(kind):
         return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")

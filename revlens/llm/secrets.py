@@ -6,6 +6,11 @@ none of these shapes, such as `pass is Tr0ub4dor&3xQ`: a dynamic program finds t
 guess a value, segmenting it into common words, dates, repeated parts, walks over a keyboard
 and brute force, and values that still cost more than `MIN_LOG10_GUESSES` are reported.
 
+Common words are a short list that guessers try first, then the corpus's own: runs of three to
+`MOST_WORD_CHARS` ASCII letters that stand in at least `MIN_DOCUMENTS` documents, the `MOST_WORDS`
+in most documents, ranked by that count. Values in a credential's context are left out of the
+count, so that a secret does not become a word by being copied.
+
 Defined results: null and empty texts have no spans. Offsets count code points, ends are
 exclusive. Values of every length are judged by the same program, which stops at the place where
 every way to go on already costs enough.
@@ -20,7 +25,7 @@ from heapq import heappop, heappush
 from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The shapes.
@@ -42,6 +47,9 @@ CONTEXT = re.compile(
 )
 CONTEXT_HINT = re.compile(r"pass|pwd|secret|token|api|credential|auth|private|pin", re.IGNORECASE)
 MIN_LOG10_GUESSES = 10.0
+MIN_DOCUMENTS = 3
+MOST_WORDS = 200_000
+MOST_WORD_CHARS = 64
 CACHED_CHARS = 128  # costs of longer values are computed each time, so that the cache stays small
 LONGEST_PERIOD = 16  # a longer part costs more than the threshold by itself
 
@@ -60,10 +68,6 @@ DATE = re.compile(
     r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
     r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d"
 )
-_RANK = {word: rank for rank, word in enumerate(COMMON_WORDS, 1)}
-_LONGEST: dict[str, int] = {}  # by the first three letters
-for _word in COMMON_WORDS:
-    _LONGEST[_word[:3]] = max(len(_word), _LONGEST.get(_word[:3], 0))
 _BETWEEN = math.log10(2)
 _STEPS = {size: math.log10(size) for size in (10, 26, 33)}
 _PLACE = {
@@ -72,6 +76,45 @@ _PLACE = {
 }
 
 
+class Words:
+    """Words by rank, the built-in ones first, and the longest one by its first three letters."""
+
+    def __init__(self, more: str = ""):
+        self.rank: dict[str, int] = {}
+        self.longest: dict[str, int] = {}
+        for word in (*COMMON_WORDS, *more.split()):
+            self.rank.setdefault(word, len(self.rank) + 1)
+            self.longest[word[:3]] = max(len(word), self.longest.get(word[:3], 0))
+
+
+_BUILT_IN = Words()
+
+
+@lru_cache(maxsize=2)
+def _words(more: str) -> Words:
+    return Words(more)
+
+
+def common_words(docs: DataFrame) -> str:
+    """The words of `text` that are common in the corpus, most common first, joined by blanks."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Java's pattern, without the look-behind: whatever may be a value is left out
+    values = "(?i)" + CONTEXT.pattern.replace("(?<![A-Za-z])", "")
+    rest = F.when(
+        text.rlike("(?i)" + CONTEXT_HINT.pattern), F.regexp_replace(text, values, " ")
+    ).otherwise(text)
+    found = F.regexp_extract_all(
+        F.lower(rest), F.lit("(?<![a-z0-9])[a-z]{3,}+(?![0-9])"), F.lit(0))
+    counted = (
+        docs.select(F.explode(F.array_distinct(found)).alias("word"))
+        .filter(F.length("word") <= MOST_WORD_CHARS)
+        .groupBy("word").agg(F.count("*").alias("documents"))
+        .filter(F.col("documents") >= MIN_DOCUMENTS)
+    )
+    rows = counted.orderBy(F.desc("documents"), "word").limit(MOST_WORDS).select("word").collect()
+    return " ".join(row.word for row in rows)
+
+
 def _alphabet(char: str) -> int:
     if char.isdigit():
         return 10
@@ -86,7 +129,8 @@ def _next_to(a: str, b: str) -> bool:
     )
 
 
-def _segments(value: str, enough: float = math.inf) -> Iterator[tuple[int, int, float]]:
+def _segments(value: str, enough: float = math.inf,
+              words: Words = _BUILT_IN) -> Iterator[tuple[int, int, float]]:
     """(start, end, log10 of the guesses) of every part that is not guessed by brute force, by
     start. Parts that cost `enough` by themselves may be left out."""
     lower = value.lower()
@@ -96,10 +140,10 @@ def _segments(value: str, enough: float = math.inf) -> Iterator[tuple[int, int,
     before = [0.0, *accumulate(_STEPS[_alphabet(c)] for c in value)]
     matched = [0] * (LONGEST_PERIOD + 1)  # up to where the value equals itself shifted by a period
     for start in range(size):
-        longest = max(_LONGEST.get(text[start:start + 3], 0) for text in (lower, plain))
+        longest = max(words.longest.get(text[start:start + 3], 0) for text in (lower, plain))
         for end in range(start + 3, min(size, start + longest) + 1):
             for text, twist in ((lower, 1), (plain, 4)):
-                rank = _RANK.get(text[start:end])
+                rank = words.rank.get(text[start:end])
                 if rank:
                     capitals = 1 if value[start:end].islower() else 2
                     yield start, end, math.log10(rank * twist * capitals + 1)
@@ -131,13 +175,13 @@ def _segments(value: str, enough: float = math.inf) -> Iterator[tuple[int, int,
                 yield start, start + times * period, own + math.log10(times)
 
 
-def _cheapest(value: str, enough: float = math.inf) -> float:
+def _cheapest(value: str, enough: float, words: Words) -> float:
     """Cost of the cheapest segmentation; each further segment doubles the guesses. At `enough` or
     above, a lower bound of it: whichever way leads past a place costs that much up to there."""
     if not value:
         return 0.0
     size = len(value)
-    parts = _segments(value, enough)
+    parts = _segments(value, enough, words)
     part = next(parts, None)
     cheapest = [0.0] + [math.inf] * size
     brute = math.inf  # cheapest with brute force up to here
@@ -159,14 +203,17 @@ def _cheapest(value: str, enough: float = math.inf) -> float:
     return cheapest[size]
 
 
-_cached = lru_cache(maxsize=50_000)(_cheapest)
+@lru_cache(maxsize=50_000)
+def _cached(value: str, enough: float, words: Words) -> float:
+    return _cheapest(value, enough, words)
 
 
-def log10_guesses(value: str, enough: float = math.inf) -> float:
-    return (_cached if len(value) <= CACHED_CHARS else _cheapest)(value, enough)
+def log10_guesses(value: str, enough: float = math.inf, words: Words = _BUILT_IN) -> float:
+    return (_cached if len(value) <= CACHED_CHARS else _cheapest)(value, enough, words)
 
 
-def spans(text: str | None, min_guesses: float = MIN_LOG10_GUESSES) -> list[tuple]:
+def spans(text: str | None, min_guesses: float = MIN_LOG10_GUESSES,
+          words: Words = _BUILT_IN) -> list[tuple]:
     """(start, kind's place in KINDS, end), in order."""
     if not text:
         return []
@@ -183,16 +230,16 @@ def spans(text: str | None, min_guesses: float = MIN_LOG10_GUESSES) -> list[tupl
             base = bisect_right(starts, start) - 1
             if len(value) < 8 or base >= 0 and start < ends[base]:
                 continue  # a base span already has it
-            if log10_guesses(value, min_guesses) >= min_guesses:
+            if log10_guesses(value, min_guesses, words) >= min_guesses:
                 found.append((start, 3, end))
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(found)
 
 
-def redact(text: str | None, mark: str = "[SECRET]") -> str | None:
+def redact(text: str | None, mark: str = "[SECRET]", words: Words = _BUILT_IN) -> str | None:
     """The text with every span, overlapping ones together, replaced by the mark."""
-    found = spans(text)
+    found = spans(text, words=words)
     if not found:
         return text
     out, end = [], 0
@@ -203,24 +250,25 @@ def redact(text: str | None, mark: str = "[SECRET]") -> str | None:
     return "".join(out) + text[end:]
 
 
-def scan(text: Column) -> Column:
-    """array<struct<kind, start, end>> of a text column, by start and kind."""
+def scan(text: Column, common: str = "") -> Column:
+    """array<struct<kind, start, end>> of a text column, by start and kind, with the corpus's
+    `common_words`."""
 
     @F.pandas_udf("array<struct<kind: string, start: long, end: long>>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([
-                [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans(text)]
+                [{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans(text, words=_words(common))]
                 for text in batch
             ], dtype=object)
 
     return found(text)
 
 
-def redacted(text: Column) -> Column:
+def redacted(text: Column, common: str = "") -> Column:
     @F.pandas_udf("string")
     def without(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([redact(text) for text in batch], dtype=object)
+            yield pd.Series([redact(text, words=_words(common)) for text in batch], dtype=object)
 
     return without(text)

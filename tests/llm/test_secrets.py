@@ -113,3 +113,27 @@ def test_stopping_early_changes_no_verdict():
         for enough in (4.0, 10.0, 15.0):
             assert (secrets.log10_guesses(value, enough) >= enough) == (
                 secrets.log10_guesses(value) >= enough), value
+
+
+def test_ordinary_words_of_the_corpus_are_no_secrets(spark, sf_dir, tmp_path):
+    import corpus_pipeline
+
+    prose = ["Patience makes it difficult for any provider of insurance.",
+             "Geduldig wartet der Versicherungsnehmer auf die Wahrscheinlichkeitsüberlegung.",
+             "Le fournisseur garde la confidence; el proveedor guarda silencioso."] * 3
+    plain = ["The secret is patience", "the password is difficult", "auth: provider",
+             "das secret is geduldig", "auth: Versicherungsnehmer", "auth: fournisseur, oui",
+             "auth: proveedor", "pass: silencioso", "pwd: Wahrscheinlichkeitsüberlegung"]
+    # a copied secret does not become a word, nor does a word of few documents
+    costly = ["my pass is qzwvkxjyhb", "my pass is qzwvkxjyhb", "my pass is qzwvkxjyhb",
+              "rarelyseenword", "auth: rarelyseenword", "pin is G7#kd9!mZq2"]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in enumerate(prose + plain + costly)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    folder = save(tmp_path, docs)
+    rows = {r.doc_id: r.spans for r in registry.op9_secrets(spark, folder).collect()}
+    first = len(prose) + len(plain)
+    assert [i for i, s in sorted(rows.items()) if s] == [
+        first, first + 1, first + 2, first + 4, first + 5]
+    clean = corpus_pipeline.secret_scans(spark, docs, folder).collect()
+    assert [r.doc_id for r in clean if "[SECRET]" in r.text] == [i for i, s in rows.items() if s]

@@ -11,20 +11,20 @@ preformatted text as it is, and tables as aligned columns.
 Defined results: null and empty pages give the empty text; malformed markup never fails, text
 outside any element is visible; character references without meaning stay as written. White space
 at line ends is dropped, more than one empty line becomes one (but for preformatted text).
-Nesting deeper than `DEEPEST` is rendered at that depth, so no page exhausts the stack.
+Nesting of every depth is kept: the tree builder knows the place of each open tag, and the layout's
+functions are generators that hand their inner calls to a work list, so no page exhausts the stack.
 """
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEEPEST = 150
-
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
@@ -110,16 +110,17 @@ def parse(html: str) -> Node:
     root = Node("")
     stack = [root]
     at, size = 0, len(html)
-    too_deep = 0  # open elements that are not on the stack
+    places: dict[str, list[int]] = defaultdict(list)  # of open elements on the stack, by tag
+
+    def innermost(tags) -> int:
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
 
     def close(tags, boundary=frozenset()) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = stack[depth].tag
-            if tag in tags:
-                del stack[depth:]
-                return
-            if tag in boundary:
-                return
+        depth = innermost(tags)
+        if depth and depth >= innermost(boundary):
+            for node in stack[depth:]:
+                places[node.tag].pop()
+            del stack[depth:]
 
     def add_text(text: str) -> None:
         if text and not stack[-1].hidden:
@@ -140,12 +141,10 @@ def parse(html: str) -> Node:
             tag = match["end"].lower()
             if tag == "br":
                 stack[-1].children.append(Node("br"))
-            elif tag == "p" and not any(n.tag == "p" for n in stack):
+            elif tag == "p" and not places["p"]:
                 stack[-1].children.append(Node("p"))
             elif tag in HEADINGS:
                 close(HEADINGS, SCOPE)
-            elif too_deep:
-                too_deep -= 1
             elif tag not in ("body", "html"):
                 close((tag,), TABLE_PARTS.get(tag, SCOPE))
         elif match["start"]:
@@ -176,10 +175,8 @@ def parse(html: str) -> Node:
                     node.children.append(
                         unescape(text) if tag in RAW_WITH_REFERENCES else text)
                 continue
-            if len(stack) < DEEPEST:
-                stack.append(node)
-            else:
-                too_deep += 1
+            places[tag].append(len(stack))
+            stack.append(node)
     return root
 
 
@@ -239,27 +236,52 @@ class Layout:
 
 
 def _preformatted(node: Node) -> str:
-    return "".join(
-        child if isinstance(child, str) else "\n" if child.tag == "br" else _preformatted(child)
-        for child in node.children)
+    parts, open_lists = [], [iter(node.children)]
+    while open_lists:
+        for child in open_lists[-1]:
+            if isinstance(child, str):
+                parts.append(child)
+            elif child.tag == "br":
+                parts.append("\n")
+            else:
+                open_lists.append(iter(child.children))
+                break
+        else:
+            open_lists.pop()
+    return "".join(parts)
+
+
+def _run(call: Generator):
+    """The result of a layout function. What it yields are the calls that it needs, in order."""
+    calls, result = [call], None
+    while calls:
+        try:
+            inner = calls[-1].send(result)
+        except StopIteration as done:
+            calls.pop()
+            result = done.value
+        else:
+            calls.append(inner)
+            result = None
+    return result
 
 
-def _children(node: Node, out: Layout) -> None:
+def _children(node: Node, out: Layout) -> Generator:
     for child in node.children:
         if isinstance(child, str):
             out.text(child)
         else:
-            _element(child, out)
+            yield _element(child, out)
 
 
-def _block(node: Node) -> list[str]:
+def _block(node: Node) -> Generator:
     inner = Layout()
-    _children(node, inner)
+    yield _children(node, inner)
     inner.flush()
     return inner.lines
 
 
-def _list(node: Node, out: Layout) -> None:
+def _list(node: Node, out: Layout) -> Generator:
     numbered = node.tag == "ol"
     items = [c for c in node.children if isinstance(c, Node) and c.tag == "li"]
     step = -1 if "reversed" in node.attributes else 1
@@ -272,14 +294,14 @@ def _list(node: Node, out: Layout) -> None:
             number = _int(child.attributes.get("value"), number)
             mark = f"{number}. " if numbered else "- "
             number += step
-            lines = _block(child) or [""]
+            lines = (yield _block(child)) or [""]
             indent = " " * len(mark)
             out.put([(mark + lines[0]).rstrip(),
                      *((indent + line).rstrip() for line in lines[1:])])
         elif isinstance(child, str):
             loose.text(child)
         else:
-            _element(child, loose)
+            yield _element(child, loose)
     out.put(_flushed(loose))
 
 
@@ -293,45 +315,45 @@ def _int(text: str | None, default: int) -> int:
     return int(match[1]) if match else default
 
 
-def _rows(node: Node, rows: list, captions: list, loose: Layout) -> None:
+def _rows(node: Node, rows: list, captions: list, loose: Layout) -> Generator:
     row = None
     for child in node.children:
         if isinstance(child, str):
             loose.text(child)
         elif child.tag == "tr":
-            rows.append(_cells(child, loose))
+            rows.append((yield _cells(child, loose)))
             row = None
         elif child.tag in ("thead", "tbody", "tfoot", "form"):
-            _rows(child, rows, captions, loose)
+            yield _rows(child, rows, captions, loose)
             row = None
         elif child.tag in ("td", "th"):  # a cell without a row
             if row is None:
                 row = []
                 rows.append(row)
-            row.append((_block(child), _int(child.attributes.get("colspan"), 1)))
+            row.append(((yield _block(child)), _int(child.attributes.get("colspan"), 1)))
         elif child.tag == "caption":
-            captions.append(_block(child))
+            captions.append((yield _block(child)))
         elif child.tag not in ("col", "colgroup"):
-            _element(child, loose)
+            yield _element(child, loose)
 
 
-def _cells(node: Node, loose: Layout) -> list:
+def _cells(node: Node, loose: Layout) -> Generator:
     cells = []
     for child in node.children:
         if isinstance(child, str):
             loose.text(child)
         elif child.tag in ("td", "th"):
-            cells.append((_block(child), _int(child.attributes.get("colspan"), 1)))
+            cells.append(((yield _block(child)), _int(child.attributes.get("colspan"), 1)))
         else:
-            _element(child, loose)
+            yield _element(child, loose)
     return cells
 
 
-def _table(node: Node, out: Layout) -> None:
+def _table(node: Node, out: Layout) -> Generator:
     rows: list = []
     captions: list = []
     loose = Layout()
-    _rows(node, rows, captions, loose)
+    yield _rows(node, rows, captions, loose)
     out.put(_flushed(loose))
     for caption in captions:
         out.put(caption)
@@ -356,7 +378,7 @@ def _table(node: Node, out: Layout) -> None:
             out.put(["  ".join(parts).rstrip()])
 
 
-def _element(node: Node, out: Layout) -> None:
+def _element(node: Node, out: Layout) -> Generator:
     tag = node.tag
     if tag == "br":
         out.line_break()
@@ -371,7 +393,7 @@ def _element(node: Node, out: Layout) -> None:
         if tag == "textarea":
             out.inline.append(node.children[0] if node.children else "")
         else:
-            _children(node, out)
+            yield _children(node, out)
         return
     apart = 1 if tag in APART else 0
     out.apart(apart)
@@ -380,19 +402,19 @@ def _element(node: Node, out: Layout) -> None:
         lines = text.removeprefix("\n").rstrip().split("\n")
         out.put([line.rstrip("\r") for line in lines] if text.strip() else [])
     elif tag in LISTS:
-        _list(node, out)
+        yield _list(node, out)
     elif tag == "table":
-        _table(node, out)
+        yield _table(node, out)
     elif tag == "hr":
         out.put(["---"])
     elif tag in ("dd", "blockquote"):
-        out.put([f"    {line}".rstrip() for line in _block(node)])
+        out.put([f"    {line}".rstrip() for line in (yield _block(node))])
     elif tag == "details" and "open" not in node.attributes:
         shut = Node("div")
         shut.children = [c for c in node.children if isinstance(c, Node) and c.tag == "summary"]
-        out.put(_block(shut))
+        out.put((yield _block(shut)))
     else:
-        _children(node, out)
+        yield _children(node, out)
     out.apart(apart)
 
 
@@ -400,7 +422,7 @@ def render(html: str | None) -> str:
     """The visible text of a page."""
     if not html:
         return ""
-    return "\n".join(_block(parse(html.replace("\x00", "")))).strip("\n")
+    return "\n".join(_run(_block(parse(html.replace("\x00", ""))))).strip("\n")
 
 
 def visible_text(html: Column) -> Column:

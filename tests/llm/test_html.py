@@ -66,3 +66,28 @@ def test_every_visible_word_of_the_sample_is_kept(spark, sf_dir):
         words = html.unescape(re.sub(r"(?s)<[^>]*>", " ", bare)).split()
         shown = [w for w in html.render(row.html).split() if w != "-"]
         assert sorted("".join(shown)) == sorted("".join(w for w in words if w != "-"))
+
+
+@pytest.mark.parametrize("tag", ["div", "span", "font", "b"])
+def test_rules_hold_at_every_depth(tag):
+    for depth in (10, 149, 150, 151, 3000):
+        deep = f"<{tag}>" * depth
+        for hidden in ("<div style='display:none'>no</div>", "<p hidden>no</p>",
+                       "<svg><text>no</text></svg>", "<template>no</template>"):
+            assert html.render(f"{deep}a{hidden}").strip() == "a"
+        assert html.render(f"{deep}<table><tr><td>a<td>b</table>").strip() == "a  b"
+        assert html.render(f"{deep}<ul><li>a<li>b</ul>").strip() == "- a\n- b"
+        # a stray end tag changes nothing, and what follows the deep spot is as before
+        after = f"</i></em><p hidden>no</p></{tag}>" + f"</{tag}>" * (depth - 1)
+        assert html.render(f"{deep}a{after}<ol><li>x<li>y</ol>").split() == [
+            "a", "1.", "x", "2.", "y"]
+    assert html.render("<pre>" + "<b>" * 3000 + "a\n  b") == "a\n  b"
+    assert html.render("<table><tr><td>" * 500 + "x") == "x"
+
+
+def test_open_tags_cost_no_search():
+    import time
+
+    started = time.monotonic()
+    assert html.render("<div><span>" * 50_000 + "<p>x" * 2) == "x\n\nx"
+    assert time.monotonic() - started < 30

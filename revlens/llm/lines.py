@@ -17,7 +17,8 @@ a half with a different line emit deletions; theirs come from words fetched once
 Texts are shuffled twice, by document: to fetch those words, and to apply the decisions.
 
 Defined results: null texts stay null, empty texts empty; rows that share a doc_id are one place, so
-what is first in one is first in the others; documents without id come last; a document may lose
+what is first in one is first in the others; each row without id is a document of its own, after
+all others, by a hash of its text (equal texts in any order); a document may lose
 all its lines and then keeps an empty text; no document is dropped. Line ends are `\\n`; the kept lines
 are joined by it unchanged. Columns beside the text are handed through.
 """
@@ -30,12 +31,26 @@ from revlens.llm.common import materialized
 MIN_WORDS = 5
 BLOCK = 16
 _SEPARATORS = "\t\n\x0b\x0c\r "
-_LAST = str(1 << 63)  # documents without id
+_LAST = str(1 << 63)  # the first document without id
+_ROWS = str(1 << 63)
 _LINES_OF_DOCUMENT = 1 << 31
+_ROW = "_row_without_id"
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number in `_ROW` for each row without id: 31 bits of its text's hash,
+    then its place in the table. Only these rows are stored, so that the number stays the same."""
+    whole = "decimal(38,0)"
+    upper = F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast(whole) * F.lit(_ROWS).cast(whole)
+    number = (F.lit(_LAST).cast(whole) + upper + F.monotonically_increasing_id()).cast(whole)
+    without = materialized(
+        docs.filter("doc_id is null").withColumn(_ROW, number), "documents-without-id")
+    return docs.filter("doc_id is not null").withColumn(_ROW, F.lit(None).cast(whole)).unionByName(
+        without)
 
 
 def _doc() -> Column:
-    return F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(_LAST).cast("decimal(38,0)"))
+    return F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.col(_ROW))
 
 
 def _words(line: Column) -> Column:
@@ -214,6 +229,8 @@ def _edited(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their texts cut to the kept lines, and line_counts (struct of lines
     and dropped) of each."""
+    columns = docs.columns
+    docs = _numbered(docs)
     named = materialized(_named_lines(docs, min_words), "named-lines")
     distinct = materialized(_distinct_lines(named), "distinct-lines")
     edited = _edited(docs, distinct).withColumn("edited", F.lit(True))
@@ -229,7 +246,7 @@ def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
         .groupBy("doc").agg(F.collect_set(F.struct("line_no", "h1")).alias("_dropped"))
     )
     doc = _doc()
-    others = [F.col(c) for c in docs.columns if c != "text"]
+    others = [F.col(c) for c in columns if c != "text"]
     joined = docs.select(*others, "text", doc.alias("_doc")).join(
         dropped.withColumnRenamed("doc", "_doc"), "_doc", "left")
     lines = F.split("text", "\n")
@@ -241,7 +258,7 @@ def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
     text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(
         F.concat_ws("\n", F.transform(kept, lambda s: s["line"])))
     return joined.select(
-        *[F.col(c) if c != "text" else text.alias("text") for c in docs.columns],
+        *[F.col(c) if c != "text" else text.alias("text") for c in columns],
         F.struct(
             F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("lines"),
             F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("dropped"),

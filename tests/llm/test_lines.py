@@ -133,33 +133,3 @@ def test_one_edit(spark, a, b, same):
 def test_plan_is_native(spark, sf_dir):
     plan = registry.op5_lines(spark, sf_dir)._jdf.queryExecution().toString()
     assert not any(name in plan for name in ("Python", "Pandas", "ArrowEval", "Cartesian"))
-
-
-def test_each_row_without_id_is_a_document(spark, monkeypatch):
-    same = "a b c d e f\n\none two three four five six"
-    near_one = "zero\na b c d e g\nq w e r t y"
-    other = "q w e r t y u\nshort"
-    rows = [(None, same, i) for i in range(4)] + [(None, near_one, 4), (None, other, 5),
-                                                 (None, None, 6), (3, "q w e r t y", 7)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, at long").repartition(3)
-    places = []
-    named = lines._named_lines
-
-    def kept_names(docs, min_words):
-        out = named(docs, min_words)
-        places.extend(out.select("doc", "place").collect())
-        return out
-
-    monkeypatch.setattr(lines, "_named_lines", kept_names)
-    found = lines.without_repeated_lines(docs)
-    assert found.columns == ["doc_id", "text", "at", "line_counts"]
-    got = {r.at: r.text for r in found.collect()}
-    # lines of one word's edit go too, so one row in all keeps the line of letters
-    texts = [got[i] for i in range(4)]
-    assert sorted(texts)[:3] == ["", "", ""]
-    assert sum("one two three four five six" in t for t in texts) == 1
-    assert sum("a b c d e" in t for t in got.values() if t) == 1
-    assert got[4].split("\n")[0] == "zero" and "q w e" not in got[4]
-    assert got[5] == "short" and got[6] is None and got[7] == "q w e r t y"
-    # arrays by document hold the lines of one row
-    assert len({p.doc for p in places}) == 7 and len({p.place for p in places}) == len(places)

@@ -5,7 +5,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import bpe, html, lines, neighbours, packing, quality, secrets, simhash, suffixes, warc
+from revlens.llm import (
+    bpe, decontaminate, html, lines, neighbours, packing, quality, secrets, simhash, suffixes, warc,
+)
 from revlens.llm.common import hex64, read, texts
 from revlens.runtime import fresh_path
 
@@ -107,6 +109,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_html": op2_html,
@@ -118,6 +130,7 @@ QUERIES = {
     "op8_suffixes": op8_suffixes,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op12_decontaminate": op12_decontaminate,
 }
 
 ORACLE_SQL = {
@@ -178,4 +191,35 @@ ORACLE_SQL = {
                case when page_id = response then 'response' else 'revisit' end as record_type,
                case when page_id <> response then response end as refers_to
         from firsts""",
+    "op12_decontaminate": r"""
+        with doc_words as (
+            select doc_id, list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+'), lambda x: x <> '') as w from documents),
+        item_words as (
+            select item_id, list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+'), lambda x: x <> '') as w from benchmark),
+        windows as (
+            select distinct item_id, least(10, len(w)) as width,
+                   array_to_string(w[i:i + least(10, len(w)) - 1], ' ') as run
+            from (select *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i
+                  from item_words where len(w) > 0)),
+        runs as (
+            select doc_id, i, width, array_to_string(w[i:i + width - 1], ' ') as run
+            from (select doc_id, w, width, unnest(range(1, len(w) - width + 2)) as i
+                  from doc_words, (select distinct width from windows) where len(w) >= width)),
+        found as (select r.*, item_id from runs r join windows using (width, run)),
+        hits as (
+            select doc_id, count(distinct place) as n_hit
+            from (select doc_id, unnest(range(i, i + width)) as place from found) group by doc_id),
+        items as (
+            select doc_id, count(*) as n_items,
+                   string_agg(item, ',' order by item) as ids
+            from (select distinct doc_id, cast(item_id as varchar) as item from found)
+            group by doc_id)
+        select d.doc_id, coalesce(len(w), 0) as n_words, coalesce(n_hit, 0) as n_hit,
+               coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+               n_hit is not null as contaminated
+        from doc_words d left join hits using (doc_id) left join items using (doc_id)""",
 }

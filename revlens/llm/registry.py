@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import (
-    bpe, decontaminate, html, lines, neighbours, packing, quality, secrets, simhash, suffixes, warc,
+    bpe, codes, decontaminate, html, lines, neighbours, packing, quality, secrets, simhash, suffixes,
+    warc,
 )
 from revlens.llm.common import hex64, read, texts
 from revlens.runtime import fresh_path
@@ -119,6 +120,11 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_html": op2_html,
@@ -131,6 +137,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
     "op12_decontaminate": op12_decontaminate,
+    "op13_codes": op13_codes,
 }
 
 ORACLE_SQL = {
@@ -222,4 +229,63 @@ ORACLE_SQL = {
                coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
                n_hit is not null as contaminated
         from doc_words d left join hits using (doc_id) left join items using (doc_id)""",
+    "op13_codes": """
+        with kept as (
+            select row_number() over (order by vec_id) - 1 as r, vec_id, label,
+                   list_transform(embedding, lambda x:
+                       cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where len(embedding) > 0 and len(embedding) % 16 = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        parts as (
+            select r, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] as v
+            from kept, (select unnest(range(16)) as p)),
+        book0 as (select p, r as e, v from parts where r < 64),
+        assigned0 as (
+            select r, p, min(d * 64 + e) as best
+            from (select x.r, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+                  from parts x join book0 b using (p))
+            group by r, p),
+        means1 as (
+            select p, e, list(mean order by i) as v
+            from (select p, e, i, cast(floor(sum(v[i]) / count(*)) as bigint) as mean
+                  from (select p, best % 64 as e, v, unnest(range(1, len(v) + 1)) as i
+                        from assigned0 join parts using (r, p))
+                  group by p, e, i)
+            group by p, e),
+        book1 as (
+            select p, e, coalesce(m.v, b.v) as v from book0 b left join means1 m using (p, e)),
+        assigned1 as (
+            select r, p, min(d * 64 + e) as best
+            from (select x.r, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+                  from parts x join book1 b using (p))
+            group by r, p),
+        means2 as (
+            select p, e, list(mean order by i) as v
+            from (select p, e, i, cast(floor(sum(v[i]) / count(*)) as bigint) as mean
+                  from (select p, best % 64 as e, v, unnest(range(1, len(v) + 1)) as i
+                        from assigned1 join parts using (r, p))
+                  group by p, e, i)
+            group by p, e),
+        book2 as (
+            select p, e, coalesce(m.v, b.v) as v from book1 b left join means2 m using (p, e)),
+        assigned2 as (
+            select r, p, min(d * 64 + e) as best
+            from (select x.r, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+                  from parts x join book2 b using (p))
+            group by r, p),
+        codes as (
+            select r, string_agg(format('{:02x}', best % 64), '' order by p) as code,
+                   cast(sum(best // 64) as bigint) as error
+            from assigned2 group by r),
+        digest as (
+            select sha256(string_agg(cast(x as varchar), ',' order by p, e, i)) as digest
+            from (select p, e, unnest(v) as x, unnest(range(len(v))) as i from book2))
+        select vec_id, code, error,
+               cast(sum(error) over (partition by label) as bigint) as label_error,
+               digest as codebooks_sha256
+        from kept join codes using (r), digest""",
 }

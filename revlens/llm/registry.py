@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import (
-    bpe, codes, decontaminate, html, lines, neighbours, packing, quality, secrets, simhash, suffixes,
-    warc,
+    bpe, codes, decontaminate, html, lines, negatives, neighbours, packing, quality, secrets, simhash,
+    suffixes, warc,
 )
 from revlens.llm.common import hex64, read, texts
 from revlens.runtime import fresh_path
@@ -110,6 +110,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(read(spark, sf_dir, "embeddings"), label, "vec_id % 100 = 0")
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -136,6 +141,7 @@ QUERIES = {
     "op8_suffixes": op8_suffixes,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op11_negatives": op11_negatives,
     "op12_decontaminate": op12_decontaminate,
     "op13_codes": op13_codes,
 }
@@ -198,6 +204,28 @@ ORACLE_SQL = {
                case when page_id = response then 'response' else 'revisit' end as record_type,
                case when page_id <> response then response end as refers_to
         from firsts""",
+    "op11_negatives": """
+        with kept as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+            from embeddings
+            where label is not null and len(embedding) > 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scores as (
+            select a.vec_id as anchor_id, o.vec_id, a.label = o.label as same,
+                   cast(list_inner_product(a.v, o.v) as bigint) as score
+            from kept a join kept o on a.vec_id % 100 = 0 and o.vec_id <> a.vec_id),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score
+            from scores where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select p.anchor_id, positive_id,
+               row_number() over (partition by p.anchor_id, positive_id
+                                  order by score desc, vec_id) as rank,
+               vec_id as negative_id, positive_score, score as negative_score
+        from positives p join scores s on s.anchor_id = p.anchor_id and not same
+             and 100 * score between 30 * positive_score and 90 * positive_score
+        qualify rank <= 10""",
     "op12_decontaminate": r"""
         with doc_words as (
             select doc_id, list_filter(string_split_regex(

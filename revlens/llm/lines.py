@@ -142,8 +142,12 @@ def _prefixes(hashes: Column) -> Column:
 
 
 def _with_prefixes(rows: DataFrame, hashes: str, out: str) -> DataFrame:
+    """The rows with the prefixes of a column of hashes. The generator of one element holds the
+    blocks' prefixes: two plain projections would be merged, and the lambda that reads them would
+    compute all blocks anew for every word."""
     prefixes, before = _prefixes(F.col(hashes))
-    return rows.withColumn("_before", before).withColumn(out, prefixes).drop("_before")
+    held = rows.select(F.inline(F.array(F.struct(*rows.columns, before.alias("_before")))))
+    return held.withColumn(out, prefixes).drop("_before")
 
 
 def _variants(lines: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import duckdb
 import pytest
@@ -120,6 +121,25 @@ def test_prefix_hashes_of_long_lines(spark, monkeypatch):
             assert whole == [found[22, slot]]
 
 
+def test_one_line_of_30000_words(spark, tmp_path):
+    """Prefixes by block are computed once a line, so the cost grows with its words alone."""
+    words = [f"w{i}" for i in range(30_000)]
+    edited = words[:20_000] + ["other"] + words[20_001:]
+    rows = [(0, " ".join(words)), (1, " ".join(edited)), (2, " ".join(words[:-2]))]
+    sf_dir = save(tmp_path, spark.createDataFrame(rows, "doc_id long, text string"))
+    started = time.time()
+    got = result(spark, sf_dir)
+    assert time.time() - started < 60
+    assert [(r[0], r[3]) for r in got] == [(0, 0), (1, 1), (2, 0)]
+
+
+def test_block_prefixes_are_computed_once(spark):
+    frame = spark.createDataFrame([(0, ["a", "b"], 2)], "place long, words array<string>, n int")
+    plan = lines._variants(frame)._jdf.queryExecution().optimizedPlan().toString()
+    # one generator for each of the two columns of hashes
+    assert plan.count("Generate inline(array(struct(") == 2
+
+
 @pytest.mark.parametrize("a, b, same", [
     ("a b c", "a b c", True), ("a b c", "a x c", True), ("a b c", "b c", True),
     ("a b c", "a b", True), ("a b c", "a b c d", True), ("a b c", "a c b", False),

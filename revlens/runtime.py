@@ -1,9 +1,11 @@
 """Session helpers: a local session for tests, and the shared working folder."""
 
 import hashlib
+import re
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,26 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and sizes of all files that a path or pattern names or holds, hidden ones left out."""
+    file_system, hadoop_path = _file_system(spark, path)
+    found = []
+    for top in file_system.globStatus(hadoop_path) or []:
+        files = file_system.listFiles(top.getPath(), True)
+        while files.hasNext():
+            status = files.next()
+            if not status.getPath().getName().startswith(("_", ".")):
+                found.append((status.getPath().toString(), status.getLen()))
+    return sorted(found)
+
+
+def open_path(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, as tasks open it, and the name there."""
+    if path.startswith("/"):
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+
+
 def files_state(spark: SparkSession, path: str) -> str:
     """A hash of the names, sizes and times of all files below a path."""
     file_system, hadoop_path = _file_system(spark, path)

@@ -2,9 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from revlens.runtime import files_state, materialized, path_exists
+from revlens.runtime import files_state, list_files, materialized, path_exists
 from revlens.schemas import TRAINING_FILE
+from revlens.sources import quoted_lines
 
 # CSV conventions. Texts hold quotes, line breaks and outer blanks.
 CSV_OPTIONS = {
@@ -18,9 +20,17 @@ CSV_OPTIONS = {
 def read_csv(spark: SparkSession, path: str, schema=TRAINING_FILE, multiline=True) -> DataFrame:
     """Review files with a header. An explicit schema saves the scan that inference takes.
 
-    With `multiline` a text may hold line breaks, but then one file is one task; turn
-    it off for large files whose texts are known to be single lines.
+    With `multiline` a text may hold line breaks. Such files are cut into records by byte ranges
+    in many tasks; only compressed files, and stores that Python cannot open, are read one file per
+    task. Without it, lines are records, which saves the pass that finds the quotes.
     """
+    if multiline and quoted_lines.splittable([name for name, _ in list_files(spark, path)]):
+        fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+        ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+        parsed = F.from_csv("value", ddl, options)
+        rows = quoted_lines.records(spark, path).select(parsed.alias("row"))
+        return rows.select("row.*")
     reader = spark.read.schema(schema).options(**CSV_OPTIONS)
     return reader.option("multiLine", str(multiline).lower()).csv(path)
 

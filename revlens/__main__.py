@@ -2,7 +2,8 @@
 
     train   --csv PATH --root PATH                 train all models on labelled reviews
     replay  --csv PATH --staged PATH (--out PATH | --servers H:P --topic T)
-    score   --root PATH (--replay PATH | --servers H:P --topic T) [--once] [--dedup "1 hour"]
+    score   --root PATH (--replay PATH | --log PATH | --servers H:P --topic T) [--once]
+            [--dedup "1 hour"]
     windows --root PATH [--length "1 day"]         negative share per window of all counted reviews
     report  --root PATH --name NAME [--out PATH]   write a whole report; without --out, preview it
             [--value TOPIC_OR_SEGMENT] [--dismissed PATH]
@@ -18,7 +19,7 @@ from revlens.plans.scoring import ReviewScorer
 from revlens.plans.training import train_from_csv
 from revlens.runtime import release_materialized
 from revlens.schemas import EVALUATION
-from revlens.sources import files, messages, tables
+from revlens.sources import commits, files, message_log, messages, tables
 from revlens.streaming import scoring, windows
 
 REVIEW_REPORTS = {name: getattr(reports, name) for name in (
@@ -57,10 +58,12 @@ def _trigger(args):
 def score(spark, args):
     if args.replay:
         stream = messages.file_stream(spark, args.replay, args.files_per_trigger)
+    elif args.log:
+        stream = commits.queue_rows(message_log.stream(
+            spark, args.log, f"{args.root}/checkpoints/score", args.offsets_per_trigger))
     else:
-        stream = messages.kafka_stream(
-            spark, args.servers, args.topic, most_per_trigger=args.offsets_per_trigger
-        ).select("value")
+        stream = commits.queue_rows(messages.kafka_stream(
+            spark, args.servers, args.topic, most_per_trigger=args.offsets_per_trigger))
     scoring.start_scoring(
         stream, ReviewScorer.load(spark, args.root), f"{args.root}/scored", f"{args.root}/counts",
         f"{args.root}/checkpoints/score", _trigger(args), args.dedup,
@@ -73,7 +76,10 @@ def window_shares(spark, args):
 
 
 def report(spark, args):
-    if args.name in REVIEW_REPORTS:
+    if args.name == "recent_reviews":
+        result = documents.reportable(
+            tables.recent_scored(spark, f"{args.root}/scored", f"{args.root}/counts"))
+    elif args.name in REVIEW_REPORTS:
         scored = documents.reportable(tables.read_scored(spark, f"{args.root}/scored"))
         result = REVIEW_REPORTS[args.name](scored)
     elif args.name in EVALUATION_REPORTS:
@@ -116,6 +122,7 @@ def parser():
         added.add_argument("--single-line", action="store_true")
     replays.add_argument("--out")
     scores.add_argument("--replay")
+    scores.add_argument("--log")
     scores.add_argument("--files-per-trigger", type=int, default=1000)
     scores.add_argument("--dedup")
     for added in (replays, scores):

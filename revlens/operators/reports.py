@@ -1,5 +1,7 @@
 """Report queries over the whole scored table, flattened by `documents.reportable`."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,16 +121,19 @@ def segment_counts_by_id(reviews: DataFrame) -> DataFrame:
     return counts.select("cluster_id", segment.alias("segment"), "review_count").orderBy("cluster_id")
 
 
-def recent_reviews(documents: DataFrame, count: int = RECENT_REVIEWS) -> DataFrame:
-    """The newest keys are found first, on two columns; only their documents are then fetched."""
-    order = (F.desc("processed_at"), F.desc("review_id"))
-    keys = documents.select(
-        F.col("processed_at").alias("_at"), F.col("review_id").alias("_id")
-    ).orderBy(F.desc("_at"), F.desc("_id")).limit(count)
-    newest = documents.join(
-        keys, F.col("processed_at").eqNullSafe(F.col("_at"))
-        & F.col("review_id").eqNullSafe(F.col("_id")), "left_semi")
-    return newest.orderBy(*order).limit(count)
+def recent_reviews(
+    documents: DataFrame, count: int = RECENT_REVIEWS, first: tuple = (),
+) -> DataFrame:
+    """The newest documents, by the columns in `first` and the time they were processed.
+
+    The newest keys are found on these few columns; only their documents are then fetched.
+    """
+    names = [*first, "processed_at", "review_id"]
+    keys = documents.select(*[F.col(name).alias(f"_{name}") for name in names]).orderBy(
+        *[F.desc(f"_{name}") for name in names]).limit(count)
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names]
+    newest = documents.join(keys, reduce(Column.__and__, same), "left_semi")
+    return newest.orderBy(*[F.desc(name) for name in names]).limit(count)
 
 
 def recent_alerts(alerts: DataFrame, count: int = RECENT_ALERTS) -> DataFrame:

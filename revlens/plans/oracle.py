@@ -371,6 +371,13 @@ QUERIES = {
     "windowed_anomaly_stream": WINDOWS.format("true"),
     "stream_alerts": "select alert_id, type, message from alerts",
     "stream_replayed": "select batch_key, total_reviews, negative_reviews from shares",
+    "stream_offsets": """
+        select review_id, cast(n % 4 as integer) as queue_partition,
+               row_number() over (partition by n % 4 order by n) - 1 as queue_offset, rating,
+               sentiment_label
+        from (select doc_id + 1 as n, 'review_' || cast(doc_id + 1 as varchar) as review_id
+              from documents) left join docs using (review_id)
+        qualify sentiment_label is not null""",
     "stream_dedup": "select review_id, product, rating, sentiment_label from docs",
     "recent_alerts": 'select alert_id, type, message, "timestamp", level from alerts order by "timestamp" desc, alert_id desc limit 10',
     "open_alerts": """

@@ -32,7 +32,7 @@ from revlens.operators.anomalies import (
 from revlens.functions.text import cleaned
 from revlens.plans import sample, train_segments, train_sentiment, train_topics, training
 from revlens.runtime import fresh_path, materialized
-from revlens.sources import files, lookups, messages, models, tables
+from revlens.sources import commits, files, lookups, message_log, messages, models, tables
 from revlens.streaming import scoring, windows
 
 EMBEDDING_SIZE = 64
@@ -682,6 +682,29 @@ def stream_replayed(spark, sf_dir) -> DataFrame:
     )
 
 
+STREAMED_PARTITIONS = 4
+
+
+@query
+def stream_offsets(spark, sf_dir) -> DataFrame:
+    """Every review in a log of four partitions, scored in bounded triggers by two checkpoints that
+    start, stop and start again: each review is stored once, with its offset."""
+    log, folder = fresh_path(spark, "log"), fresh_path(spark, "stream")
+    rows = sample.reviews(spark, sf_dir, labelled=False)
+    number = F.substring("review_id", 8, 20).cast("long")
+    sent = messages.encode(rows.withColumn("_n", number), keep=("_n",))
+    message_log.append(sent, log, "reviews", F.col("_n") % STREAMED_PARTITIONS, F.col("_n"))
+    bound = max(1, rows.count() * 3 // 5)
+    for checkpoint in ("first", "first", "second", "second"):
+        stream = message_log.stream(spark, log, f"{folder}/{checkpoint}", bound)
+        scoring.start_scoring(
+            commits.queue_rows(stream), sample.SampleScorer.default(spark), f"{folder}/scored",
+            f"{folder}/counts", f"{folder}/{checkpoint}", trigger={"availableNow": True},
+        ).awaitTermination()
+    return tables.read_scored(spark, f"{folder}/scored").select(
+        "review_id", "queue_partition", "queue_offset", "rating", "sentiment_label")
+
+
 @query
 def stream_alerts(spark, sf_dir) -> DataFrame:
     folder = fresh_path(spark, "stream")

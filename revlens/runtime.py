@@ -4,6 +4,7 @@ import hashlib
 import re
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -67,12 +68,20 @@ def materialized(df: DataFrame, label: str) -> DataFrame:
 
 
 def stored_id(spark: SparkSession, path: str) -> str:
-    """An id made on the first call and read from `path` on later ones."""
+    """An id made on the first call and read from `path` on later ones. It begins with its day."""
     if not path_exists(spark, path):
-        spark.range(1).select(F.lit(uuid.uuid4().hex)).coalesce(1).write.text(path)
+        made = f"{datetime.now(timezone.utc):%Y%m%d}{uuid.uuid4().hex}"
+        spark.range(1).select(F.lit(made)).coalesce(1).write.text(path)
     return spark.read.text(path).first()[0]
 
 
+def run_day(run_id: str) -> str:
+    """The day of a stored id; a fixed early day for ids of any other form."""
+    if re.fullmatch(r"\d{8}[0-9a-f]{32}", run_id):
+        return f"{run_id[:4]}-{run_id[4:6]}-{run_id[6:8]}"
+    return "1970-01-01"
+
+
 def release_materialized(spark: SparkSession) -> None:
     """Delete what `materialized` has written in this process, once a job is done with it."""
     while _written:
@@ -110,6 +119,13 @@ def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(found)
 
 
+def list_folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """The names of the folders right below a path that match a pattern."""
+    file_system, hadoop_path = _file_system(spark, f"{path}/{pattern}")
+    return [status.getPath().getName() for status in file_system.globStatus(hadoop_path) or []
+            if status.isDirectory()]
+
+
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path, as tasks open it, and the name there."""
     if path.startswith("/"):

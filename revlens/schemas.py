@@ -37,6 +37,13 @@ SCORED_DOCUMENT = T.StructType([
     T.StructField("timestamp", T.StringType()),
 ])
 
+# Where a queue held a review.
+QUEUE_PLACE = T.StructType([
+    T.StructField("queue_topic", T.StringType()),
+    T.StructField("queue_partition", T.IntegerType()),
+    T.StructField("queue_offset", T.LongType()),
+])
+
 ALERT = _strings("type", "message", "timestamp")
 
 REVIEW_COUNT = T.StructType([

@@ -43,7 +43,10 @@ def message_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _with_origin(lines: DataFrame) -> DataFrame:
-    return lines.select("value", "batch_key", F.col("_metadata.file_name").alias("source_file"))
+    """The day is the one on which the file came; it stays when the file is read again."""
+    day = F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd")
+    return lines.select("value", "batch_key", F.col("_metadata.file_name").alias("source_file"),
+                        day.alias("ingest_day"))
 
 
 def decode(messages: DataFrame, keep_corrupt: bool = False) -> DataFrame:

@@ -119,16 +119,21 @@ def records_of(file, start: int, end: int, size: int, inside: bool) -> Iterator[
         rest += more
 
 
-def _ranges(spark: SparkSession, files: list[tuple[str, int]], range_bytes: int) -> DataFrame:
-    """file, size, start, end: one row and one task per range."""
-    rows = [(path, size, at, min(at + range_bytes, size))
-            for path, size in files for at in range(0, size, range_bytes)]
-    ranges = spark.createDataFrame(rows, "file string, size long, start long, end long")
-    return ranges.repartition(max(1, len(rows)), "file", "start")
-
-
-def _with_states(ranges: DataFrame) -> DataFrame:
-    """The ranges with `inside`, the state at their first line."""
+def _ranges(spark: SparkSession, files: list[tuple[str, int]], range_bytes: int) -> tuple:
+    """file, size, start, end and task of each range, and the number of tasks: one for each full
+    range, small files together."""
+    rows, before = [], 0
+    for path, size in files:
+        for at in range(0, size, range_bytes):
+            end = min(at + range_bytes, size)
+            rows.append((path, size, at, end, before // range_bytes))
+            before += end - at
+    schema = "file string, size long, start long, end long, task long"
+    return spark.createDataFrame(rows, schema), max(1, -(-before // range_bytes))
+
+
+def _with_states(ranges: DataFrame, tasks: int) -> DataFrame:
+    """The ranges with `inside`, the state at their first line, stored."""
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,9 +149,9 @@ def _with_states(ranges: DataFrame) -> DataFrame:
                 [*batch.columns, pa.array(outside, pa.bool_()), pa.array(inside, pa.bool_())],
                 [*batch.schema.names, "from_outside", "from_inside"])
 
-    found = materialized(ranges.mapInArrow(
-        steps, "file string, size long, start long, end long, from_outside boolean, "
-               "from_inside boolean"), "csv-steps")
+    found = ranges.repartitionByRange(tasks, "task").mapInArrow(
+        steps, "file string, size long, start long, end long, task long, from_outside boolean, "
+               "from_inside boolean")
     # A step is constant, or keeps or turns the state; only steps after the last constant matter.
     step = F.when(F.col("from_outside") == F.col("from_inside"), F.col("from_outside").cast("int"))
     turns = (F.col("from_outside") & ~F.col("from_inside")).cast("int")
@@ -157,7 +162,8 @@ def _with_states(ranges: DataFrame) -> DataFrame:
     known = F.coalesce(last.over(before), F.struct(F.lit(0).alias("step"), F.lit(0).cast("long").alias("turned")))
     state = (known["step"] + F.col("turned") - known["turned"]) % 2
     return materialized(
-        rows.select("file", "size", "start", "end", (state == 1).alias("inside")), "csv-ranges")
+        rows.select("file", "size", "start", "end", "task", (state == 1).alias("inside")),
+        "csv-ranges")
 
 
 def records(spark: SparkSession, path: str, header: bool = True,
@@ -165,7 +171,11 @@ def records(spark: SparkSession, path: str, header: bool = True,
     """`value`: the records of all files below a path, each with its line breaks, without the
     files' first records if these are headers. Empty lines are left out."""
     files = list_files(spark, path)
-    ranges = _with_states(_ranges(spark, files, range_bytes))
+    ranges, tasks = _ranges(spark, files, range_bytes)
+    if all(size <= range_bytes for _, size in files):  # every range begins a file
+        ranges = ranges.withColumn("inside", F.lit(False))
+    else:
+        ranges = _with_states(ranges, tasks)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,9 +198,7 @@ def records(spark: SparkSession, path: str, header: bool = True,
                 if held:
                     yield _texts(held)
 
-    tasks = ranges.repartition(
-        max(1, sum(-(-size // range_bytes) for _, size in files)), "file", "start")
-    return tasks.mapInArrow(cut, "value string")
+    return ranges.repartitionByRange(tasks, "task").mapInArrow(cut, "value string")
 
 
 def _texts(records: list[bytes]) -> pa.RecordBatch:

@@ -1,21 +1,27 @@
-"""Result tables: scored reviews and their counts, replaced file by file; alerts from counts."""
+"""Result tables: scored reviews and their counts, replaced file by file; alerts from counts.
+
+Both are laid out by the day their source arrived, then by batch and file.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revlens.fixed_values import RECENT_REVIEWS
 from revlens.operators.anomalies import alert_documents, anomalous, share_of_counts
-from revlens.runtime import path_exists
-from revlens.schemas import REVIEW_COUNT, SCORED_DOCUMENT
+from revlens.operators.reports import recent_reviews
+from revlens.runtime import list_folders, path_exists
+from revlens.schemas import QUEUE_PLACE, REVIEW_COUNT, SCORED_DOCUMENT
 
-SCORED_KEYS = ["batch_key", "source_file"]
+SCORED_KEYS = ["ingest_day", "batch_key", "source_file"]
 
 
 def _keyed(schema: T.StructType, keys: list) -> T.StructType:
     return T.StructType([*schema.fields, *[T.StructField(key, T.StringType()) for key in keys]])
 
 
-SCORED_TABLE = _keyed(SCORED_DOCUMENT, SCORED_KEYS)
+STAGED = T.StructType([*SCORED_DOCUMENT.fields, *QUEUE_PLACE.fields])
+SCORED_TABLE = _keyed(STAGED, SCORED_KEYS)
 COUNT_TABLE = _keyed(REVIEW_COUNT, SCORED_KEYS)
 
 
@@ -37,22 +43,49 @@ def replace_partitions(rows: DataFrame, path: str, keys: list, rebalance: bool =
 
 
 def read_scored(spark: SparkSession, path: str, keys: list | None = None) -> DataFrame:
-    """The whole table, or only the folders of the given (batch_key, source_file)."""
+    """The whole table, or only the folders of the given keys."""
     rows = spark.read.schema(SCORED_TABLE)
     if keys is None:
         return rows.parquet(path)
-    folders = [f"{path}/batch_key={_escaped(b)}/source_file={_escaped(f)}" for b, f in keys]
+    folders = [folder_of(path, key) for key in keys]
     stored = [folder for folder in folders if path_exists(spark, folder)]
     if not stored:
         return spark.createDataFrame([], SCORED_TABLE)
     return rows.option("basePath", path).parquet(*stored)
 
 
-def _escaped(value: str) -> str:
-    """A partition's value as Spark writes it into the folder's name."""
+def folder_of(path: str, key: tuple) -> str:
+    """The folder of a key, with values as Spark writes them into the folders' names."""
     spark = SparkSession.active()
     catalog = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return catalog.escapePathName(value)
+    parts = [f"{name}={catalog.escapePathName(value)}" for name, value in zip(SCORED_KEYS, key)]
+    return "/".join([path, *parts])
+
+
+def newest_days(spark: SparkSession, counts_path: str, count: int) -> list[str]:
+    """The newest days that together hold so many reviews, by the counts of one day at a time."""
+    prefix, days, found = "ingest_day=", [], 0
+    for folder in sorted(list_folders(spark, counts_path, f"{prefix}*"), reverse=True):
+        days.append(folder[len(prefix):])
+        counts = spark.read.schema(REVIEW_COUNT).parquet(f"{counts_path}/{folder}")
+        found += counts.agg(F.sum("total_reviews")).first()[0] or 0
+        if found >= count:
+            break
+    return days
+
+
+def recent_scored(
+    spark: SparkSession, scored_path: str, counts_path: str, count: int = RECENT_REVIEWS,
+) -> DataFrame:
+    """The newest reviews of the table. Only the newest days that hold so many are read; days
+    come first in the order, so a file that is scored again keeps its place."""
+    days = newest_days(spark, counts_path, count)
+    if not days:
+        return spark.createDataFrame([], SCORED_TABLE)
+    folders = [f"{scored_path}/ingest_day={day}" for day in days]
+    # these folders alone are listed, not the whole table
+    rows = spark.read.schema(SCORED_TABLE).option("basePath", scored_path).parquet(*folders)
+    return recent_reviews(rows, count, first=("ingest_day",))
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:

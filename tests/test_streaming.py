@@ -1,13 +1,14 @@
 """The stream gives what the batch gives, however triggers fall and however often it runs."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from revlens.operators.anomalies import windowed_negative_share
 from revlens.plans import sample
 from revlens.plans.queries import _replayed
 from revlens.runtime import fresh_path
 from revlens.schemas import MESSAGE
-from revlens.sources import messages, tables
+from revlens.sources import commits, message_log, messages, tables
 from revlens.streaming import scoring, windows
 
 ONCE = {"availableNow": True}
@@ -99,7 +100,7 @@ def test_messages_without_origin_are_keyed_by_trigger(spark):
     scorer = sample.SampleScorer.default(spark)
     for _ in range(2):  # a retried trigger replaces its own rows
         done = scoring.score_batch(scorer, folder.scored, folder.counts, rows, 7, run_id="r")
-    assert done == [("run-r-7", "run-r-7")]
+    assert done == [("1970-01-01", "run-r-7", "run-r-7")]
     assert tables.read_scored(spark, folder.scored).count() == 2
     assert scoring.score_batch(
         scorer, folder.scored, folder.counts, rows.limit(0), 8, run_id="r") == []
@@ -166,3 +167,142 @@ def test_a_late_batch_of_older_reviews_counts(spark):
     shares = windows.window_shares(tables.read_counts(spark, folder.counts)).collect()
     assert sorted((str(r.window_start)[:10], r.total_reviews) for r in shares) == [
         ("2024-01-01", 3), ("2024-05-02", 3)]
+
+
+# --- queues ---------------------------------------------------------------------------
+
+def _log(spark, path, numbers, rate=1):
+    rows = spark.createDataFrame([(i, _message(i, rate)) for i in numbers], "n long, value string")
+    message_log.append(rows, path, "reviews", F.col("n") % 3, F.col("n"))
+
+
+def drain(spark, log, folder, checkpoint, bound, limit=50):
+    """Start the query again and again until nothing is left; rows of each start."""
+    seen = []
+    for _ in range(limit):
+        stream = commits.queue_rows(
+            message_log.stream(spark, log, f"{folder.path}/{checkpoint}", max_offsets=bound))
+        running = scoring.start_scoring(
+            stream, sample.SampleScorer.default(spark), folder.scored, folder.counts,
+            f"{folder.path}/{checkpoint}", trigger=ONCE)
+        running.awaitTermination()
+        rows = sum(p["numInputRows"] for p in running.recentProgress)
+        if not rows:
+            return seen
+        seen.append(rows)
+    raise AssertionError("never done")
+
+
+def offsets(scored):
+    return sorted((r.queue_partition, r.queue_offset, r.review_id) for r in scored.collect())
+
+
+def test_bounded_log_with_restarts_and_two_checkpoints(spark):
+    log, folder = fresh_path(spark, "log"), Folder(spark)
+    _log(spark, log, range(10))
+    seen = drain(spark, log, folder, "c1", bound=4)
+    assert sum(seen) == 10 and max(seen) <= 4 and len(seen) >= 3
+    expected = sorted((i % 3, i // 3, f"review_{i}") for i in range(10))
+    assert offsets(tables.read_scored(spark, folder.scored)) == expected
+    # another checkpoint reads the same offsets, and then further ones, with other bounds
+    _log(spark, log, range(10, 17))
+    drain(spark, log, folder, "c2", bound=7)
+    numbers = [*range(10), *range(10, 17)]
+    stored = tables.read_scored(spark, folder.scored)
+    assert sorted(r.review_id for r in stored.collect()) == sorted(f"review_{i}" for i in numbers)
+    assert len({o[:2] for o in offsets(stored)}) == 17
+    shares = tables.batch_shares(tables.read_counts(spark, folder.counts)).collect()
+    assert sum(r.total_reviews for r in shares) == 17
+    # the first checkpoint finds the new offsets stored
+    drain(spark, log, folder, "c1", bound=100)
+    assert tables.read_scored(spark, folder.scored).count() == 17
+
+
+def _queue(spark, offsets_, partition=0):
+    rows = [(_message(i, 1), "t", partition, i) for i in offsets_]
+    return commits.queue_rows(spark.createDataFrame(
+        rows, "value string, topic string, partition int, offset long"))
+
+
+def test_overlapping_ranges_are_stored_once(spark):
+    folder, scorer = Folder(spark), sample.SampleScorer.default(spark)
+
+    def commit(*offsets_):
+        return scoring.score_batch(
+            scorer, folder.scored, folder.counts, _queue(spark, offsets_), 0)
+
+    assert len(commit(0, 1, 2)) == 1
+    assert commit(0, 1, 2) == []  # a retried trigger
+    commit(5, 6, 7)
+    commit(1, 2, 3, 4, 5, 6)
+    assert [o for _, o, _ in offsets(tables.read_scored(spark, folder.scored))] == list(range(8))
+    log = commits.CommitLog(spark, f"{folder.scored}-commits")
+    assert log.latest().ranges == {"t": {"0": [[0, 7]]}} and log.latest().number == 3
+
+
+def test_a_writer_that_was_slower_scores_the_rest(spark, monkeypatch):
+    folder, scorer = Folder(spark), sample.SampleScorer.default(spark)
+    add = commits.CommitLog.add
+
+    def other_first(self, manifest):
+        monkeypatch.setattr(commits.CommitLog, "add", add)
+        scoring.score_batch(scorer, folder.scored, folder.counts, _queue(spark, (0, 1)), 0)
+        return add(self, manifest)
+
+    monkeypatch.setattr(commits.CommitLog, "add", other_first)
+    scoring.score_batch(scorer, folder.scored, folder.counts, _queue(spark, (0, 1, 2)), 0)
+    assert [o for _, o, _ in offsets(tables.read_scored(spark, folder.scored))] == [0, 1, 2]
+
+
+def test_a_writer_that_dies_after_its_manifest_is_finished_by_the_next(spark, monkeypatch):
+    folder, scorer = Folder(spark), sample.SampleScorer.default(spark)
+    move = commits.CommitLog._move
+
+    def dies(self, staged, target):
+        raise OSError("lost")
+
+    monkeypatch.setattr(commits.CommitLog, "_move", dies)
+    with pytest.raises(OSError):
+        scoring.score_batch(scorer, folder.scored, folder.counts, _queue(spark, (0, 1)), 0)
+    monkeypatch.setattr(commits.CommitLog, "_move", move)
+    scoring.score_batch(scorer, folder.scored, folder.counts, _queue(spark, (0, 1, 2)), 0)
+    assert [o for _, o, _ in offsets(tables.read_scored(spark, folder.scored))] == [0, 1, 2]
+    shares = tables.batch_shares(tables.read_counts(spark, folder.counts)).collect()
+    assert sum(r.total_reviews for r in shares) == 3
+
+
+def test_old_manifests_go_and_the_state_stays(spark, monkeypatch):
+    monkeypatch.setattr(commits, "KEPT_MANIFESTS", 2)
+    log = commits.CommitLog(spark, fresh_path(spark, "commits"))
+    for n in range(1, 5):
+        before = log.latest()
+        ranges = before.with_ranges([("t", 0, 10 * n, 10 * n + 9), ("u", n, 0, 0)])
+        assert log.add(commits.Manifest(n, ranges))
+        assert not log.add(commits.Manifest(n, {}))
+    assert log._numbers() == [3, 4]
+    assert log.latest().ranges["t"] == {"0": [[10, 49]]} and len(log.latest().ranges["u"]) == 4
+
+
+# --- newest reviews ---------------------------------------------------------------------
+
+def test_newest_reviews_read_the_newest_days_only(spark):
+    folder = Folder(spark)
+    docs = spark.createDataFrame(
+        [(f"review_{d}_{i}", f"2024-01-{d:02d}", "b", f"f{i % 2}", f"2024-01-{d:02d} 00:00:{i:02d}")
+         for d in range(1, 11) for i in range(6)],
+        "review_id string, ingest_day string, batch_key string, source_file string, processed_at string"
+    ).withColumn("processed_at", F.col("processed_at").cast("timestamp")).withColumns({
+        "sentiment": F.lit(0.0), "timestamp": F.lit(None).cast("string")})
+    tables.replace_partitions(docs, folder.scored, tables.SCORED_KEYS, rebalance=True)
+    counts = scoring._counts(docs, *tables.SCORED_KEYS)
+    tables.replace_partitions(counts, folder.counts, tables.SCORED_KEYS, rebalance=True)
+    assert tables.newest_days(spark, folder.counts, 10) == ["2024-01-10", "2024-01-09"]
+    assert len(tables.newest_days(spark, folder.counts, 1000)) == 10
+    newest = tables.recent_scored(spark, folder.scored, folder.counts, 10)
+    got = [r.review_id for r in newest.collect()]
+    assert got == [f"review_10_{i}" for i in range(5, -1, -1)] + [
+        f"review_9_{i}" for i in range(5, 1, -1)]
+    assert {f.split("ingest_day=")[1][:10] for f in newest.inputFiles()} == {
+        "2024-01-09", "2024-01-10"}
+    assert len(newest.inputFiles()) == 4  # of 20
+    assert tables.recent_scored(spark, fresh_path(spark, "none"), fresh_path(spark, "none")).count() == 0

@@ -16,6 +16,8 @@ from revlens.fixed_values import (
     TOPIC_MIN_TOKEN,
     TOPIC_SENTIMENT_WORDS,
 )
+from revlens.runtime import materialized
+from revlens.sources.files import numbered
 
 
 def tokenizer():
@@ -66,38 +68,80 @@ def term_counts(documents: DataFrame, terms: str, *by) -> DataFrame:
     return rows.groupBy(*by, "term").agg(F.count("*").alias("term_count"))
 
 
+def _statistics(documents: DataFrame, terms: str, *by) -> DataFrame:
+    """Per term: occurrences and documents; the NULL term counts all documents.
+
+    Each document sends one row per occurrence, one per distinct term and one for itself, so
+    one aggregation, combined on the map side, yields all counts. Counting distinct
+    documents would need a second shuffle by document and term, and counting all of them a
+    second pass over the texts.
+    """
+    def rows(array, used, seen):
+        return F.transform(array, lambda t: F.struct(
+            t.alias("term"), F.lit(used).alias("used"), F.lit(seen).alias("seen")))
+
+    itself = F.array(F.lit(None).cast("string"))
+    counted = documents.select(*by, F.inline(F.concat(
+        rows(F.col(terms), 1, 0), rows(F.array_distinct(terms), 0, 1), rows(itself, 0, 1))))
+    return counted.groupBy(*by, "term").agg(
+        F.sum("used").alias("term_count"), F.sum("seen").alias("doc_count"))
+
+
 def term_statistics(documents: DataFrame, terms: str) -> DataFrame:
-    """Per term: occurrences and documents.
+    """Per term: occurrences and documents."""
+    return _statistics(documents, terms).filter(F.col("term").isNotNull())
+
 
-    Each document sends one row per occurrence and one per distinct term, so one
-    aggregation, combined on the map side, yields both counts. Counting distinct
-    documents would need a second shuffle by document and term.
+def most_frequent(statistics: DataFrame, size: int) -> DataFrame:
+    """The `size` terms with the largest term_count, ties by term, of stored statistics.
+
+    The cut is found in histograms of the counts, ten bits at a time. Terms above it are taken as
+    they lie; only those that tie with it are sorted, in ranges, and numbered. So no task holds
+    more than its share, however many terms there are.
     """
-    occurrence = F.transform(
-        terms, lambda t: F.struct(t.alias("term"), F.lit(1).alias("used"), F.lit(0).alias("seen"))
-    )
-    presence = F.transform(
-        F.array_distinct(terms),
-        lambda t: F.struct(t.alias("term"), F.lit(0).alias("used"), F.lit(1).alias("seen")),
-    )
-    rows = documents.select(F.inline(F.concat(occurrence, presence)))
-    return rows.groupBy("term").agg(
-        F.sum("used").alias("term_count"), F.sum("seen").alias("doc_count")
-    )
+    largest, number = statistics.agg(F.max("term_count"), F.count("*")).first()
+    if number <= size:
+        return statistics
+    shift, prefix, wanted = max(0, (largest.bit_length() - 1) // 10 * 10), 0, size
+    while True:
+        here = statistics.filter(F.shiftright("term_count", shift + 10) == prefix)
+        digit = F.shiftright("term_count", shift).bitwiseAND(F.lit(1023))
+        histogram = here.groupBy(digit.alias("digit")).count().collect()
+        for digit, count in sorted(((r["digit"], r["count"]) for r in histogram), reverse=True):
+            if count >= wanted:
+                prefix = prefix * 1024 + digit
+                break
+            wanted -= count
+        if not shift:
+            break
+        shift -= 10
+    above = statistics.filter(F.col("term_count") > prefix)
+    ties = statistics.filter(F.col("term_count") == prefix).orderBy("term")
+    ties = materialized(ties.withColumn("row_key", F.monotonically_increasing_id()), "ties")
+    first = numbered(ties, "_place").filter(F.col("_place") <= wanted)
+    return above.unionByName(first.select(*statistics.columns))
+
+
+def vocabulary_of(
+    documents: DataFrame, terms: str, size: int, min_df: int, max_df: float | None = None
+) -> tuple[DataFrame, int]:
+    """The most frequent terms among those found in enough and not in too many documents, in
+    order, and the number of documents. `max_df` is a share of all documents and inclusive."""
+    counted = materialized(
+        _statistics(documents, terms).filter(
+            F.col("term").isNull() | (F.col("doc_count") >= min_df)), "term-statistics")
+    whole = counted.filter(F.col("term").isNull()).first()
+    total = whole["doc_count"] if whole else 0
+    found = counted.filter(F.col("term").isNotNull())
+    if max_df is not None:
+        found = found.filter(F.col("doc_count") <= total * max_df)
+    return most_frequent(found, size).orderBy(F.desc("term_count"), "term"), total
 
 
 def vocabulary(
     documents: DataFrame, terms: str, size: int, min_df: int, max_df: float | None = None
 ) -> DataFrame:
-    """The most frequent terms among those found in enough and not in too many documents.
-
-    `max_df` is a share of all documents and inclusive.
-    """
-    statistics = term_statistics(documents, terms).filter(F.col("doc_count") >= min_df)
-    if max_df is not None:
-        total = documents.agg(F.count("*")).scalar()
-        statistics = statistics.filter(F.col("doc_count") <= total * F.lit(max_df))
-    return statistics.orderBy(F.desc("term_count"), "term").limit(size)
+    return vocabulary_of(documents, terms, size, min_df, max_df)[0]
 
 
 def vectorizer(
@@ -114,8 +158,9 @@ def vectorizer(
     return CountVectorizerModel.from_vocabulary(words, inputCol=terms, outputCol=output)
 
 
-def idf_weights(documents: DataFrame, terms: DataFrame) -> DataFrame:
-    """Inverse document frequency of each vocabulary term."""
-    total = documents.agg(F.count("*")).scalar()
-    weight = F.log((total + 1.0) / (F.col("doc_count") + 1.0))
+def idf_weights(documents: DataFrame, terms: DataFrame, total: int | None = None) -> DataFrame:
+    """Inverse document frequency of each vocabulary term. `total`, the number of documents, saves
+    counting them."""
+    number = documents.agg(F.count("*")).scalar() if total is None else F.lit(total)
+    weight = F.log((number + 1.0) / (F.col("doc_count") + 1.0))
     return terms.select("term", "doc_count", weight.alias("idf"))

@@ -416,7 +416,7 @@ def remove_topic_stopwords(spark, sf_dir) -> DataFrame:
 
 def _bigram_vocabulary(spark, sf_dir):
     rows = tokens.with_bigrams(sample.prepared(spark, sf_dir, training=True))
-    return rows, tokens.vocabulary(rows, "bigrams", BIGRAM_VOCABULARY, BIGRAM_MIN_DF)
+    return rows, *tokens.vocabulary_of(rows, "bigrams", BIGRAM_VOCABULARY, BIGRAM_MIN_DF)
 
 
 @query
@@ -426,8 +426,8 @@ def vocabulary(spark, sf_dir) -> DataFrame:
 
 @query
 def idf_weights(spark, sf_dir) -> DataFrame:
-    rows, terms = _bigram_vocabulary(spark, sf_dir)
-    return tokens.idf_weights(rows, terms).withColumn("idf", F.round("idf", 6))
+    rows, terms, total = _bigram_vocabulary(spark, sf_dir)
+    return tokens.idf_weights(rows, terms, total).withColumn("idf", F.round("idf", 6))
 
 
 @query

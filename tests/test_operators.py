@@ -358,3 +358,27 @@ def test_vectorizer_order_is_total(small_texts):
     assert model.vocabulary == ["c", "a"]
     counts = model.transform(small_texts).orderBy("id").collect()
     assert [list(r.v.toArray()) for r in counts] == [[0, 2], [1, 0], [3, 0], [0, 1], [0, 0]]
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 50, 333, 1999, 2000, 5000])
+def test_vocabulary_selection_equals_sorting(spark, size):
+    """Counts over three digits of the histogram, and many ties."""
+    import random
+
+    chance = random.Random(5)
+    counts = [chance.choice([1, 1, 1, 2, 3, 900, 1024, 1025, 5000, 2_000_000, 1 << 31])
+              for _ in range(2000)]
+    rows = [(f"t{i * 7919 % 2000}", n, 1) for i, n in enumerate(counts)]
+    statistics = spark.createDataFrame(
+        rows, "term string, term_count long, doc_count long").repartition(5)
+    got = tokens.most_frequent(statistics, size)
+    expected = sorted(rows, key=lambda r: (-r[1], r[0]))[:size]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_no_task_gathers_the_candidates_of_all_others(spark):
+    rows = spark.range(3000).select(
+        F.concat(F.lit("t"), "id").alias("term"), F.lit(4).cast("long").alias("term_count"),
+        F.lit(4).cast("long").alias("doc_count"))
+    plan = tokens.most_frequent(rows, 100)._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan

@@ -251,11 +251,16 @@ def _opened(subtrees: pa.Table) -> Iterator[Tree]:
 
 
 def _searched(subtrees: DataFrame, anchors: DataFrame, search, schema: str) -> DataFrame:
-    """What search(tree, anchor's row, its values, bounds) finds, for all subtrees and anchors."""
-    units = subtrees.agg(F.max("unit")).first()[0]
+    """What search(anchor's row, its values, trees with their bounds) finds in all units.
+
+    Neighbouring ranges make one unit if they are smaller than a subtree may be, so that the results
+    of units grow with the rows, not with the number of partitions."""
+    ranges, rows = subtrees.agg(
+        F.max("unit") + 1, F.sum(F.octet_length("vec_ids") / 8)).first()
     blocks = max(1, -(-anchors.count() // ANCHORS))
-    if units is None:
+    if ranges is None:
         return subtrees.sparkSession.createDataFrame([], schema)
+    units = min(ranges, -(-int(rows) // SUBTREE))
     names = [field.split()[0] for field in schema.split(", ")]
 
     def met(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -263,20 +268,23 @@ def _searched(subtrees: DataFrame, anchors: DataFrame, search, schema: str) -> D
         if len(left) and len(right):
             values = right.column("values").combine_chunks().flatten().to_numpy().reshape(
                 len(right), -1)
-            rows = right.drop_columns(["values", "unit", "block"]).to_pylist()
-            for tree in _opened(left):
-                low, high = tree.bounds(values)
-                for n, row in enumerate(rows):
-                    found += search(tree, row, values[n], low[n], high[n])
+            trees = [(tree, *tree.bounds(values)) for tree in _opened(left)]
+            for n, row in enumerate(
+                    right.drop_columns(["values", "unit", "block"]).to_pylist()):
+                own = [(tree, low[n], high[n]) for tree, low, high in trees]
+                own.sort(key=lambda found: -found[2][-1])  # the best root first
+                found += search(row, values[n], own)
         columns = list(zip(*found)) if found else [()] * len(names)
         return pa.table({name: pa.array(column, pa.int64())
                          for name, column in zip(names, columns)})
 
     keys = ["unit", "block"]
-    left = subtrees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    unit = F.floor(F.col("unit") * units / ranges).cast("int")
+    left = subtrees.withColumn("unit", unit).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = anchors.withColumn(
         "block", F.pmod(F.xxhash64("anchor_id"), F.lit(blocks)).cast("int")
-    ).withColumn("unit", F.explode(F.sequence(F.lit(0), F.lit(units))))
+    ).withColumn("unit", F.explode(F.sequence(F.lit(0), F.lit(units - 1))))
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(met, schema)
 
 
@@ -288,10 +296,11 @@ def _ranked(found: DataFrame, keys: list[str], score: str, vec_id: str, count: i
 def positives(subtrees: DataFrame, anchors: DataFrame, count: int) -> DataFrame:
     """anchor_id, positive_id, positive_score: each anchor's best other rows of its label."""
 
-    def search(tree, anchor, values, low, high):
+    def search(anchor, values, trees):
         best = Best(None, None, count)
-        allowed = (tree.labels == anchor["label"]) & (tree.vec_ids != anchor["anchor_id"])
-        best_first(tree, values, low, high, allowed, [best])
+        for tree, low, high in trees:
+            allowed = (tree.labels == anchor["label"]) & (tree.vec_ids != anchor["anchor_id"])
+            best_first(tree, values, low, high, allowed, [best])
         return [(anchor["anchor_id"], vec_id, -score) for score, vec_id in best.rows]
 
     found = _searched(subtrees, anchors, search,
@@ -306,15 +315,16 @@ def negatives(subtrees: DataFrame, anchors: DataFrame, found: DataFrame, low: in
     listed = found.groupBy("anchor_id").agg(
         F.collect_list(F.struct("positive_id", "positive_score")).alias("positives"))
 
-    def search(tree, anchor, values, box_low, box_high):
+    def search(anchor, values, trees):
         by_score = {}
         for positive in anchor["positives"]:
             score = positive["positive_score"]
             ends = -(-low * score // 100), high * score // 100
             if ends[0] <= ends[1]:
                 by_score.setdefault(score, Best(*ends, count))
-        best_first(tree, values, box_low, box_high, tree.labels != anchor["label"],
-                   list(by_score.values()))
+        for tree, box_low, box_high in trees:
+            best_first(tree, values, box_low, box_high, tree.labels != anchor["label"],
+                       list(by_score.values()))
         return [(anchor["anchor_id"], p["positive_id"], p["positive_score"], vec_id, -score)
                 for p in anchor["positives"] if p["positive_score"] in by_score
                 for score, vec_id in by_score[p["positive_score"]].rows]

@@ -28,9 +28,6 @@ SEGMENT_INPUTS = [
 ]
 SEGMENT_RANGE = (2, 5)
 SEGMENT_MAX_ITER = 20
-# Partitions in which segment features lie while a model is fitted; part of the model's
-# settings, since start points are drawn partition by partition.
-SEGMENT_PARTITIONS = 8
 
 # --- Fixed values: reports and alerts ---------------------------------------
 

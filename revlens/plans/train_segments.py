@@ -1,56 +1,50 @@
 """Segments: standardized features into K-means, with the number of segments chosen."""
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.fixed_values import SEED, SEGMENT_MAX_ITER, SEGMENT_PARTITIONS, SEGMENT_RANGE
+from revlens.fixed_values import SEED, SEGMENT_MAX_ITER, SEGMENT_RANGE
+from revlens.operators import kmeans
 from revlens.operators.features import SEGMENT_INPUTS, segment_features
 from revlens.operators.segments import segment_profiles
 from revlens.runtime import materialized
 
-
-def scaling_pipeline() -> Pipeline:
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=SEGMENT_INPUTS, outputCol="raw_features", handleInvalid="skip"),
-        StandardScaler(inputCol="raw_features", outputCol="clustering_features",
-                       withMean=True, withStd=True),
-    ])
+SCALED_INPUTS = [f"scaled_{c}" for c in SEGMENT_INPUTS]
 
 
 def sweep(scaled: DataFrame) -> list:
-    """(segments, silhouette, model) for each number of segments, on features fitted once."""
-    evaluator = ClusteringEvaluator(featuresCol="clustering_features")
-    results = []
-    for k in range(SEGMENT_RANGE[0], SEGMENT_RANGE[1] + 1):
-        model = KMeans(featuresCol="clustering_features", k=k, maxIter=SEGMENT_MAX_ITER,
-                       seed=SEED).fit(scaled)
-        results.append((k, evaluator.evaluate(model.transform(scaled)), model))
-    return results
+    """(segments, silhouette, model) for each number of segments. All are fitted together, on
+    features written once."""
+    numbers = list(range(SEGMENT_RANGE[0], SEGMENT_RANGE[1] + 1))
+    centers = kmeans.fit(scaled, SCALED_INPUTS, numbers, SEGMENT_MAX_ITER, SEED)
+    scores = kmeans.silhouettes(scaled, SCALED_INPUTS, centers)
+    return [(k, scores.get(k, 0.0),
+             kmeans.kmeans_model(scaled.sparkSession, centers[k], "clustering_features"))
+            for k in numbers]
 
 
 def scaled_features(with_topics: DataFrame, sentiment: str = "sentiment_label"):
-    """The fitted scaler, and the scaled features written once for the sweep."""
+    """The pipeline that scales features, and the features, plain and scaled, written once."""
     features = segment_features(with_topics, sentiment).select(*SEGMENT_INPUTS)
-    stored = materialized(
-        features.withColumn("row_hash", F.xxhash64(*SEGMENT_INPUTS)), "segment-inputs")
-    scaler = scaling_pipeline().fit(laid_out(stored))
-    return scaler, laid_out(materialized(scaler.transform(stored), "segment-features"))
-
-
-def laid_out(rows: DataFrame) -> DataFrame:
-    """Rows dealt and sorted by their hash. K-means draws its start points, and sums are
-    rounded, partition by partition; so files, cores and earlier shuffles must not decide
-    what a partition holds. Rows of equal hash have equal features."""
-    return rows.repartition(SEGMENT_PARTITIONS, "row_hash").sortWithinPartitions("row_hash")
+    stored = materialized(features, "segment-inputs")
+    _, means, deviations = kmeans.moments(stored, SEGMENT_INPUTS)
+    scaler = PipelineModel(stages=[
+        VectorAssembler(inputCols=SEGMENT_INPUTS, outputCol="raw_features", handleInvalid="skip"),
+        kmeans.scaler_model(
+            stored.sparkSession, means, deviations, "raw_features", "clustering_features"),
+    ])
+    scaled = kmeans.scaled(stored, SEGMENT_INPUTS, means, deviations)
+    return scaler, materialized(scaled, "segment-features")
 
 
 def train_segments(with_topics: DataFrame):
     """The pipeline with the best silhouette (fewest segments on ties), its score and profiles."""
     scaler, scaled = scaled_features(with_topics)
     _, score, model = max(sweep(scaled), key=lambda result: (result[1], -result[0]))
-    profiles = segment_profiles(model.transform(scaled), "prediction")
-    return PipelineModel(stages=[*scaler.stages, model]), score, profiles
+    vector = array_to_vector(F.array(*SCALED_INPUTS)).alias("clustering_features")
+    placed = model.transform(scaled.select(*SEGMENT_INPUTS, vector))
+    return PipelineModel(stages=[*scaler.stages, model]), score, segment_profiles(
+        placed, "prediction")

@@ -68,8 +68,9 @@ def term_counts(documents: DataFrame, terms: str, *by) -> DataFrame:
     return rows.groupBy(*by, "term").agg(F.count("*").alias("term_count"))
 
 
-def _statistics(documents: DataFrame, terms: str, *by) -> DataFrame:
-    """Per term: occurrences and documents; the NULL term counts all documents.
+def term_counts_by(documents: DataFrame, terms: str, *by) -> DataFrame:
+    """Per term, within the groups `by`: occurrences and documents; the NULL term counts all
+    documents.
 
     Each document sends one row per occurrence, one per distinct term and one for itself, so
     one aggregation, combined on the map side, yields all counts. Counting distinct
@@ -89,7 +90,7 @@ def _statistics(documents: DataFrame, terms: str, *by) -> DataFrame:
 
 def term_statistics(documents: DataFrame, terms: str) -> DataFrame:
     """Per term: occurrences and documents."""
-    return _statistics(documents, terms).filter(F.col("term").isNotNull())
+    return term_counts_by(documents, terms).filter(F.col("term").isNotNull())
 
 
 def most_frequent(statistics: DataFrame, size: int) -> DataFrame:
@@ -128,7 +129,7 @@ def vocabulary_of(
     """The most frequent terms among those found in enough and not in too many documents, in
     order, and the number of documents. `max_df` is a share of all documents and inclusive."""
     counted = materialized(
-        _statistics(documents, terms).filter(
+        term_counts_by(documents, terms).filter(
             F.col("term").isNull() | (F.col("doc_count") >= min_df)), "term-statistics")
     whole = counted.filter(F.col("term").isNull()).first()
     total = whole["doc_count"] if whole else 0

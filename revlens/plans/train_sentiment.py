@@ -1,10 +1,18 @@
 """Sentiment classifier: bigram TF-IDF and three numbers into a logistic regression."""
 
+import math
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, StandardScaler, VectorAssembler
+from pyspark.ml.feature import (
+    IDF,
+    CountVectorizerModel,
+    ElementwiseProduct,
+    StandardScaler,
+    VectorAssembler,
+)
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,21 +100,100 @@ def _fold_scores(models: list, validation: DataFrame) -> DataFrame:
     )
 
 
+def fold_statistics(words: DataFrame) -> DataFrame:
+    """Per term: occurrences and documents in each fold, as arrays; the NULL term counts all
+    documents. A training part's counts are those of all folds less its own."""
+    found = tokens.term_counts_by(tokens.bigrams().transform(words), "bigrams", "fold")
+    by_fold = F.map_from_entries(F.collect_list(F.struct("fold", F.struct("term_count", "doc_count"))))
+    counts = found.groupBy("term").agg(by_fold.alias("by_fold"))
+
+    def each(name):
+        return F.array(*[
+            F.coalesce(F.try_element_at("by_fold", F.lit(fold))[name], F.lit(0))
+            for fold in range(CV_FOLDS)])
+
+    return materialized(
+        counts.select("term", each("term_count").alias("term_counts"),
+                      each("doc_count").alias("doc_counts")), "fold-statistics")
+
+
+def _outside(counts: str, fold: int):
+    """The sum over all folds but one."""
+    return sum((F.col(counts)[i] for i in range(CV_FOLDS) if i != fold), F.lit(0))
+
+
+def fold_terms(statistics: DataFrame, fold: int) -> DataFrame:
+    """term, term_count, doc_count: the vocabulary of one training part."""
+    part = statistics.filter(F.col("term").isNotNull()).select(
+        "term", _outside("term_counts", fold).alias("term_count"),
+        _outside("doc_counts", fold).alias("doc_count"))
+    return tokens.most_frequent(
+        part.filter(F.col("doc_count") >= BIGRAM_MIN_DF), BIGRAM_VOCABULARY)
+
+
+def fold_features(train: DataFrame, key: str):
+    """The rows of all folds as vectors of counts over the folds' vocabularies together, written
+    once, and for each fold the weights of the terms, 0 for those its training part leaves out.
+
+    Texts are split into words once; counts, vocabularies and vectors come from the stored words.
+    """
+    folded = with_fold(train, key)
+    for stage in (tokens.tokenizer(), tokens.stop_word_remover()):
+        folded = stage.transform(folded)
+    words = materialized(
+        folded.select("fold", "sentiment_label", "words_filtered", *NUMERIC_INPUTS), "fold-words")
+    statistics = fold_statistics(words)
+    whole = statistics.filter(F.col("term").isNull()).first()
+    documents = list(whole["doc_counts"]) if whole else [0] * CV_FOLDS
+    terms: dict[str, int] = {}
+    chosen = []
+    for fold in range(CV_FOLDS):
+        total = sum(documents) - documents[fold]
+        rows = fold_terms(statistics, fold).orderBy(F.desc("term_count"), "term").collect()
+        chosen.append([(terms.setdefault(r["term"], len(terms)),
+                        math.log((total + 1.0) / (r["doc_count"] + 1.0))) for r in rows])
+    weights = []
+    for pairs in chosen:
+        weight = [0.0] * len(terms)
+        for place, idf in pairs:
+            weight[place] = idf
+        weights.append(weight)
+    counter = CountVectorizerModel.from_vocabulary(
+        list(terms), inputCol="bigrams", outputCol="raw_features")
+    assembled = VectorAssembler(inputCols=NUMERIC_INPUTS, outputCol="numeric_features").transform(
+        counter.transform(tokens.bigrams().transform(words)))
+    return materialized(assembled.select(
+        "fold", "sentiment_label", "raw_features", "numeric_features"), "fold-vectors"), weights
+
+
+def _weighted(rows: DataFrame, weights: list, scaler) -> DataFrame:
+    """Label and features of one fold, without the metadata of each term."""
+    product = ElementwiseProduct(
+        scalingVec=Vectors.dense(weights), inputCol="raw_features", outputCol="text_features")
+    joined = VectorAssembler(inputCols=["text_features", "scaled_numeric"], outputCol="features")
+    ready = joined.transform(scaler.transform(product.transform(rows)))
+    return ready.select("sentiment_label", F.col("features").alias("features", metadata={}))
+
+
 def grid_search(train: DataFrame, key: str, grid: list, parallel: int = 4) -> DataFrame:
     """Mean weighted F1 of each setting over the folds; best first.
 
-    Features are fitted once per fold, on its training part only, instead of once
-    per fold and setting. The result has one row per setting.
+    Terms are counted once, by fold; each fold weights the same stored vectors by what its
+    training part alone knows. The result has one row per setting.
     """
     spark = train.sparkSession
-    folded = with_fold(train, key)
+    vectors, weights = fold_features(train, key)
     scores = []
     for fold in range(CV_FOLDS):
-        fitting = folded.filter(F.col("fold") != fold)
-        features = fit_features(fitting)
-        models = _fit_all(_ready(features, fitting, "fold-train"), grid, parallel)
-        held_out = _ready(features, folded.filter(F.col("fold") == fold), "fold-validation")
-        rows = _fold_scores(models, held_out).select("setting", "f1_score").collect()
+        fitting, held_out = (vectors.filter(F.col("fold") != fold),
+                             vectors.filter(F.col("fold") == fold))
+        if not weights[fold]:
+            raise ValueError("no term occurs in enough training documents")
+        scaler = StandardScaler(inputCol="numeric_features", outputCol="scaled_numeric",
+                                withMean=True, withStd=True).fit(fitting)
+        models = _fit_all(_weighted(fitting, weights[fold], scaler), grid, parallel)
+        rows = _fold_scores(models, _weighted(held_out, weights[fold], scaler)).select(
+            "setting", "f1_score").collect()
         scores += [(row["setting"], fold, row["f1_score"]) for row in rows]
     settings = [
         (i, *[float(values[p]) for p in (LogisticRegression.regParam,

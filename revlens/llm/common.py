@@ -16,10 +16,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
     """Python workers get at most so many rows or bytes at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_TEXTS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes)
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:

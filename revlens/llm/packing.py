@@ -2,15 +2,15 @@
 
 Attention makes a piece of n tokens cost n + n * n / capacity: a linear and a quadratic part.
 Pieces as long as a sequence fill one each. The rest of every document is dealt, by a hash
-of the piece, into bins of about `BIN_BYTES` of text; in a bin the pieces go in descending length
+of the piece and its place in the table, into bins of about `BIN_BYTES` of text; in a bin the pieces go in descending length
 (so descending cost) to the sequence of lowest cost that still has room. Where no sequence can take
 a piece whole, it is cut at the roomiest one's end. A bin has exactly as many places as tokens:
 full sequences, and for what is left over shorter ones whose lengths are powers of two, so that
 nothing is padded.
 
 Defined results: null and empty texts hold the end id alone; equal rows are packed each for
-itself; an empty table gives no pieces. The number of bins follows the bytes of all texts,
-so a bin's size does not grow with the input, and a piece's bin does not depend on where it lay.
+itself, in whatever bins they fall; an empty table gives no pieces. The number of bins follows the bytes
+of all texts and the number of documents, so a bin's size does not grow with the input.
 """
 
 import re
@@ -25,11 +25,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revlens.llm.common import texts
+from revlens.llm.common import bounded_batches, texts
 
 CAPACITY = 4096
 BIN_BYTES = 4_000_000
-REMEMBERED = 120_000
+# What a document counts for beside its text: its end id, and its row in a bin.
+DOCUMENT_BYTES = 64
+# A worker keeps at most twice so many words, and works on so many bytes of text at once.
+REMEMBERED = 60_000
+STEP_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 # Ids of a bin's sequences follow each other; a bin never has this many.
 BIN_SEQUENCES = 1 << 24
 PIECES = (
@@ -86,9 +91,18 @@ class WordIds:
         self.words[word] = ids
         return ids
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text. Arrow splits the texts and finds the batch's different words, so
-        that Python sees each of these once."""
+    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text, some texts at a time."""
+        at, size = 0, 0
+        for n, text in enumerate(texts):
+            size += len(text or "")
+            if size >= STEP_BYTES or n == len(texts) - 1:
+                yield from self._ids(texts[at:n + 1])
+                at, size = n + 1, 0
+
+    def _ids(self, texts: list[str | None]) -> list[bytes]:
+        """Arrow splits the texts and finds their different words, so that Python sees each of
+        these once."""
         simple = [
             "" if not text or self.intricate.search(text) else text.lower() for text in texts]
         split = pc.utf8_split_whitespace(pa.array(simple, pa.large_string()))
@@ -130,16 +144,21 @@ def cut(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> Da
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ids_of = word_ids(path).ids
         for batch in batches:
-            rows = [ids + end for ids in ids_of(batch.tolist())]
-            yield pd.Series([
-                [ids[at:at + width] for at in range(0, len(ids), width)] for ids in rows
-            ], dtype=object)
+            rows = []
+            for ids in ids_of(batch.tolist()):
+                ids += end
+                rows.append([ids[at:at + width] for at in range(0, len(ids), width)])
+            yield pd.Series(rows, dtype=object)
 
     ids_length = (F.octet_length("ids") / 4).cast("long")
     last = F.octet_length(F.element_at("pieces", -1)) / 4
+    rows = texts(docs)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     return (
-        texts(docs).select("doc_id", pieces(F.col("text")).alias("pieces"))
+        rows.select("doc_id", pieces(F.col("text")).alias("pieces"))
         .withColumn("doc_tokens", ((F.size("pieces") - 1) * capacity + last).cast("long"))
+        # outer, though there always is a piece: a plain explode would make Spark filter on the
+        # pieces first, and tokenize every text twice
         .select("doc_id", "doc_tokens", F.posexplode("pieces").alias("n", "ids"))
         .select("doc_id", (F.col("n").cast("long") * capacity).alias("start"),
                 ids_length.alias("length"), "ids", "doc_tokens")
@@ -183,10 +202,10 @@ def balance(lengths: list[int], capacity: int) -> list[tuple[int, int, int, int,
     return placed
 
 
-def pack(pieces: DataFrame, text_bytes: int, capacity: int = CAPACITY) -> DataFrame:
-    """Assign the pieces of `cut` to sequences, with the columns PIECES. `text_bytes`, the
-    size of all texts, sets the number of bins."""
-    bins = max(1, -(-text_bytes // BIN_BYTES))
+def pack(pieces: DataFrame, total_bytes: int, capacity: int = CAPACITY) -> DataFrame:
+    """Assign the pieces of `cut` to sequences, with the columns PIECES. `total_bytes`, the
+    size of all texts and documents, sets the number of bins."""
+    bins = max(1, -(-total_bytes // BIN_BYTES))
 
     names = [c.split()[0] for c in PIECES.split(", ")]
     schema = pa.schema([
@@ -210,7 +229,8 @@ def pack(pieces: DataFrame, text_bytes: int, capacity: int = CAPACITY) -> DataFr
             })
         return pa.Table.from_pylist(rows, schema=schema)
 
-    spread = F.xxhash64("doc_id", "start", "length", F.crc32("ids"))
+    # the place keeps equal rows, such as many without id, out of one bin
+    spread = F.xxhash64("doc_id", "start", F.monotonically_increasing_id())
     return (
         pieces.withColumn("bin", F.pmod(spread, F.lit(bins)))
         .groupBy("bin").applyInArrow(fill, PIECES)
@@ -218,5 +238,6 @@ def pack(pieces: DataFrame, text_bytes: int, capacity: int = CAPACITY) -> DataFr
 
 
 def packed(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    number, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    size = (size or 0) + DOCUMENT_BYTES * number
     return pack(cut(docs, path, end_id, capacity), size, capacity)

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from revlens.llm import packing, registry
@@ -23,7 +24,7 @@ def tokenizer():
     "'s 's. 'S, o'.",
 ])
 def test_ids_are_the_tokenizers(tokenizer, text):
-    ids = packing.word_ids(PATH).ids([text])[0]
+    ids = list(packing.word_ids(PATH).ids([text]))[0]
     assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == tokenizer.encode(
         text, add_special_tokens=False).ids
 
@@ -32,7 +33,7 @@ def test_every_simple_character(tokenizer):
     ids_of = packing.WordIds(PATH).ids
     for code in range(1, 0x300):
         text = f"A{chr(code)}b {chr(code)} {chr(code) * 2}1 x{chr(code)}. Y{chr(code)}"
-        ids = ids_of([text])[0]
+        ids = list(ids_of([text]))[0]
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == tokenizer.encode(
             text, add_special_tokens=False).ids, hex(code)
 
@@ -83,6 +84,28 @@ def test_many_bins(spark, sf_dir, tokenizer, monkeypatch):
     check(registry.op6_packing(spark, sf_dir).collect(), docs, tokenizer)
 
 
+def test_steps_and_forgotten_words_change_nothing(tokenizer, spark, sf_dir, monkeypatch):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + [None, ""]
+    expected = list(packing.WordIds(PATH).ids(texts))
+    monkeypatch.setattr(packing, "STEP_BYTES", 3000)
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    assert list(packing.WordIds(PATH).ids(texts)) == expected and len(expected) == len(texts)
+    assert list(packing.WordIds(PATH).ids([])) == []
+
+
+@pytest.mark.parametrize("text, number", [(None, 60_000), ("some equal words", 20_000)])
+def test_equal_rows_without_id_share_no_bin(spark, tokenizer, monkeypatch, text, number):
+    monkeypatch.setattr(packing, "BIN_BYTES", 200_000)
+    docs = spark.range(number).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit(text).cast("string").alias("text"))
+    pieces = packing.packed(docs.repartition(4), PATH, 2)
+    bins = pieces.groupBy((F.col("sequence_id") / packing.BIN_SEQUENCES).cast("int").alias("bin")).agg(
+        F.count("*").alias("n"), F.sum("length").alias("tokens")).collect()
+    assert len(bins) >= 8 and max(b.n for b in bins) < 3 * number / len(bins)
+    each = len(tokenizer.encode(text or "", add_special_tokens=False).ids) + 1
+    assert sum(b.tokens for b in bins) == each * number
+
+
 def test_costs_are_balanced():
     lengths = sorted([4000, 3000, 1000, 600, 500, 400, 300, 200, 100] * 8, reverse=True)
     placed = packing.balance(lengths, 4096)
@@ -92,3 +115,8 @@ def test_costs_are_balanced():
     full = [c for s, c in cost.items() if s < sum(lengths) // 4096]
     assert sum(length for _, _, length, _, _ in placed) == sum(lengths)
     assert max(full) <= 2 * 4096 + 1
+
+
+def test_texts_are_tokenized_once(spark, sf_dir):
+    plan = registry.op6_packing(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -159,7 +159,7 @@ def cut(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> Da
         .withColumn("doc_tokens", ((F.size("pieces") - 1) * capacity + last).cast("long"))
         # outer, though there always is a piece: a plain explode would make Spark filter on the
         # pieces first, and tokenize every text twice
-        .select("doc_id", "doc_tokens", F.posexplode("pieces").alias("n", "ids"))
+        .select("doc_id", "doc_tokens", F.posexplode_outer("pieces").alias("n", "ids"))
         .select("doc_id", (F.col("n").cast("long") * capacity).alias("start"),
                 ids_length.alias("length"), "ids", "doc_tokens")
     )

@@ -31,10 +31,21 @@ def share_of_counts(counts: DataFrame, *by, also: tuple = ()) -> DataFrame:
 
 
 def review_counts(scored: DataFrame, *by) -> DataFrame:
-    """Reviews and negative reviews per group and minute of the review; a NULL minute
-    counts reviews without a readable time."""
+    """Reviews and negative reviews per group and minute of the review, and sketches of their
+    different topics and segments; a NULL minute counts reviews without a readable time."""
     minute = F.date_trunc("minute", event_time()).alias("minute")
-    return negative_share(scored, *by, minute).drop("negative_pct")
+    sketches = tuple(
+        F.hll_sketch_agg(F.when(F.col(f"{field}.id") >= 0, F.col(f"{field}.name"))).alias(name)
+        for field, name in (("topic", "topics"), ("cluster", "segments")))
+    return negative_share(scored, *by, minute, also=sketches).drop("negative_pct")
+
+
+def different_in(counts: DataFrame, *by) -> DataFrame:
+    """About how many different topics and segments known reviews have, per group of counts. The
+    sketches are merged; no review is read. Twelve bits: a standard error of 1.6 %."""
+    return counts.groupBy(*by).agg(*[
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(name)), F.lit(0)).cast("long").alias(name)
+        for name in ("topics", "segments")])
 
 
 def anomalous(shares: DataFrame, threshold: float = ALERT_SHARE) -> DataFrame:

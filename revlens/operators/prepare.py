@@ -1,6 +1,6 @@
 """From raw reviews to rows a model can use."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from revlens.functions import cleaned, combined, label_of, length_or_zero, model_rating
@@ -49,9 +49,35 @@ def has_label() -> Column:
     return F.col("sentiment_label") >= 0
 
 
-def prepare_reviews(reviews: DataFrame, training: bool) -> DataFrame:
-    """All of the above; only labelled rows with text are kept for training."""
+class RowCounts:
+    """Rows kept and dropped, observed while the prepared rows are written or read first."""
+
+    def __init__(self):
+        self.labels, self.texts = Observation(), Observation()
+
+    def get(self) -> dict:
+        """Waits for that job."""
+        labels, texts = self.labels.get, self.texts.get
+        return {
+            "reviews": labels["reviews"], "unlabelled": labels["reviews"] - labels["labelled"],
+            "without_text": texts["reviews"] - texts["with_text"],
+            "training_rows": texts["with_text"],
+        }
+
+
+def prepare_reviews(
+    reviews: DataFrame, training: bool, counts: RowCounts | None = None,
+) -> DataFrame:
+    """All of the above; only labelled rows with text are kept for training. `counts` observes
+    what goes, in the same job."""
     labelled = with_label(reviews, training)
+    if counts:
+        labelled = labelled.observe(
+            counts.labels, F.count("*").alias("reviews"), F.count_if(has_label()).alias("labelled"))
     if training:
         labelled = labelled.filter(has_label())
-    return with_numbers(with_text(labelled).filter(has_text()))
+    texts = with_text(labelled)
+    if counts:
+        texts = texts.observe(
+            counts.texts, F.count("*").alias("reviews"), F.count_if(has_text()).alias("with_text"))
+    return with_numbers(texts.filter(has_text()))

@@ -81,6 +81,66 @@ def topic_summary(reviews: DataFrame) -> DataFrame:
     return grouped.orderBy(F.desc("review_count"), "topic_name")
 
 
+PAGE_KEYS = ["topic_known", "topic_name", "segment_known", "cluster_name", "sentiment"]
+PAGE_SETS = {
+    "all": [], "sentiment": ["sentiment"], "topic": PAGE_KEYS[:2],
+    "topic_sentiment": [*PAGE_KEYS[:2], "sentiment"], "segment": PAGE_KEYS[2:4],
+}
+
+
+def page_groups(reviews: DataFrame) -> DataFrame:
+    """All groups that the report page needs, from one scan: `set` names the grouping."""
+    rows = reviews.select(
+        (F.col("topic_id") >= 0).alias("topic_known"), "topic_name",
+        (F.col("cluster_id") >= 0).alias("segment_known"), "cluster_name", "sentiment", "rating")
+    groups = rows.groupingSets(
+        [[F.col(key) for key in keys] for keys in PAGE_SETS.values()], *map(F.col, PAGE_KEYS),
+    ).agg(
+        F.grouping_id().alias("_id"), F.count("*").alias("review_count"),
+        F.count("sentiment").alias("scored"),
+        F.count_if(F.col("sentiment") == POSITIVE).alias("positive_reviews"),
+        F.count_if(F.col("sentiment") == NEGATIVE).alias("negative_reviews"),
+        F.avg("sentiment").alias("avg_sentiment"), F.avg("rating").alias("avg_rating"),
+    )
+    name = F.lit(None).cast("string")
+    for label, keys in PAGE_SETS.items():  # a bit is set for each key left out
+        number = int("".join("0" if key in keys else "1" for key in PAGE_KEYS), 2)
+        name = F.when(F.col("_id") == number, F.lit(label)).otherwise(name)
+    return groups.withColumn("set", name).drop("_id")
+
+
+def report_page(groups: DataFrame) -> dict:
+    """The tables of the page from stored `page_groups`, each equal to its own query."""
+    def of(label):
+        return groups.filter(F.col("set") == label)
+
+    topics = of("topic").filter("topic_known")
+    cells = of("topic_sentiment").filter("topic_known")
+    labels = ["Negative", "Positive", "Unknown"]
+    named = of("sentiment").filter(F.col("sentiment").isin(POSITIVE, NEGATIVE, UNKNOWN))
+    known = F.col("positive_reviews") + F.col("negative_reviews")
+    return {
+        "kpi_summary": of("all").select(
+            F.col("review_count").alias("total_reviews"), "positive_reviews", "negative_reviews",
+            F.round(_share(F.col("positive_reviews"), known), 4).alias("positive_pct"),
+            F.round(_share(F.col("negative_reviews"), known), 4).alias("negative_pct")),
+        "sentiment_distribution": named.groupBy(
+            name_of(F.col("sentiment")).alias("sentiment_label")).agg(
+            F.sum("review_count").alias("review_count")),
+        "topic_counts": topics.select("topic_name", "review_count").orderBy(
+            F.desc("review_count"), "topic_name"),
+        "topic_sentiment_crosstab": cells.withColumn("label", name_of(F.col("sentiment"))).groupBy(
+            "topic_name").pivot("label", labels).agg(F.sum("review_count")).fillna(0, labels),
+        "topic_summary": topics.select(
+            "topic_name", F.col("scored").alias("review_count"),
+            F.round("avg_sentiment", 2).alias("avg_sentiment"),
+            F.round("avg_rating", 2).alias("avg_rating"),
+        ).orderBy(F.desc("review_count"), "topic_name"),
+        "segment_counts": of("segment").filter("segment_known").select(
+            "cluster_name", "review_count").orderBy(F.desc("review_count"), "cluster_name"),
+    }
+
+
 def distinct_topics(reviews: DataFrame) -> DataFrame:
     return known_topics(reviews).select("topic_name").distinct().orderBy("topic_name")
 

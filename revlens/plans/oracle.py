@@ -340,6 +340,18 @@ QUERIES = {
                count(*) filter (where true_label >= 0) as labelled_rows,
                count(*) filter (where length(text_combined) > 1 and true_label >= 0) as training_rows
         from texts""",
+    "observed_counts": """
+        select count(*) as reviews, count(*) filter (where true_label < 0) as unlabelled,
+               count(*) filter (where true_label >= 0 and length(text_combined) <= 1) as without_text,
+               count(*) filter (where true_label >= 0 and length(text_combined) > 1) as training_rows
+        from texts""",
+    "scored_by_models": """
+        select review_id, product, rating, true as sentiment_known, true as topic_known,
+               true as segment_known, c.*
+        from docs, (select count(*) as reviews, count(*) filter (where true_label < 0) as unlabelled,
+               count(*) filter (where true_label >= 0 and length(text_combined) <= 1) as without_text,
+               count(*) filter (where true_label >= 0 and length(text_combined) > 1) as training_rows
+               from texts) c""",
     "label_counts": """
         select true_label as sentiment_label, count(*) as reviews,
                round(avg(review_length), 4) as avg_review_length,
@@ -369,6 +381,11 @@ QUERIES = {
         from shares join alerts on alert_id = batch_key""",
     "windowed_anomaly": WINDOWS.format("true"),
     "windowed_anomaly_stream": WINDOWS.format("true"),
+    "stream_different": """
+        select strftime("timestamp"::timestamp, '%Y-%m-%d') as day,
+               count(distinct topic_name) filter (where topic_id >= 0) as topics,
+               count(distinct cluster_name) filter (where cluster_id >= 0) as segments
+        from docs where "timestamp" is not null group by 1""",
     "stream_alerts": "select alert_id, type, message from alerts",
     "stream_replayed": "select batch_key, total_reviews, negative_reviews from shares",
     "stream_offsets": """
@@ -490,5 +507,24 @@ QUERIES = {
 }
 
 
+def _page() -> str:
+    """The report page: the numbers of six reports in one column."""
+    keys = {"topic_counts": "topic_name", "topic_sentiment_crosstab": "topic_name",
+            "topic_summary": "topic_name", "sentiment_distribution": "sentiment_label",
+            "segment_counts": "cluster_name", "kpi_summary": "''"}
+    numbers = {
+        "kpi_summary": ["total_reviews", "positive_reviews", "negative_reviews", "positive_pct",
+                        "negative_pct"],
+        "topic_sentiment_crosstab": ["Negative", "Positive", "Unknown"],
+        "topic_summary": ["review_count", "avg_sentiment", "avg_rating"]}
+    return " union all ".join(
+        f"select '{name}' as report, {key} as item, '{number}' as number, "
+        f'cast("{number}" as double) as value from ({QUERIES[name]})'
+        for name, key in keys.items() for number in numbers.get(name, ["review_count"]))
+
+
+QUERIES["report_page"] = _page()
+
+
 def oracle_sql() -> dict:
     return {name: _sql(body) for name, body in QUERIES.items()}

@@ -26,10 +26,12 @@ from revlens.operators import features, prepare, quality, reports, segments, spl
 from revlens.operators.anomalies import (
     anomalous,
     alert_message,
+    different_in,
     negative_share,
     windowed_negative_share,
 )
 from revlens.functions.text import cleaned
+from revlens import schemas
 from revlens.plans import sample, train_segments, train_sentiment, train_topics, training
 from revlens.runtime import fresh_path, materialized
 from revlens.sources import commits, files, lookups, message_log, messages, models, tables
@@ -223,6 +225,17 @@ def row_counts(spark, sf_dir) -> DataFrame:
     )
 
 
+@query
+def observed_counts(spark, sf_dir) -> DataFrame:
+    """Rows kept and dropped, observed while the training rows are written."""
+    counts = prepare.RowCounts()
+    rows = prepare.prepare_reviews(sample.reviews(spark, sf_dir), training=True, counts=counts)
+    materialized(rows.select("review_id", "text_combined"), "observed")
+    found = counts.get()
+    return spark.createDataFrame(
+        [tuple(found.values())], ", ".join(f"{name} long" for name in found))
+
+
 @query
 def label_counts(spark, sf_dir) -> DataFrame:
     return training.label_counts(sample.prepared(spark, sf_dir, training=True))
@@ -345,6 +358,21 @@ for _name in (
     _report(_name, getattr(reports, _name))
 
 
+@query
+def report_page(spark, sf_dir) -> DataFrame:
+    """The whole report page from one scan, its numbers in one column."""
+    groups = materialized(reports.page_groups(sample.report_rows(spark, sf_dir)), "page")
+    rows = None
+    for name, table in reports.report_page(groups).items():
+        keys = [c for c in table.columns if c.endswith(("_name", "_label"))]
+        numbers = F.array(*[F.struct(F.lit(c).alias("number"), F.col(c).cast("double").alias("value"))
+                            for c in table.columns if c not in keys])
+        part = table.select(F.lit(name).alias("report"), (F.col(keys[0]) if keys else F.lit(""))
+                            .alias("item"), F.inline(numbers))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query
 def topic_drilldown(spark, sf_dir) -> DataFrame:
     chosen = reports.topic_drilldown(sample.report_rows(spark, sf_dir), "Price & Value")
@@ -632,6 +660,29 @@ def segment_assignments(spark, sf_dir) -> DataFrame:
     return _readable(scorer.documents(sample.reviews(spark, sf_dir, labelled=False)))
 
 
+@query
+def scored_by_models(spark, sf_dir) -> DataFrame:
+    """Every review scored by three trained models, loaded as a scoring job loads them, beside
+    what the training job has stored about itself."""
+    root = fresh_path(spark, "trained")
+    grid = train_sentiment.full_grid()
+    training.train_all(sample.reviews(spark, sf_dir), root, "review_id", grid[7:8])
+    scorer = sample.ReviewScorer.load(spark, root)
+    evaluation = spark.read.schema(schemas.EVALUATION).parquet(f"{root}/evaluations")
+    topic_names = lookups.read_topic_interpretations(spark, f"{root}/topic_interpretations")
+    known = topic_names.select(F.col("topic_id").alias("_topic"), F.col("name").alias("_name"))
+    documents = scorer.documents(sample.reviews(spark, sf_dir, labelled=False))
+    stored = evaluation.agg(F.first(F.struct(
+        "reviews", "unlabelled", "without_text", "training_rows"))).scalar()
+    return documents.join(known, F.col("topic.id") == F.col("_topic"), "left").withColumn(
+        "_stored", stored).select(
+        "review_id", "product", "rating",
+        (F.col("sentiment").isin(0.0, 1.0)
+         & (F.col("sentiment_label") == name_of(F.col("sentiment")))).alias("sentiment_known"),
+        F.col("topic.name").eqNullSafe(F.col("_name")).alias("topic_known"),
+        F.col("cluster.id").between(0, 4).alias("segment_known"), "_stored.*")
+
+
 @query
 def model_metadata(spark, sf_dir) -> DataFrame:
     """Metadata of a segment model trained on the reviews, as saved and read back."""
@@ -705,6 +756,15 @@ def stream_offsets(spark, sf_dir) -> DataFrame:
         "review_id", "queue_partition", "queue_offset", "rating", "sentiment_label")
 
 
+@query
+def stream_different(spark, sf_dir) -> DataFrame:
+    """Different topics and segments by day, from the sketches beside the stream's counts."""
+    folder = fresh_path(spark, "stream")
+    _scored_stream(spark, _replayed(spark, sf_dir), folder)
+    counts = tables.read_counts(spark, f"{folder}/counts").filter(F.col("minute").isNotNull())
+    return different_in(counts, F.date_format("minute", "yyyy-MM-dd").alias("day"))
+
+
 @query
 def stream_alerts(spark, sf_dir) -> DataFrame:
     folder = fresh_path(spark, "stream")

@@ -74,13 +74,21 @@ def _ready(features: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
     return materialized(scored.select("sentiment_label", "features"), label)
 
 
+def _without_summary(model):
+    """The model alone. The summary of its training holds the session, which would go to every task
+    with the model, and cannot once rows have been observed in it."""
+    model._java_obj.setSummary(model._java_obj.getClass().getClassLoader().loadClass(
+        "scala.None$").getField("MODULE$").get(None))
+    return model
+
+
 def _fit_all(train: DataFrame, grid: list, parallel: int) -> list:
     """One model per setting, a few at a time, on features already computed."""
     models = [None] * len(grid)
     pending = classifier().fitMultiple(train, grid)
     with ThreadPool(min(parallel, len(grid))) as pool:
         for index, model in pool.imap_unordered(lambda _: next(pending), grid):
-            models[index] = model
+            models[index] = _without_summary(model)
     return models
 
 
@@ -220,7 +228,8 @@ def train_sentiment(prepared: DataFrame, key: str, grid: list | None = None, par
     grid = grid or full_grid()
     best = grid_search(train, key, grid, parallel).first() if len(grid) > 1 else {"setting": 0}
     features = fit_features(train)
-    model = classifier().fit(_ready(features, train, "sentiment-fit"), grid[best["setting"]])
+    model = _without_summary(
+        classifier().fit(_ready(features, train, "sentiment-fit"), grid[best["setting"]]))
     pipeline = PipelineModel(stages=[*features.stages, model])
     predictions = pipeline.transform(parts.filter("split = 'validation'"))
     metrics = classifier_metrics(confusion(predictions, "sentiment_label", "prediction"))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.operators.prepare import prepare_reviews
+from revlens.operators.prepare import RowCounts, prepare_reviews
 from revlens.operators.segments import segment_interpretations
 from revlens.plans.train_segments import train_segments
 from revlens.plans.train_sentiment import train_sentiment
@@ -15,7 +15,8 @@ from revlens.sources import files, lookups, models
 def train_all(reviews: DataFrame, root: str, key: str, grid: list | None = None) -> dict:
     """Train on labelled reviews and save models, interpretations and the evaluation."""
     spark = reviews.sparkSession
-    prepared = materialized(prepare_reviews(reviews, training=True), "prepared")
+    counts = RowCounts()
+    prepared = materialized(prepare_reviews(reviews, training=True, counts=counts), "prepared")
 
     sentiment, metrics = train_sentiment(prepared, key, grid)
     models.save_model(spark, root, "sentiment", sentiment, metrics["accuracy"])
@@ -32,6 +33,7 @@ def train_all(reviews: DataFrame, root: str, key: str, grid: list | None = None)
         segment_interpretations(profiles), f"{root}/cluster_interpretations"
     )
 
+    metrics.update(counts.get())
     models.append_evaluation(spark, f"{root}/evaluations", metrics)
     return metrics
 

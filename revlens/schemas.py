@@ -51,6 +51,8 @@ REVIEW_COUNT = T.StructType([
     T.StructField("total_reviews", T.LongType()),
     T.StructField("negative_reviews", T.LongType()),
     T.StructField("computed_at", T.StringType()),
+    T.StructField("topics", T.BinaryType()),
+    T.StructField("segments", T.BinaryType()),
 ])
 
 EVALUATION = T.StructType([
@@ -63,6 +65,10 @@ EVALUATION = T.StructType([
     T.StructField("topic_modeling_logPerplexity_score", T.DoubleType()),
     T.StructField("training_date", T.StringType()),
     T.StructField("status", T.StringType()),
+    T.StructField("reviews", T.LongType()),
+    T.StructField("unlabelled", T.LongType()),
+    T.StructField("without_text", T.LongType()),
+    T.StructField("training_rows", T.LongType()),
 ])
 
 MODEL_METADATA = T.StructType([

@@ -67,5 +67,6 @@ def append_evaluation(spark: SparkSession, path: str, metrics: dict) -> None:
         rounded("recall"), rounded("silhouette"),
         round(float(perplexity), EVALUATION_DECIMALS) if perplexity else None,
         datetime.now().isoformat(), "completed",
+        *[metrics.get(name) for name in ("reviews", "unlabelled", "without_text", "training_rows")],
     )
     spark.createDataFrame([row], EVALUATION).write.mode("append").parquet(path)

@@ -292,7 +292,9 @@ def test_newest_reviews_read_the_newest_days_only(spark):
          for d in range(1, 11) for i in range(6)],
         "review_id string, ingest_day string, batch_key string, source_file string, processed_at string"
     ).withColumn("processed_at", F.col("processed_at").cast("timestamp")).withColumns({
-        "sentiment": F.lit(0.0), "timestamp": F.lit(None).cast("string")})
+        "sentiment": F.lit(0.0), "timestamp": F.lit(None).cast("string"),
+        "topic": F.struct(F.lit(1).alias("id"), F.lit("t").alias("name")),
+        "cluster": F.struct(F.lit(-1).alias("id"), F.lit("c").alias("name"))})
     tables.replace_partitions(docs, folder.scored, tables.SCORED_KEYS, rebalance=True)
     counts = scoring._counts(docs, *tables.SCORED_KEYS)
     tables.replace_partitions(counts, folder.counts, tables.SCORED_KEYS, rebalance=True)

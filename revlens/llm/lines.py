@@ -1,9 +1,10 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame functions only.
 
-Lines are compared as sequences of words (separated by blanks, tabs and line ends). A line of at
-least `MIN_WORDS` words is dropped if it, or a line within one word's edit of it (a word replaced,
-inserted or deleted), stands earlier: in a smaller doc_id, or higher up in the same document.
-Shorter lines always stay. Every line is judged on the input, whatever happens to the earlier one.
+Lines are compared as sequences of words (separated by blanks, tabs and line ends). A line is dropped if
+an equal line stands earlier: in a smaller doc_id, or higher up in the same document. A line of at least
+`MIN_WORDS` words is also dropped if another one of at least so many, within one word's edit of it (a
+word replaced, inserted or deleted), stands earlier; among fewer words one edit leaves little in common.
+Lines without words always stay. Every line is judged on the input, whatever happens to the earlier one.
 
 A line stands for itself and for all its one-word deletions. Two lines are within one edit exactly if
 they share a deletion at the same place (replaced word) or one is a deletion of the other
@@ -67,13 +68,14 @@ def _identity(words: Column) -> tuple[Column, Column]:
     return F.xxhash64(words), F.xxhash64(F.lit("other"), words)
 
 
-def _long_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """place (orders lines as they stand in the corpus), doc, line_no, n, words."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """place (orders lines as they stand in the corpus), doc, line_no, n, words, of all lines
+    that have words."""
     doc = _doc()
     return (
         docs.select(doc.alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .select("doc", "line_no", _words(F.col("line")).alias("words"))
-        .withColumn("n", F.size("words")).filter(F.col("n") >= min_words)
+        .withColumn("n", F.size("words")).filter(F.col("words")[0] != "")
         .withColumn("place", (F.col("doc") * _LINES_OF_DOCUMENT + F.col("line_no"))
                     .cast("decimal(38,0)"))
     )
@@ -93,9 +95,11 @@ def _named_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """Each line's place, doc and line_no, its identity h1, h2, and its half keys."""
     h1, h2 = _identity(F.col("words"))
     a, b, c, d = _half_keys()
-    even = F.col("n") % 2 == 0  # odd lengths have one half only
-    return _long_lines(docs, min_words).select(
-        "place", "doc", "line_no", h1.alias("h1"), h2.alias("h2"), a.alias("k1"), b.alias("k2"),
+    long = F.col("n") >= min_words  # shorter lines are compared with equal ones alone
+    even = long & (F.col("n") % 2 == 0)  # odd lengths have one half only
+    return _lines(docs).select(
+        "place", "doc", "line_no", h1.alias("h1"), h2.alias("h2"),
+        F.when(long, a).alias("k1"), F.when(long, b).alias("k2"),
         F.when(even, c).alias("k3"), F.when(even, d).alias("k4"))
 
 

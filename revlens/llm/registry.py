@@ -152,15 +152,16 @@ ORACLE_SQL = {
             select doc_id, i - 1 as line_no, string_split(text, chr(10))[i] as line
             from (select doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i
                   from documents)),
-        long as (
+        worded as (
             select doc_id, line_no, line, w, len(w) as n, array_to_string(w, ' ') as norm
             from (select *, list_filter(string_split_regex(line, '[\x09-\x0D\x20]+'),
                                         lambda x: x <> '') as w from place)
-            where len(w) >= 5),
-        firsts as (
+            where len(w) >= 1),
+        every as (
             select norm, any_value(w) as w, any_value(n) as n,
                    min((doc_id, line_no)) as first
-            from long group by norm),
+            from worded group by norm),
+        firsts as (select * from every where n >= 5),
         deletions as (
             select norm, first, n - 1 as m, i as slot,
                    md5(array_to_string(list_concat(w[:i - 1], w[i + 1:]), ' ')) as variant
@@ -176,7 +177,7 @@ ORACLE_SQL = {
             select w.norm from deletions d join wholes w using (variant, m) where d.first < w.first),
         dropped as (
             select l.doc_id, l.line_no
-            from long l join firsts f using (norm) left join edited e using (norm)
+            from worded l join every f using (norm) left join edited e using (norm)
             where e.norm is not null or f.first <> (l.doc_id, l.line_no)),
         kept as (
             select p.doc_id, string_agg(p.line, chr(10) order by p.line_no) as text

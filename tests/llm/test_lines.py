@@ -38,16 +38,18 @@ def brute(rows, fewest=lines.MIN_WORDS):
     for doc_id, text in rows:
         for n, line in enumerate([] if text is None else text.split("\n")):
             words = words_of(line)
-            if len(words) >= fewest:
+            if words:
                 placed.append(((doc_id is None, doc_id or 0, n), words))
-    by_size = {}
+    by_size, first = {}, {}
     for place, words in placed:
         by_size.setdefault(len(words), []).append((place, words))
+        first[tuple(words)] = min(first.get(tuple(words), place), place)
     gone = {
         place for place, words in placed
-        if any(other < place and near(words, w)
-               for size in (len(words) - 1, len(words), len(words) + 1)
-               for other, w in by_size.get(size, ()))
+        if first[tuple(words)] < place or len(words) >= fewest and any(
+            other < place and near(words, w)
+            for size in (len(words) - 1, len(words), len(words) + 1) if size >= fewest
+            for other, w in by_size.get(size, ()))
     }
     out = []
     for doc_id, text in rows:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from revlens.operators import documents, reports
 from revlens.plans.scoring import ReviewScorer
 from revlens.plans.training import train_from_csv
-from revlens.runtime import release_materialized
+from revlens.runtime import path_exists, release_materialized
 from revlens.schemas import EVALUATION
 from revlens.sources import commits, files, message_log, messages, tables
 from revlens.streaming import scoring, windows
@@ -66,7 +66,7 @@ def score(spark, args):
             spark, args.servers, args.topic, most_per_trigger=args.offsets_per_trigger))
     scoring.start_scoring(
         stream, ReviewScorer.load(spark, args.root), f"{args.root}/scored", f"{args.root}/counts",
-        f"{args.root}/checkpoints/score", _trigger(args), args.dedup,
+        f"{args.root}/checkpoints/score", _trigger(args), args.dedup, f"{args.root}/shares",
     ).awaitTermination()
 
 
@@ -89,7 +89,9 @@ def report(spark, args):
         scored = documents.reportable(tables.read_scored(spark, f"{args.root}/scored"))
         result = DRILLDOWNS[args.name](scored, args.value)
     else:
-        alerts = tables.read_alerts(spark, f"{args.root}/counts")
+        kept = path_exists(spark, f"{args.root}/shares/batches")
+        alerts = (tables.read_kept_alerts(spark, f"{args.root}/shares") if kept
+                  else tables.read_alerts(spark, f"{args.root}/counts"))
         if args.name == "open_alerts":
             dismissed = spark.read.schema("alert_id string").parquet(args.dismissed)
             result = reports.open_alerts(alerts, dismissed)

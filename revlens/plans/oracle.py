@@ -387,6 +387,9 @@ QUERIES = {
                count(distinct cluster_name) filter (where cluster_id >= 0) as segments
         from docs where "timestamp" is not null group by 1""",
     "stream_alerts": "select alert_id, type, message from alerts",
+    "stream_kept_alerts": "select alert_id, type, message from alerts",
+    "stored_drilldown": DRILLDOWN
+    + "topic_name = 'Price & Value' and topic_id >= 0 and cluster_name = 'Mixed Feedback' and cluster_id >= 0",
     "stream_replayed": "select batch_key, total_reviews, negative_reviews from shares",
     "stream_offsets": """
         select review_id, cast(n % 4 as integer) as queue_partition,

@@ -772,6 +772,28 @@ def stream_alerts(spark, sf_dir) -> DataFrame:
     return tables.read_alerts(spark, f"{folder}/counts").select("alert_id", "type", "message")
 
 
+@query
+def stream_kept_alerts(spark, sf_dir) -> DataFrame:
+    """Alerts from shares kept up to date trigger by trigger, a few files at a time."""
+    folder, replay = fresh_path(spark, "stream"), _replayed(spark, sf_dir)
+    running = scoring.start_scoring(
+        messages.file_stream(spark, replay, files_per_trigger=40), sample.SampleScorer.default(spark),
+        f"{folder}/scored", f"{folder}/counts", f"{folder}/checkpoint",
+        trigger={"availableNow": True}, shares_path=f"{folder}/shares")
+    running.awaitTermination()
+    return tables.read_kept_alerts(spark, f"{folder}/shares").select("alert_id", "type", "message")
+
+
+@query
+def stored_drilldown(spark, sf_dir) -> DataFrame:
+    """One segment of one topic, from reviews written for drilling down."""
+    path = fresh_path(spark, "drilldown")
+    tables.write_drilldown(sample.report_rows(spark, sf_dir), path)
+    rows = reports.topic_drilldown(spark.read.parquet(path), "Price & Value")
+    return reports.segment_drilldown(rows, "Mixed Feedback").select(
+        "review_id", "product", "sentiment_label", "rating", "review_text")
+
+
 @query
 def stream_dedup(spark, sf_dir) -> DataFrame:
     """Every message is sent twice and scored once."""

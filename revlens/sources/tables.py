@@ -54,11 +54,11 @@ def read_scored(spark: SparkSession, path: str, keys: list | None = None) -> Dat
     return rows.option("basePath", path).parquet(*stored)
 
 
-def folder_of(path: str, key: tuple) -> str:
+def folder_of(path: str, key: tuple, names: list = SCORED_KEYS) -> str:
     """The folder of a key, with values as Spark writes them into the folders' names."""
     spark = SparkSession.active()
     catalog = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    parts = [f"{name}={catalog.escapePathName(value)}" for name, value in zip(SCORED_KEYS, key)]
+    parts = [f"{name}={catalog.escapePathName(value)}" for name, value in zip(names, key)]
     return "/".join([path, *parts])
 
 
@@ -98,12 +98,61 @@ def batch_shares(counts: DataFrame) -> DataFrame:
     return share_of_counts(counts, "batch_key", also=(F.max("computed_at").alias("computed_at"),))
 
 
+def keep_shares(spark: SparkSession, counts_path: str, shares_path: str, keys: list) -> None:
+    """Bring the shares of the batches that these keys touch up to date.
+
+    Totals lie by batch and file, so a batch is summed over its own files, and only touched batches
+    are: the work follows the trigger, not the age of the tables. All is replaced by key, so a
+    trigger that runs again changes nothing.
+    """
+    if not keys:
+        return
+    folders = [folder_of(counts_path, key) for key in keys]
+    counts = spark.read.schema(COUNT_TABLE).option("basePath", counts_path).parquet(*folders)
+    totals = counts.groupBy("batch_key", "source_file").agg(
+        F.sum("total_reviews").alias("total_reviews"),
+        F.sum("negative_reviews").alias("negative_reviews"),
+        F.max("computed_at").alias("computed_at"))
+    by_file = f"{shares_path}/files"
+    replace_partitions(totals, by_file, ["batch_key", "source_file"], rebalance=True)
+    batches = sorted({key[1] for key in keys})
+    own = spark.read.schema(totals.schema).option("basePath", by_file).parquet(
+        *[folder_of(by_file, (batch,), ["batch_key"]) for batch in batches])
+    replace_partitions(batch_shares(own), f"{shares_path}/batches", ["batch_key"], rebalance=True)
+
+
+def read_kept_alerts(spark: SparkSession, shares_path: str, keep: tuple = ()) -> DataFrame:
+    """The alerts of `read_alerts`, from the shares that `keep_shares` keeps: a row per batch."""
+    shares = spark.read.schema(
+        "total_reviews long, negative_reviews long, computed_at string, negative_pct double, "
+        "batch_key string").parquet(f"{shares_path}/batches")
+    return _alerts(shares, keep)
+
+
 def read_alerts(spark: SparkSession, path: str, keep: tuple = ()) -> DataFrame:
     """Alerts on the batches whose share of negative reviews is too high.
 
     Counts of every file are stored, not alerts: a batch that a later file brings back
     under the threshold takes its alert back.
     """
-    raised = anomalous(batch_shares(read_counts(spark, path)))
+    return _alerts(batch_shares(read_counts(spark, path)), keep)
+
+
+def _alerts(shares: DataFrame, keep: tuple) -> DataFrame:
+    raised = anomalous(shares)
     named = raised.withColumn("alert_id", F.col("batch_key"))
     return alert_documents(named, F.col("computed_at"), keep=("alert_id", *keep))
+
+
+def write_drilldown(reviews: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Flat reviews for drilling down: sorted by topic and segment, with bloom filters on both names,
+    so that a drill-down reads the row groups that hold it and passes over the others."""
+    writer = (
+        reviews.hint("rebalance", "topic_name", "cluster_name")
+        .sortWithinPartitions("topic_name", "cluster_name")
+        .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    )
+    for name in ("topic_name", "cluster_name"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{name}", "1000")
+    writer.parquet(path)

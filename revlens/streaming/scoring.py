@@ -21,6 +21,7 @@ from revlens.sources.tables import (
     SCORED_KEYS,
     STAGED,
     folder_of,
+    keep_shares,
     read_scored,
     replace_partitions,
 )
@@ -96,25 +97,28 @@ def commit_batch(scorer, scored_path: str, counts_path: str, batch: DataFrame) -
 
 def start_scoring(
     messages: DataFrame, scorer, scored_path: str, counts_path: str, checkpoint: str,
-    trigger: dict | None = None, dedup_within: str | None = None,
+    trigger: dict | None = None, dedup_within: str | None = None, shares_path: str | None = None,
 ):
     """Start the query. `trigger` is passed to writeStream.trigger; default every 10 seconds.
 
-    `dedup_within` drops a message that is sent again within that time of its event.
+    `dedup_within` drops a message that is sent again within that time of its event. With
+    `shares_path` the shares of touched batches are kept up to date there after each trigger.
     """
     run_id = stored_id(messages.sparkSession, f"{checkpoint}-run")
 
     def process(batch, batch_id):
-        if not dedup_within:
-            return score_batch(
-                scorer, scored_path, counts_path, batch, batch_id, run_id=run_id)
-        # State must be read and written once per batch, so the result is kept.
-        batch = batch.persist()
+        if dedup_within:
+            # State must be read and written once per batch, so the result is kept.
+            batch = batch.persist()
         try:
-            return score_batch(
-                scorer, scored_path, counts_path, batch, batch_id, shuffled=True, run_id=run_id)
+            keys = score_batch(
+                scorer, scored_path, counts_path, batch, batch_id,
+                shuffled=bool(dedup_within), run_id=run_id)
         finally:
-            batch.unpersist()
+            if dedup_within:
+                batch.unpersist()
+        if shares_path:
+            keep_shares(batch.sparkSession, counts_path, shares_path, keys)
 
     if dedup_within:
         messages = deduplicated(messages, dedup_within)

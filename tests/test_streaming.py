@@ -308,3 +308,59 @@ def test_newest_reviews_read_the_newest_days_only(spark):
         "2024-01-09", "2024-01-10"}
     assert len(newest.inputFiles()) == 4  # of 20
     assert tables.recent_scored(spark, fresh_path(spark, "none"), fresh_path(spark, "none")).count() == 0
+
+
+# --- kept shares and drill-downs ----------------------------------------------------------
+
+def test_kept_alerts_equal_summing_everything(spark, sf_dir, replay):
+    folder = Folder(spark)
+    run(spark, messages.file_stream(spark, replay, files_per_trigger=30), folder, "c",
+        shares_path=folder.shares)
+    kept = tables.read_kept_alerts(spark, folder.shares).select("alert_id", "message")
+    summed = tables.read_alerts(spark, folder.counts).select("alert_id", "message")
+    assert sorted(kept.collect()) == sorted(summed.collect()) and kept.count()
+
+
+def test_a_trigger_touches_its_own_batches_only(spark):
+    replay, folder = fresh_path(spark, "replay"), Folder(spark)
+    for key in ("b1", "b2"):
+        _write_lines(spark, replay, key, [_message(i, 1) for i in range(8)])
+    stream = messages.file_stream(spark, replay)
+    run(spark, stream, folder, "c", shares_path=folder.shares)
+    before = {f: t for f, t in _files(spark, f"{folder.shares}/batches")}
+    _write_lines(spark, replay, "b1", [_message(i, 5) for i in range(8, 16)])
+    run(spark, stream, folder, "c", shares_path=folder.shares)
+    assert [a.alert_id for a in tables.read_kept_alerts(spark, folder.shares).collect()] == ["b2"]
+    after = {f: t for f, t in _files(spark, f"{folder.shares}/batches")}
+    assert {f for f in after if "batch_key=b2" in f} == {f for f in before if "batch_key=b2" in f}
+    assert not {f for f in after if "batch_key=b1" in f} & set(before)
+
+
+def _files(spark, path):
+    from revlens.runtime import list_files
+
+    return list_files(spark, path)
+
+
+def test_drilldowns_pass_over_row_groups(spark):
+    path = fresh_path(spark, "drilldown")
+    rows = spark.range(40_000).selectExpr(
+        "id", "concat('topic ', id % 20) as topic_name", "concat('segment ', id % 7) as cluster_name",
+        "cast(id % 20 as int) as topic_id", "repeat(md5(cast(id as string)), 4) as review_text")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables.write_drilldown(rows, path, rows_per_file=1000)
+        from revlens.operators import reports
+
+        chosen = reports.topic_drilldown(spark.read.parquet(path), "topic 3")
+        assert chosen.count() == 2000
+        plan = chosen.select("id")
+        plan.collect()
+        scan = chosen.select("id")._jdf.queryExecution()
+        executed = scan.executedPlan()
+        executed.executeCollect()
+        leaf = executed.collectLeaves().head()
+        read = leaf.metrics().apply("numOutputRows").value()
+        assert 2000 <= read <= 8000  # of 40,000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -1,13 +1,12 @@
 """Quality rules whose cutoffs are chosen with a guaranteed bound on false rejections.
 
 A rule rejects a text whose measure exceeds a cutoff. Cutoffs are selected on a labelled holdout,
-separately for each stratum (a language): starting from the laxest cutoff, a stricter one is
-accepted while an exact binomial test shows that it rejects at most `RISK` of the good documents;
-the first failure ends the search (a fixed sequence, so that the several cutoffs of one rule
-share one error budget). The budget `ERROR` is divided among all rules and strata
-(Bonferroni), the risk among the rules, so with probability 1 - ERROR no stratum loses more
-than RISK of its good documents to all rules together. A rule without enough labelled documents
-to show this is not used in that stratum.
+separately for each stratum (a language): all rules go together through one fixed sequence of joint
+cutoffs, from lax to strict. A step is accepted while an exact binomial test shows that its rules
+together reject at most `RISK` of the good documents; the first failure ends the search, so the steps
+of a stratum share one error budget and need not divide the risk. The budget `ERROR` is divided among
+the strata (Bonferroni), so with probability 1 - ERROR no stratum loses more than RISK of its good
+documents. A stratum with too few labelled documents to show this keeps the fixed limits alone.
 
 Fixed limits ("base") hold besides: at least 10 words, at most 20 % of words in repeated
 5-word windows.
@@ -16,11 +15,12 @@ Defined results: null and empty texts have no words and fail the base; a null la
 stratum of its own; labels without a document, null labels and documents without label take no
 part in the selection; a document labelled several times counts as good if all its labels say so; an
 empty table of labels leaves the base rules only. Counts over all labelled rows are made by Spark, as
-counts per stratum, rule and cutoff; only these counts are tested.
+counts per stratum and step; only these counts are tested.
 """
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -41,6 +41,7 @@ RULES = {
     "repeat_share": (200, 180, 160, 140, 120, 100, 80, 60),
     "mean_word_chars": (40_000, 30_000, 25_000, 20_000, 18_000, 16_000, 14_000, 12_000),
 }
+STEPS = max(map(len, RULES.values()))
 MEASURES = "struct<n_words: long, word_chars: long, n_symbols: long, n_dup_lines: long, " \
     "n_repeat_words: long, n_lines: long>"
 
@@ -145,21 +146,25 @@ def at_most(rejected: int, good: int, risk: float) -> float:
     return min(1.0, math.fsum(map(math.exp, log)))
 
 
+def joint_cutoffs(step: int) -> dict[str, int]:
+    """Each rule's cutoff at a step: all rules take their own sequences evenly."""
+    return {rule: cutoffs[step * (len(cutoffs) - 1) // (STEPS - 1)]
+            for rule, cutoffs in RULES.items()}
+
+
 def select_cutoffs(counts: list, risk: float = RISK, error: float = ERROR) -> list[tuple]:
-    """(stratum, rule, cutoff) from rows (stratum, good, {rule: [rejected by each cutoff]})."""
+    """(stratum, rule, cutoff) from rows (stratum, good, [rejected by each step])."""
     chosen = []
     for row in counts:
-        share = error / (len(RULES) * len(counts))
-        for rule, cutoffs in RULES.items():
-            best = None
-            for cutoff, rejected in zip(cutoffs, row[rule]):
-                # more rejections than expected at the risk can never pass
-                if rejected > risk / len(RULES) * row["good"] or at_most(
-                        rejected, row["good"], risk / len(RULES)) > share:
-                    break
-                best = cutoff
-            if best is not None:
-                chosen.append((row["stratum"], rule, best))
+        best = None
+        for step, rejected in enumerate(row["rejected"]):
+            # more rejections than expected at the risk can never pass
+            if rejected > risk * row["good"] or at_most(
+                    rejected, row["good"], risk) > error / len(counts):
+                break
+            best = step
+        if best is not None:
+            chosen += [(row["stratum"], *pair) for pair in joint_cutoffs(best).items()]
     return chosen
 
 
@@ -173,15 +178,17 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK,
                    .cast("int")).alias("good"))
         .filter("good = 1").select("doc_id")
     )
+    def rejected(step):
+        beyond = [F.col(rule) > cutoff for rule, cutoff in joint_cutoffs(step).items()]
+        return F.count_if(reduce(Column.__or__, beyond))
+
     counted = (
         measured.filter("not base_failed").join(good, "doc_id", "left_semi").groupBy("stratum")
-        .agg(F.count("*").alias("good"), *[
-            F.array(*[F.count_if(F.col(rule) > c) for c in limits]).alias(rule)
-            for rule, limits in RULES.items()
-        ])
+        .agg(F.count("*").alias("good"),
+             F.array(*[rejected(step) for step in range(STEPS)]).alias("rejected"))
     )
-    # No rule can be shown safe in a smaller stratum; so few rows, one per tested language, go on.
-    fewest = math.log(error / len(RULES)) / math.log1p(-risk / len(RULES))
+    # Nothing can be shown safe in a smaller stratum; so few rows, one per tested language, go on.
+    fewest = math.log(error) / math.log1p(-risk)
     return select_cutoffs(counted.filter(F.col("good") >= fewest).collect(), risk, error)
 
 

@@ -42,28 +42,61 @@ def test_exact_bound():
     assert quality.at_most(1, 50, 0.1) == pytest.approx(0.9 ** 50 + 50 * 0.1 * 0.9 ** 49)
 
 
-def counts(good, **rejected):
-    return {"stratum": "en", "good": good, **{
-        rule: rejected.get(rule, [0] * len(cut)) for rule, cut in quality.RULES.items()}}
+def counts(good, rejected=None):
+    return {"stratum": "en", "good": good, "rejected": rejected or [0] * quality.STEPS}
+
+
+def test_steps_become_stricter_and_end_at_the_strictest():
+    steps = [quality.joint_cutoffs(s) for s in range(quality.STEPS)]
+    for rule, cutoffs in quality.RULES.items():
+        own = [s[rule] for s in steps]
+        assert own == sorted(own, reverse=True) and sorted(set(own), reverse=True) == list(cutoffs)
 
 
 def test_selection_stops_at_the_first_failure():
-    steps = [0, 0, 5, 1000, 0] + [0] * 8
-    chosen = quality.select_cutoffs([counts(10_000, symbol_share=steps)])
-    assert ("en", "symbol_share", quality.RULES["symbol_share"][2]) in chosen
-    assert ("en", "dup_line_share", quality.RULES["dup_line_share"][-1]) in chosen
+    rejected = [0, 0, 5, 1000, 0] + [0] * (quality.STEPS - 5)
+    assert quality.select_cutoffs([counts(10_000, rejected)]) == [
+        ("en", *pair) for pair in quality.joint_cutoffs(2).items()]
+    assert quality.select_cutoffs([counts(10_000)]) == [
+        ("en", *pair) for pair in quality.joint_cutoffs(quality.STEPS - 1).items()]
 
 
 def test_too_few_labels_select_nothing():
-    assert quality.select_cutoffs([counts(300)]) == []
+    assert quality.select_cutoffs([counts(298)]) == []
+    assert quality.select_cutoffs([counts(299)])
 
 
 def test_more_strata_need_more_evidence():
-    row = counts(1800)
+    row = counts(400)
     assert quality.select_cutoffs([row], risk=0.01)
     assert not quality.select_cutoffs([row] * 20, risk=0.01)
 
 
+def test_the_promise_holds_for_the_union(spark):
+    """Selections on many holdouts of a stratum in which every step loses 2 % of good documents."""
+    import random
+
+    chance = random.Random(2)
+    broken = 0
+    for _ in range(400):
+        rejected = sum(chance.random() < 0.02 for _ in range(500))
+        broken += bool(quality.select_cutoffs([counts(500, [rejected] * quality.STEPS)]))
+    assert broken / 400 <= quality.ERROR
+
+
+def test_the_query_rejects_bad_documents_with_cutoffs_in_force(spark, tmp_path):
+    good = [(i, " ".join(f"word{i}x{k} plain" for k in range(20)), "fr") for i in range(500)]
+    bad = [(1000 + i, " ".join(f"$$$$$$$$$ buy{i}k{k}" for k in range(20)), "fr") for i in range(50)]
+    sf_dir = save(tmp_path, spark.createDataFrame(good + bad, "doc_id long, text string, lang string"))
+    labels = [(i, 1, 0) for i in range(500)] + [(1000 + i, 0, 0) for i in range(50)]
+    save(tmp_path, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "labels")
+    kept = {r.doc_id: r.kept for r in registry.op10_quality(spark, sf_dir).collect()}
+    assert all(kept[i] for i in range(500)) and not any(kept[1000 + i] for i in range(50))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stage = quality.without_rejected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert {r.doc_id for r in stage.collect()} == set(range(500))
+
+
 def test_cutoffs_reject_few_good_documents(spark):
     rows = [(i, ("w " * 40 + "#" * (i % 7) + " ab" * i)[:200] + f" {i}", "en") for i in range(4000)]
     rows += [(4000 + i, "buy ### $$$ %%% &&& *** ||| <<< >>> ### $$$ %%% now " + str(i), "en")

@@ -47,7 +47,8 @@ _UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or
 _BYTE_SIGNS = {b: 256 + n for n, b in enumerate(_UNPRINTED)}
 # Characters whose normal form or lower case may depend on others, and separators of information,
 # which are white space to one library and not to another.
-_INTRICATE = "[\x1c-\x1f\u0250-\U0010ffff]"
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_INTRICATE = "[\u0250-\U0010ffff]"
 
 
 class WordIds:
@@ -64,11 +65,21 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.intricate = re.compile("|".join([_INTRICATE, *map(re.escape, special)]))
+        self.signs = [*_SEPARATORS, *special]
+        self.beyond = re.compile(_INTRICATE)
         self.words: dict[str, bytes] = {}  # recent, and those before them
         self.older: dict[str, bytes] = {}
         self.marks = {mark: self._ask(mark) for mark in _MARKS}
 
+    def _intricate(self, text: str) -> bool:
+        if any(sign in text for sign in self.signs):
+            return True
+        try:
+            text.encode("latin-1")  # much faster than looking at each character
+        except UnicodeEncodeError:
+            return bool(self.beyond.search(text))
+        return False
+
     def _ask(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
@@ -104,7 +115,7 @@ class WordIds:
         """Arrow splits the texts and finds their different words, so that Python sees each of
         these once."""
         simple = [
-            "" if not text or self.intricate.search(text) else text.lower() for text in texts]
+            "" if not text or self._intricate(text) else text.lower() for text in texts]
         split = pc.utf8_split_whitespace(pa.array(simple, pa.large_string()))
         places = pc.dictionary_encode(split.flatten())
         if len(self.words) >= REMEMBERED:

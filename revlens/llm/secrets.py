@@ -28,6 +28,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlens.operators.tokens import most_frequent
+from revlens.runtime import materialized
+
 # The shapes.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -96,7 +99,9 @@ def _words(more: str) -> Words:
 
 
 def common_words(docs: DataFrame) -> str:
-    """The words of `text` that are common in the corpus, most common first, joined by blanks."""
+    """The words of `text` that are common in the corpus, most common first, joined by blanks.
+
+    They are selected in Spark, so the driver gets these `MOST_WORDS` words and no task's candidates."""
     text = F.coalesce(F.col("text"), F.lit(""))
     # Java's pattern, without the look-behind: whatever may be a value is left out
     values = "(?i)" + CONTEXT.pattern.replace("(?<![A-Za-z])", "")
@@ -108,11 +113,11 @@ def common_words(docs: DataFrame) -> str:
     counted = (
         docs.select(F.explode(F.array_distinct(found)).alias("word"))
         .filter(F.length("word") <= MOST_WORD_CHARS)
-        .groupBy("word").agg(F.count("*").alias("documents"))
-        .filter(F.col("documents") >= MIN_DOCUMENTS)
+        .groupBy(F.col("word").alias("term")).agg(F.count("*").alias("term_count"))
+        .filter(F.col("term_count") >= MIN_DOCUMENTS)
     )
-    rows = counted.orderBy(F.desc("documents"), "word").limit(MOST_WORDS).select("word").collect()
-    return " ".join(row.word for row in rows)
+    rows = most_frequent(materialized(counted, "words"), MOST_WORDS).collect()
+    return " ".join(r["term"] for r in sorted(rows, key=lambda r: (-r["term_count"], r["term"])))
 
 
 def _alphabet(char: str) -> int:

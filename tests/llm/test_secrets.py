@@ -137,3 +137,14 @@ def test_ordinary_words_of_the_corpus_are_no_secrets(spark, sf_dir, tmp_path):
         first, first + 1, first + 2, first + 4, first + 5]
     clean = corpus_pipeline.secret_scans(spark, docs, folder).collect()
     assert [r.doc_id for r in clean if "[SECRET]" in r.text] == [i for i, s in rows.items() if s]
+
+
+def test_common_words_are_selected_before_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "MOST_WORDS", 5)
+    texts = ["alpha beta gamma", "alpha beta", "alpha beta delta", "gamma delta echo"] * 3 + [
+        "zulu yankee xray", "rare"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    # alpha, beta 18; delta, gamma 12; echo 6; ties in the order of words
+    assert secrets.common_words(docs) == "alpha beta delta gamma echo"
+    monkeypatch.setattr(secrets, "MOST_WORDS", 3)
+    assert secrets.common_words(docs) == "alpha beta delta"

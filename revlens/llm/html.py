@@ -6,7 +6,9 @@ what is still open inside its element, a stray one is ignored. Elements that are
 (scripts, style sheets, templates, anything hidden by attribute or inline style) are kept out of
 the tree, without losing what follows them. Rendering then emits all other text: blocks on
 lines of their own, paragraphs and headings apart by an empty line, lists with marks and indents,
-preformatted text as it is, and tables as aligned columns.
+preformatted text as it is, and tables as aligned columns. Cells that span rows or columns hold their
+places in the grid: a row span ends with its row group, a wide cell widens the last column it spans, and a
+high one the last row.
 
 Defined results: null and empty pages give the empty text; malformed markup never fails, text
 outside any element is visible; character references without meaning stay as written. White space
@@ -17,9 +19,11 @@ functions are generators that hand their inner calls to a work list, so no page
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Generator, Iterator
 from html import unescape
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -40,6 +44,7 @@ BLOCK = frozenset(
 APART = frozenset(
     "p h1 h2 h3 h4 h5 h6 blockquote ul ol dl menu dir pre xmp table figure fieldset hr".split())
 LISTS = frozenset("ul ol menu dir".split())
+KEEP_DISPLAY = LISTS | frozenset("table pre xmp hr details textarea".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ENDS_PARAGRAPH = BLOCK - frozenset(
     "body html option optgroup legend caption thead tbody tfoot tr".split())
@@ -76,7 +81,10 @@ _ATTRIBUTE = re.compile(
 _SUSPECT = re.compile(r"hidden|style|type|span|start|value|reversed|open", re.IGNORECASE)
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _WHITE = re.compile(r"[ \t\n\f\r]+")
-_EMPTY_LINES = re.compile(r"\n{3,}")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)", re.I)
+_BLOCK_DISPLAYS = frozenset("block flex grid flow-root list-item table".split())
+# Limits that HTML itself sets.
+_MOST_COLUMNS, _MOST_ROWS, _LARGEST_NUMBER = 1000, 65534, 2**31 - 1
 
 
 class Node:
@@ -311,8 +319,10 @@ def _flushed(layout: Layout) -> list[str]:
 
 
 def _int(text: str | None, default: int) -> int:
-    match = re.match(r"\s*([+-]?\d{1,9})", text or "", re.ASCII)
-    return int(match[1]) if match else default
+    """An attribute's number; one beyond 32 bits counts as missing."""
+    match = re.match(r"\s*([+-]?)0*(\d{1,11})", text or "", re.ASCII)
+    number = int(match[1] + match[2]) if match else default
+    return number if abs(number) <= _LARGEST_NUMBER else default
 
 
 def _rows(node: Node, rows: list, captions: list, loose: Layout) -> Generator:
@@ -324,13 +334,15 @@ def _rows(node: Node, rows: list, captions: list, loose: Layout) -> Generator:
             rows.append((yield _cells(child, loose)))
             row = None
         elif child.tag in ("thead", "tbody", "tfoot", "form"):
+            rows.append(None)  # row spans end here
             yield _rows(child, rows, captions, loose)
+            rows.append(None)
             row = None
         elif child.tag in ("td", "th"):  # a cell without a row
             if row is None:
                 row = []
                 rows.append(row)
-            row.append(((yield _block(child)), _int(child.attributes.get("colspan"), 1)))
+            row.append(_cell(child, (yield _block(child))))
         elif child.tag == "caption":
             captions.append((yield _block(child)))
         elif child.tag not in ("col", "colgroup"):
@@ -343,7 +355,7 @@ def _cells(node: Node, loose: Layout) -> Generator:
         if isinstance(child, str):
             loose.text(child)
         elif child.tag in ("td", "th"):
-            cells.append(((yield _block(child)), _int(child.attributes.get("colspan"), 1)))
+            cells.append(_cell(child, (yield _block(child))))
         else:
             yield _element(child, loose)
     return cells
@@ -357,25 +369,90 @@ def _table(node: Node, out: Layout) -> Generator:
     out.put(_flushed(loose))
     for caption in captions:
         out.put(caption)
-    widths: dict[int, int] = {}
-    for row in rows:
-        column = 0
-        for lines, span in row:
-            span = min(max(span, 1), 1000)
-            if span == 1:
-                widths[column] = max([widths.get(column, 0), *map(width, lines)])
-            column += span
+    for line in _grid_lines(*_placed(rows)):
+        out.put([line])
+
+
+def _cell(node: Node, lines: list[str]) -> tuple[list[str], int, int]:
+    """A cell's lines and the columns and rows it asks for; 0 rows: all of its group."""
+    columns = _int(node.attributes.get("colspan"), 1)
+    rows = _int(node.attributes.get("rowspan"), 1)
+    return (lines, min(max(columns, 1), _MOST_COLUMNS),
+            min(rows, _MOST_ROWS) if rows >= 0 else 1)
+
+
+def _placed(rows: list) -> tuple[list[tuple], int]:
+    """The cells in their places of the grid, as (row, rows, column, columns, lines), and the
+    number of rows. None in `rows` ends a row group."""
+    cells, groups, group = [], [], []
     for row in rows:
-        height = max((len(lines) for lines, _ in row), default=0)
-        for n in range(height):
-            parts, column = [], 0
-            for lines, span in row:
-                span = min(max(span, 1), 1000)
-                room = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
-                text = lines[n] if n < len(lines) else ""
-                parts.append(text + " " * (room - width(text)))
-                column += span
-            out.put(["  ".join(parts).rstrip()])
+        if row is None:
+            groups.append(group)
+            group = []
+        else:
+            group.append(row)
+    groups.append(group)
+    first = 0
+    for group in groups:
+        taken: dict[int, int] = {}  # column: the row from which it is free again
+        for n, row in enumerate(group):
+            column = 0
+            for lines, columns, height in row:
+                while taken.get(column, 0) > n:
+                    column += 1
+                height = min(height or len(group), len(group) - n)
+                cells.append((first + n, height, column, columns, lines))
+                if height > 1:
+                    for c in range(column, column + columns):
+                        taken[c] = max(taken.get(c, 0), n + height)
+                column += columns
+        first += len(group)
+    return cells, first
+
+
+def _grid_lines(cells: list[tuple], number: int) -> list[str]:
+    """The text lines of a table."""
+    widths: dict[int, int] = {}
+    heights = [0] * number
+    for row, rows, column, columns, lines in cells:
+        if columns == 1:
+            widths[column] = max([widths.get(column, 0), *map(width, lines)])
+        if rows == 1:
+            heights[row] = max(heights[row], len(lines))
+    for row, rows, column, columns, lines in sorted(cells, key=lambda c: (c[3], c[1], c[:3])):
+        if columns > 1:
+            own = range(column, column + columns)
+            short = max(map(width, lines), default=0) - 2 * (columns - 1) - sum(
+                widths.get(c, 0) for c in own)
+            if short > 0:
+                widths[own[-1]] = widths.get(own[-1], 0) + short
+    for row, rows, column, columns, lines in sorted(cells, key=lambda c: (c[1], c[0])):
+        if rows > 1:
+            heights[row + rows - 1] += max(0, len(lines) - sum(heights[row:row + rows]))
+    used = sorted(widths)
+    before = [0, *accumulate(widths[c] for c in used)]
+    tops = [0, *accumulate(heights)]
+    out = [""] * tops[-1]
+    filled = [0] * tops[-1]
+    for row, rows, column, columns, lines in sorted(cells, key=lambda c: c[2]):
+        start = 2 * column + before[bisect_left(used, column)]
+        for n, line in enumerate(lines, start=tops[row]):
+            if line:
+                out[n] += " " * max(start - filled[n], 2 if filled[n] else 0) + line
+                filled[n] = width(out[n])
+    return [line.rstrip() for line in out]
+
+
+def _is_block(node: Node) -> bool:
+    """By its tag, unless its style says otherwise. Lists and tables stay what they are."""
+    found = _DISPLAY.search(node.attributes.get("style") or "")
+    if found and node.tag not in KEEP_DISPLAY:
+        display = found[1].lower()
+        if display in _BLOCK_DISPLAYS:
+            return True
+        if display.startswith("inline"):
+            return False
+    return node.tag in BLOCK
 
 
 def _element(node: Node, out: Layout) -> Generator:
@@ -389,7 +466,7 @@ def _element(node: Node, out: Layout) -> Generator:
         if node.attributes.get("type", "").lower() in ("submit", "button", "reset"):
             out.text(node.attributes.get("value", ""))
         return
-    if tag not in BLOCK:
+    if not _is_block(node):
         if tag == "textarea":
             out.inline.append(node.children[0] if node.children else "")
         else:

@@ -37,6 +37,68 @@ def test_table_columns_are_aligned():
         "Cap", "Name       N", "漢字       1", "long name  22", "both", "", "after"]
 
 
+@pytest.mark.parametrize("rows, lines", [
+    ("<tr><td rowspan=2>A<td>b1<td>c1<tr><td>b2<td>c2", ["A  b1  c1", "   b2  c2"]),
+    ("<tr><td colspan=2>a long heading<td>x<tr><td>1<td>2<td>y", [
+        "a long heading  x", "1  2            y"]),
+    ("<tr><td rowspan=0>A<td>1<tr><td>2<tr><td>3", ["A  1", "   2", "   3"]),
+    ("<tbody><tr><td rowspan=9>A<td>1</tbody><tbody><tr><td>2<td>3</tbody>", ["A  1", "2  3"]),
+    ("<tr><td rowspan=2>a<br>b<br>c<td>1<tr><td>2<tr><td>x<td>3", ["a  1", "b  2", "c", "x  3"]),
+    ("<tr><td>1<td rowspan=2 colspan=2>wide cell<td>2<tr><td>3<td>4", [
+        "1  wide cell  2", "3             4"]),
+    ("<tr><td colspan=0>a<td rowspan=-3>b", ["a  b"]),
+])
+def test_spans_hold_their_places(rows, lines):
+    assert html.render(f"<table>{rows}</table>").split("\n") == lines
+
+
+def test_places_equal_a_grid_filled_slot_by_slot():
+    import random
+
+    chance = random.Random(7)
+    for _ in range(300):
+        rows = [None if chance.random() < 0.1 else [
+            ([f"t{n}"], chance.randint(1, 3), chance.randint(0, 4))
+            for n in range(chance.randint(0, 4))] for _ in range(chance.randint(0, 7))]
+        slots, expected, first = {}, [], 0
+        parts = [[]]
+        for row in rows:
+            parts.append([]) if row is None else parts[-1].append(row)
+        for group in parts:
+            for y, row in enumerate(group):
+                x = 0
+                for lines, wide, high in row:
+                    while (first + y, x) in slots:
+                        x += 1
+                    high = min(high, len(group) - y) if high else len(group) - y
+                    for dy in range(high):
+                        for dx in range(wide):
+                            slots[first + y + dy, x + dx] = True
+                    expected.append((first + y, high, x, wide, lines))
+                    x += wide
+            first += len(group)
+        assert html._placed(rows) == (expected, first)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<ol start=1234567890><li>x</ol>", "1234567890. x"), ("<ol start=99999999999><li>x</ol>", "1. x"),
+    ("<ol start=-5><li>x</ol>", "-5. x"), (f"<ol start={'0' * 5000}7><li>x</ol>", "7. x"),
+    ("a<span style='display:block'>b</span>c", "a\nb\nc"),
+    ("a<div style='color:red; display: inline-block'>b</div>c", "abc"),
+    ("<ul style='display:inline'><li>x</ul>", "- x"),
+])
+def test_numbers_and_display(page, text):
+    assert html.render(page) == text
+
+
+def test_empty_pages_and_repeated_rows(spark, tmp_path):
+    empty = spark.createDataFrame([], "page_id long, html string")
+    assert registry.op2_html(spark, save(tmp_path / "a", empty, "pages")).count() == 0
+    twice = spark.createDataFrame([(1, "<p>x"), (1, "<p>x"), (2, "<p>x")], "page_id long, html string")
+    got = registry.op2_html(spark, save(tmp_path / "b", twice, "pages")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "x"), (1, "x"), (2, "x")]
+
+
 def test_nested_table_and_lines_in_cells():
     page = "<table><tr><td>a<br>b<td><table><tr><td>x<td>y</table><tr><td>c</table>"
     assert html.render(page).split("\n") == ["a  x  y", "b", "c"]

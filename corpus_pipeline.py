@@ -12,8 +12,8 @@ lost executor costs at most a stage. Stages 1 to 4 return the columns of `docume
 
 Defined results: null, empty and very short texts fail the quality rules and go. Columns beside those of
 `documents` are left behind at each stage, so their names clash with nothing. Documents without an id are
-judged like others; for lines each is a document of its own, after all those with an id. Rows that share
-a doc_id are one place for lines. Ties go to what stands earlier. An empty table gives no pieces, an
+judged like others; for lines each is a document of its own, after all those with an id, and near-dedup
+keeps them all. Rows that share a doc_id are one place for lines, and near-dedup keeps one of them. Ties go to what stands earlier. An empty table gives no pieces, an
 empty table of labels leaves the fixed limits. What each operator makes of a case stands in its docstring.
 """
 

@@ -33,7 +33,7 @@ from revlens.operators.anomalies import (
 from revlens.functions.text import cleaned
 from revlens import schemas
 from revlens.plans import sample, train_segments, train_sentiment, train_topics, training
-from revlens.runtime import fresh_path, materialized
+from revlens.runtime import fresh_path, materialized, small_table
 from revlens.sources import commits, files, lookups, message_log, messages, models, tables
 from revlens.streaming import scoring, windows
 
@@ -232,8 +232,8 @@ def observed_counts(spark, sf_dir) -> DataFrame:
     rows = prepare.prepare_reviews(sample.reviews(spark, sf_dir), training=True, counts=counts)
     materialized(rows.select("review_id", "text_combined"), "observed")
     found = counts.get()
-    return spark.createDataFrame(
-        [tuple(found.values())], ", ".join(f"{name} long" for name in found))
+    return small_table(
+        spark, [tuple(found.values())], ", ".join(f"{name} bigint" for name in found))
 
 
 @query

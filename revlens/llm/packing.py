@@ -102,7 +102,11 @@ class WordIds:
         self.words[word] = ids
         return ids
 
-    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text."""
+        return list(self.steps(texts))
+
+    def steps(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, some texts at a time."""
         at, size = 0, 0
         for n, text in enumerate(texts):
@@ -153,10 +157,10 @@ def cut(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> Da
 
     @F.pandas_udf("array<binary>")
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids_of = word_ids(path).ids
+        steps = word_ids(path).steps
         for batch in batches:
             rows = []
-            for ids in ids_of(batch.tolist()):
+            for ids in steps(batch.tolist()):
                 ids += end
                 rows.append([ids[at:at + width] for at in range(0, len(ids), width)])
             yield pd.Series(rows, dtype=object)

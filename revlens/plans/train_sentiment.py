@@ -199,7 +199,10 @@ def grid_search(train: DataFrame, key: str, grid: list, parallel: int = 4) -> Da
             raise ValueError("no term occurs in enough training documents")
         scaler = StandardScaler(inputCol="numeric_features", outputCol="scaled_numeric",
                                 withMean=True, withStd=True).fit(fitting)
-        models = _fit_all(_weighted(fitting, weights[fold], scaler), grid, parallel)
+        # stored, because each iteration ships the plan of its rows: with the weights in it, that took
+        # most of the time of a fit
+        ready = materialized(_weighted(fitting, weights[fold], scaler), "fold-fit")
+        models = _fit_all(ready, grid, parallel)
         rows = _fold_scores(models, _weighted(held_out, weights[fold], scaler)).select(
             "setting", "f1_score").collect()
         scores += [(row["setting"], fold, row["f1_score"]) for row in rows]

@@ -48,3 +48,17 @@ def test_grid_of_two_settings(rows):
     scores = train_sentiment.grid_search(rows, "review_id", grid, parallel=2).collect()
     assert sorted(r.setting for r in scores) == [0, 1]
     assert all(r.folds == CV_FOLDS and 0 < r.mean_f1 <= 1 for r in scores)
+
+
+def test_fits_read_stored_vectors(rows, monkeypatch):
+    plans = []
+    fit_all = train_sentiment._fit_all
+
+    def seen(train, grid, parallel):
+        plans.append(train._jdf.queryExecution().toString())
+        return fit_all(train, grid, parallel)
+
+    monkeypatch.setattr(train_sentiment, "_fit_all", seen)
+    grid = train_sentiment.full_grid()[:1]
+    assert train_sentiment.grid_search(rows, "review_id", grid).count() == 1
+    assert len(plans) == CV_FOLDS and not any("UDF" in plan for plan in plans)

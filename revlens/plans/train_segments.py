@@ -32,7 +32,9 @@ def scaled_features(with_topics: DataFrame, sentiment: str = "sentiment_label"):
     stored = materialized(features, "segment-inputs")
     _, means, deviations = kmeans.moments(stored, SEGMENT_INPUTS)
     scaler = PipelineModel(stages=[
-        VectorAssembler(inputCols=SEGMENT_INPUTS, outputCol="raw_features", handleInvalid="skip"),
+        # segment_features leaves nothing to skip, and a filter that looks for it would run the models
+        # before it once more for each of their columns
+        VectorAssembler(inputCols=SEGMENT_INPUTS, outputCol="raw_features", handleInvalid="keep"),
         kmeans.scaler_model(
             stored.sparkSession, means, deviations, "raw_features", "clustering_features"),
     ])

@@ -1,10 +1,12 @@
 """Physical plans: one cleaning per text, no Python, no cross join, sized broadcasts."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from revlens.plans import sample
+from revlens.plans import sample, train_segments
 from revlens.plans.oracle import oracle_sql
 from revlens.plans.queries import REGISTRY
+from revlens.sources.lookups import default_topic_names
 
 MODELS_OR_STREAMS = {
     "grid_search", "sentiment_predictions", "topic_distribution", "topic_terms",
@@ -77,3 +79,15 @@ def test_segments_do_not_depend_on_the_layout(spark, prepared):
         _, scaled = train_segments.scaled_features(dealt)
         found.append([(k, score) for k, score, _ in train_segments.sweep(scaled)])
     assert found[0] == found[1] == found[2]
+
+
+def test_models_before_segments_are_not_run_by_a_filter(spark, sf_dir, prepared, topic_model):
+    model, _, profiles = train_segments.train_segments(topic_model[0].transform(prepared))
+    names = profiles.select(F.col("cluster_id").alias("id"), "name")
+    scorer = sample.ReviewScorer(
+        default_topic_names(spark), names, {"topic": topic_model[0], "clustering": model})
+    scored = scorer.documents(sample.reviews(spark, sf_dir, labelled=False))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" in plan
+    assert not [line for line in plan.splitlines() if "Filter" in line and "UDF" in line]
+    assert scored.count() == sample.prepared(spark, sf_dir).count()

@@ -1,12 +1,13 @@
 """K-means whose result does not depend on how rows are laid out.
 
 Start points come from a bounded sample, the rows whose features hash lowest, by a seeded choice on the
-driver. Sums are taken over fixed-point decimals, in which the order of adding changes nothing. So files,
+driver. Sums are taken over fixed-point numbers, in which the order of adding changes nothing. So files,
 cores and partitions decide nothing, and rows need no order or number of partitions of their own.
 Several numbers of clusters are fitted at once: one pass over the rows per round serves them all.
 """
 
 import json
+from decimal import Decimal
 
 import numpy as np
 from pyspark.ml.clustering import KMeansModel
@@ -92,12 +93,66 @@ def assigned(rows: DataFrame, columns: list, centers: dict) -> DataFrame:
     return placed.select("point", F.inline(F.transform(listed, nearest)))
 
 
-def _sums(placed: DataFrame, dimensions: int) -> dict:
-    """Rows, sums and sums of squares of each (k, cluster)."""
-    found = placed.groupBy("k", "cluster").agg(
-        F.count("*").alias("n"), F.sum(_fixed(squared_norm(F.col("point")))).alias("squares"),
-        *[F.sum(_fixed(F.get("point", F.lit(i)))).alias(f"s{i}") for i in range(dimensions)],
-    ).collect()
+def _fixed_values(values: np.ndarray) -> np.ndarray:
+    """`_fixed` of doubles, as doubles: halves are rounded away from zero."""
+    scaled_up = values * float(_POINT)
+    size = np.abs(scaled_up)
+    whole = np.where(size < 0.5, 0.0, np.where(size < 2.0 ** 52, np.floor(size + 0.5), size))
+    return np.copysign(whole, scaled_up)
+
+
+def _exact_sums(fixed: np.ndarray) -> list[int]:
+    """The sum of each column of whole numbers, without rounding."""
+    if not (np.abs(fixed) < 2.0 ** 62).all():
+        return [sum(map(int, column)) for column in fixed.T]
+    high = np.floor(fixed / 2.0 ** 32)
+    low = (fixed - high * 2.0 ** 32).astype(np.int64).sum(axis=0)
+    return [(int(h) << 32) + int(w) for h, w in zip(high.astype(np.int64).sum(axis=0), low)]
+
+
+def _nearest(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The cluster of the nearest center, the lowest on ties; terms are added in the order of `assigned`."""
+    distances = np.zeros((len(centers), len(points)))
+    for own, center in zip(distances, centers):
+        for i, at in enumerate(center):
+            own += (points[:, i] - at) ** 2
+    return distances.argmin(axis=0)
+
+
+def _sums(rows: DataFrame, columns: list, centers: dict) -> dict:
+    """Rows, sums and sums of squares of each (k, cluster). A task adds up its own rows, batch by
+    batch, and sends one row per cluster. `columns` are doubles without NULL."""
+    dimensions = len(columns)
+    names = ["squares", *[f"s{i}" for i in range(dimensions)]]
+
+    def partial(batches):
+        import pyarrow as pa
+
+        totals: dict = {}
+        for batch in batches:
+            points = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            norms = np.zeros(len(points))
+            for i in range(dimensions):
+                norms += points[:, i] * points[:, i]
+            fixed = _fixed_values(np.column_stack([norms, points]))
+            for k, own in centers.items():
+                cluster = _nearest(points, own)
+                for c in np.unique(cluster).tolist():
+                    members = fixed[cluster == c]
+                    before = totals.get((k, c), [0] * (2 + dimensions))
+                    totals[k, c] = [
+                        x + y for x, y in zip(before, [len(members), *_exact_sums(members)])]
+        if totals:
+            found = [(k, c, *sums) for (k, c), sums in totals.items()]
+            kinds = [pa.int32(), pa.int32(), pa.int64()] + [pa.decimal128(38, 0)] * (1 + dimensions)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([Decimal(v) for v in values] if i > 2 else values, kind)
+                 for i, (values, kind) in enumerate(zip(map(list, zip(*found)), kinds))],
+                names=["k", "cluster", "n", *names])
+
+    schema = ", ".join(["k int, cluster int, n long", *[f"{name} {_WHOLE}" for name in names]])
+    found = rows.select(*columns).mapInArrow(partial, schema).groupBy("k", "cluster").agg(
+        *[F.sum(name).alias(name) for name in ["n", *names]]).collect()
     return {(r["k"], r["cluster"]): (
         r["n"], np.array([int(r[f"s{i}"]) / _POINT for i in range(dimensions)]),
         int(r["squares"]) / _POINT) for r in found}
@@ -113,7 +168,7 @@ def fit(rows: DataFrame, columns: list, numbers: list, max_iter: int, seed: int)
     for _ in range(max_iter):
         if not moving:
             break
-        found = _sums(assigned(rows, columns, {k: centers[k] for k in moving}), len(columns))
+        found = _sums(rows, columns, {k: centers[k] for k in moving})
         for k in sorted(moving):
             moved = centers[k].copy()  # a center without rows stays
             for (own, cluster), (n, sums, _) in found.items():
@@ -128,10 +183,10 @@ def fit(rows: DataFrame, columns: list, numbers: list, max_iter: int, seed: int)
 def silhouettes(rows: DataFrame, columns: list, centers: dict) -> dict:
     """The mean silhouette (squared Euclidean) of each number of clusters, from counts, sums and
     squares of the clusters; no two rows are compared. Without a second cluster it is 0."""
-    placed = assigned(rows, columns, centers)
-    found = sorted(_sums(placed, len(columns)).items())
+    found = sorted(_sums(rows, columns, centers).items())
     if not found:
         return {}
+    placed = assigned(rows, columns, centers)
     listed = _given(
         [{"k": k, "cluster": cluster, "n": float(n), "total": sums.tolist(), "squares": squares}
          for (k, cluster), (n, sums, squares) in found],

@@ -7,6 +7,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from revlens.functions.arrays import squared_norm
 from revlens.operators import kmeans
 from revlens.runtime import fresh_path, materialized
 
@@ -64,3 +65,32 @@ def test_start_points_are_different_points():
     points = np.array([[0.0], [0.0], [1.0], [5.0]])
     found = kmeans.start_points(points, np.array([9.0, 1.0, 1.0, 1.0]), 9, 3)
     assert sorted(found[:, 0]) == [0.0, 1.0, 5.0]
+
+
+def test_sums_of_a_task_are_those_of_expressions(spark):
+    """Ties, halves at the last binary place, and values beyond 64 bits in fixed point."""
+    last = 2.0 ** -41
+    rows = [(float(i % 7), i * last, (-1) ** i * 2.0 ** (i % 31)) for i in range(500)]
+    rows += [(0.49999999999999994 * 2 * last, -last, -3 * last), (1.0, 0.0, 2.0 ** 31)]
+    frame = spark.createDataFrame(rows, "x double, y double, z double").repartition(5)
+    centers = {2: np.array([[0.0, 0, 0], [2.0, 0, 0]]), 3: np.array([[0.0] * 3, [0.0] * 3, [9.0] * 3])}
+    placed = kmeans.assigned(frame, COLUMNS, centers)
+    expected = placed.groupBy("k", "cluster").agg(
+        F.count("*").alias("n"), F.sum(kmeans._fixed(squared_norm(F.col("point")))).alias("squares"),
+        *[F.sum(kmeans._fixed(F.get("point", F.lit(i)))).alias(f"s{i}") for i in range(3)]).collect()
+    point = 1 << 40
+    found = kmeans._sums(frame, COLUMNS, centers)
+    assert len(found) == len(expected)
+    for r in expected:
+        n, sums, squares = found[r.k, r.cluster]
+        assert n == r.n and [int(r[f"s{i}"]) / point for i in range(3)] == sums.tolist()
+        assert squares == pytest.approx(int(r.squares) / point, rel=1e-15)
+
+
+def test_rounds_send_one_row_per_task_and_cluster(spark, blobs, monkeypatch):
+    plans = []
+    collect = type(blobs).collect
+    monkeypatch.setattr(type(blobs), "collect", lambda self: (
+        plans.append(self._jdf.queryExecution().toString()), collect(self))[1])
+    kmeans._sums(blobs, COLUMNS, {2: np.zeros((2, 3))})
+    assert len(plans) == 1 and "Generate" not in plans[0] and "MapInArrow" in plans[0]

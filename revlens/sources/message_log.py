@@ -27,6 +27,7 @@ from revlens.runtime import open_path, path_exists
 SCHEMA = "topic string, partition int, offset long, value string"
 MAX_OFFSETS = 1_000_000
 _TASK_OFFSETS = 200_000
+_BATCH_BYTES, _BATCH_ROWS, _READ_BYTES = 4 << 20, 10_000, 1 << 20
 _LOG = "topic string, partition int, offset long"
 
 
@@ -46,7 +47,9 @@ def append(messages: DataFrame, path: str, topic: str, partition: Column, order:
         rows = rows.join(ends, "partition", "left").withColumn(
             "offset", F.col("offset") + F.coalesce("_end", F.lit(0)))
     rows.select("partition", "offset", "value").sortWithinPartitions("partition", "offset").write.mode(
-        "append").option("maxRecordsPerFile", rows_per_file).partitionBy("partition").parquet(
+        "append").option("maxRecordsPerFile", rows_per_file).option(
+        # so the stored size of a stretch tells readers how long its messages are
+        "parquet.enable.dictionary#value", "false").partitionBy("partition").parquet(
         f"{path}/topic={topic}")
 
 
@@ -157,7 +160,9 @@ class LogReader(DataSourceStreamReader):
         system, _ = open_path(self.path)
         for name in partition.files:
             with system.open_input_file(name) as file:
-                for batch in pq.ParquetFile(file).iter_batches(columns=["offset", "value"]):
+                # pages come one at a time, and only of the row groups that hold some of the stretch
+                stored = pq.ParquetFile(file, buffer_size=_READ_BYTES, pre_buffer=False)
+                for batch in self._batches(stored, partition):
                     offsets = batch.column(0)
                     batch = batch.filter(pc.and_(
                         pc.greater_equal(offsets, partition.start),
@@ -169,6 +174,20 @@ class LogReader(DataSourceStreamReader):
                              batch.column(0).cast(pa.int64()), batch.column(1)],
                             names=["topic", "partition", "offset", "value"])
 
+    @staticmethod
+    def _batches(stored: pq.ParquetFile, wanted: Stretch) -> Iterator:
+        """The rows of the row groups that reach into a stretch, about _BATCH_BYTES at a time."""
+        columns = ["offset", "value"]
+        at = [stored.schema_arrow.get_field_index(name) for name in columns]
+        for number in range(stored.num_row_groups):
+            group = stored.metadata.row_group(number)
+            offsets = group.column(at[0]).statistics
+            if offsets.min < wanted.end and offsets.max >= wanted.start:
+                row_bytes = group.column(at[1]).total_uncompressed_size / max(1, group.num_rows)
+                rows = int(min(_BATCH_ROWS, max(1, _BATCH_BYTES // max(1, row_bytes))))
+                yield from stored.iter_batches(
+                    batch_size=rows, row_groups=[number], columns=columns, use_threads=False)
+
     def commit(self, end):
         """Spark's checkpoint holds what is done."""
 

@@ -197,6 +197,19 @@ def offsets(scored):
     return sorted((r.queue_partition, r.queue_offset, r.review_id) for r in scored.collect())
 
 
+def test_long_messages_are_read_a_few_at_a_time(spark):
+    log = fresh_path(spark, "log")
+    texts = spark.range(3000).select("id", F.concat("id", F.repeat(F.lit("long "), 4000)).alias("value"))
+    message_log.append(texts.unionAll(texts), log, "reviews", F.lit(0), F.col("id"))
+    reader = message_log.LogReader({"path": log, "progress": f"{log}-progress.json"})
+    (part,) = reader.partitions({"offsets": {"reviews/0": 10}}, reader.latestOffset())
+    batches = list(reader.read(part))
+    assert max(batch.nbytes for batch in batches) <= 2 * message_log._BATCH_BYTES
+    read = [row for batch in batches for row in batch.to_pylist()]
+    assert [row["offset"] for row in read] == list(range(10, 6000))
+    assert all(row["value"].startswith(f"{row['offset'] // 2}long ") for row in read)
+
+
 def test_bounded_log_with_restarts_and_two_checkpoints(spark):
     log, folder = fresh_path(spark, "log"), Folder(spark)
     _log(spark, log, range(10))

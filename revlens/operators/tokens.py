@@ -72,18 +72,19 @@ def term_counts_by(documents: DataFrame, terms: str, *by) -> DataFrame:
     """Per term, within the groups `by`: occurrences and documents; the NULL term counts all
     documents.
 
-    Each document sends one row per occurrence, one per distinct term and one for itself, so
-    one aggregation, combined on the map side, yields all counts. Counting distinct
+    Each document sends one row per occurrence, the first of which counts the document, and one
+    for itself, so one aggregation, combined on the map side, yields all counts. Counting distinct
     documents would need a second shuffle by document and term, and counting all of them a
-    second pass over the texts.
+    second pass over the texts. In sorted terms, a first occurrence differs from the one before.
     """
-    def rows(array, used, seen):
-        return F.transform(array, lambda t: F.struct(
-            t.alias("term"), F.lit(used).alias("used"), F.lit(seen).alias("seen")))
-
-    itself = F.array(F.lit(None).cast("string"))
-    counted = documents.select(*by, F.inline(F.concat(
-        rows(F.col(terms), 1, 0), rows(F.array_distinct(terms), 0, 1), rows(itself, 0, 1))))
+    def row(term, used, seen):
+        return F.struct(term.alias("term"), used.alias("used"), seen.alias("seen"))
+
+    ordered = documents.select(*by, F.sort_array(terms).alias("_terms"))
+    occurrences = F.transform("_terms", lambda t, i: row(t, F.lit(1), F.when(
+        (i > 0) & t.eqNullSafe(F.get("_terms", i - 1)), 0).otherwise(1)))
+    itself = F.array(row(F.lit(None).cast("string"), F.lit(0), F.lit(1)))
+    counted = ordered.select(*by, F.inline(F.concat(occurrences, itself)))
     return counted.groupBy(*by, "term").agg(
         F.sum("used").alias("term_count"), F.sum("seen").alias("doc_count"))
 

@@ -382,3 +382,12 @@ def test_no_task_gathers_the_candidates_of_all_others(spark):
         F.lit(4).cast("long").alias("doc_count"))
     plan = tokens.most_frequent(rows, 100)._jdf.queryExecution().toString()
     assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
+def test_a_document_sends_one_row_per_occurrence(spark):
+    rows = spark.createDataFrame(
+        [(["b", "a", "b"], 1), (["b"], 1), ([], 1), (["a", "a"], 2)], "terms array<string>, fold int")
+    counted = tokens.term_counts_by(rows, "terms", "fold")
+    assert "array_distinct" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, counted.collect()), key=str) == [
+        (1, "a", 1, 1), (1, "b", 3, 2), (1, None, 0, 3), (2, "a", 2, 1), (2, None, 0, 1)]

@@ -26,8 +26,7 @@ Defined results: null and empty texts have no bytes; texts shorter than LENGTH l
 (repeated rows) do not precede each other; rows without id come last.
 """
 
-import struct
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,10 +42,13 @@ HOT = 4096
 RUN_RECORDS = 120_000
 RANGE_RECORDS = 60_000
 SAMPLES_PER_RANGE = 32
-CHUNK = 1 << 20
+_BEFORE = LENGTH - GRAM  # bytes before an anchor that its windows may need
+CHUNK = 1 << 17  # its hashes stay in a core's cache
 _LAST = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_META = struct.Struct("<qqqBB")
+# A run's record beside its bytes, column by column: what a suffix shares with the one before, its size,
+# that of the bytes before it, least, anchor in the text, doc, row.
+_COLUMNS = ("u1", "u1", "u1", "u1", "<u4", "<i8", "<i8")
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -63,18 +65,19 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return hashes
 
 
-def _least(values: np.ndarray, span: int) -> np.ndarray:
-    """Index of the least value among `span` at each position, the leftmost if several."""
-    places = np.arange(len(values), dtype=np.int32)
+def _least(hashes: np.ndarray, span: int) -> np.ndarray:
+    """Index of the least hash among `span` at each position, the leftmost if several.
+
+    The index takes the place of a hash's lowest bits, so one minimum finds both; what
+    is least by the other bits is as good as any choice that the bytes alone decide."""
+    mask = np.uint64((1 << len(hashes).bit_length()) - 1)
+    values = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
     width = 1
     while width < span:
         step = min(width, span - width)
-        left_v, right_v = values[:-step], values[step:]
-        keep = left_v <= right_v
-        values = np.where(keep, left_v, right_v)
-        places = np.where(keep, places[:-step], places[step:])
+        values = np.minimum(values[:-step], values[step:])
         width += step
-    return places
+    return (values & mask).astype(np.int64)
 
 
 def anchors_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -82,23 +85,27 @@ def anchors_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     over texts that stand one after the other in `data` and end at `ends`."""
     out = []
     starts = np.concatenate(([0], ends[:-1]))
+    across = np.arange(1, LENGTH)
     for at in range(0, max(0, len(data) - LENGTH + 1), CHUNK):
         part = data[at:at + CHUNK + LENGTH - 1]
         if len(part) < LENGTH:
             continue
         hashes = _gram_hashes(part)
         least = _least(hashes, LENGTH - GRAM + 1)
-        window = np.arange(len(least)) + at
-        text = np.searchsorted(ends, window, side="right")
-        inside = window + LENGTH <= ends[text]
-        window, least, text = window[inside], least[inside], text[inside]
+        inside = np.ones(len(least), dtype=bool)
+        near = ends[np.searchsorted(ends, at, side="right"):
+                    np.searchsorted(ends, at + len(part), side="right")]
+        over = (np.unique(near)[:, None] - across - at).ravel()
+        inside[over[(over >= 0) & (over < len(least))]] = False
+        window = np.flatnonzero(inside)
         if not len(window):
             continue
+        least = least[window]
         fresh = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         last = np.concatenate((fresh[1:], [len(least)])) - 1
-        anchor = least[fresh].astype(np.int64) + at
-        of = text[fresh]
-        out.append((hashes[least[fresh]].view(np.int64), of, anchor - starts[of],
+        anchor = least[fresh]
+        of = np.searchsorted(ends, anchor + at, side="right")
+        out.append((hashes[anchor].view(np.int64), of, anchor + at - starts[of],
                     anchor - window[fresh], anchor - window[last]))
     if not out:
         empty = np.zeros(0, dtype=np.int64)
@@ -144,19 +151,23 @@ def settled(common: np.ndarray, before: np.ndarray, before_size: np.ndarray, doc
     differ = ordered[1:] != ordered[:-1]
     agree = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
     by_place = np.lexsort((at, doc))
+    # places by their order; rows that share a place are the same in it
+    rank = np.empty(size, dtype=np.int64)
+    rank[by_place] = np.cumsum(np.concatenate(([False], (
+        (doc[by_place[1:]] != doc[by_place[:-1]]) | (at[by_place[1:]] != at[by_place[:-1]])))))
+    left = np.empty(size, dtype=np.int64)
     for t in range(width + 1):
-        rows = by_place[(least[by_place] <= t) & (t <= before_size[by_place])]
+        rows = np.flatnonzero((least <= t) & (t <= before_size))
         if len(rows) < 2:
             continue
         right = np.cumsum(common < LENGTH - t)
-        left = np.empty(size, dtype=np.int64)
         left[by_before] = np.concatenate(([0], np.cumsum(agree < t)))
         key = right[rows] * size + left[rows]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rows, key = rows[order], key[order]
-        first = np.maximum.accumulate(
-            np.where(np.concatenate(([True], key[1:] != key[:-1])), np.arange(len(key)), 0))
-        later = (doc[rows] != doc[rows[first]]) | (at[rows] != at[rows[first]])
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        first = np.minimum.reduceat(rank[rows], np.flatnonzero(fresh))
+        later = rank[rows] != first[np.cumsum(fresh) - 1]
         result[rows[later], t] = True
     return result
 
@@ -170,24 +181,46 @@ def _intervals(flags: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 class Suffixes:
-    """Anchors sorted by suffix, with all that decides their windows."""
-
-    def __init__(self, records: list[tuple], common: np.ndarray | None = None):
-        """records: (suffix, bytes before, doc, row, at, least), sorted if `common` is given."""
-        if common is None:
-            records.sort(key=lambda r: r[0])
-            common = common_prefixes([r[0] for r in records])
-        self.records, self.common = records, common
-        column = [np.array([r[k] for r in records], dtype=np.int64) for k in (2, 3, 4, 5)]
-        self.doc, self.row, self.at, self.least = column
-        self.before_size = np.array([len(r[1]) for r in records], dtype=np.int64)
-        width = int(self.before_size.max(initial=1))
-        joined = b"".join([r[1][::-1].ljust(width, b"\0") for r in records])
-        self.before = np.frombuffer(joined, dtype=np.uint8).reshape(len(records), width)
+    """Anchors with all that decides their windows, column by column: `table` has the suffixes and
+    `before` the bytes before them (nearest first), both filled up with zeros."""
+
+    FIELDS = ("table", "size", "before", "before_size", "doc", "row", "at", "least")
+
+    def __init__(self, *columns: np.ndarray, common: np.ndarray | None = None):
+        for name, column in zip(self.FIELDS, columns, strict=True):
+            setattr(self, name, column)
+        # with the suffix above; known once they are sorted
+        self.common = common
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def taken(self, rows, common: np.ndarray | None = None) -> "Suffixes":
+        return Suffixes(*(getattr(self, name)[rows] for name in self.FIELDS), common=common)
+
+    @staticmethod
+    def joined(parts: list["Suffixes"]) -> "Suffixes":
+        if len(parts) == 1:
+            return parts[0]
+        return Suffixes(*(
+            np.concatenate([getattr(part, name) for part in parts]) for name in Suffixes.FIELDS))
+
+    def ordered(self) -> "Suffixes":
+        # the size ends a suffix, so that zeros in a text and those filled up differ
+        keys = np.concatenate([self.table, self.size[:, None].astype(np.uint8)], axis=1)
+        order = np.argsort(keys.view(f"S{keys.shape[1]}").ravel())
+        out = self.taken(order)
+        out.common = _common(out.table, out.size)
+        return out
+
+    def suffixes(self) -> list[bytes]:
+        data, width = self.table.tobytes(), self.table.shape[1]
+        return [data[at:at + size] for at, size in
+                zip(range(0, len(data), width), self.size.tolist())]
 
     def settle(self) -> np.ndarray:
         """Flags of windows, worked out only where anchors have company."""
-        flags = np.zeros((len(self.records), self.before.shape[1] + 1), dtype=bool)
+        flags = np.zeros((len(self), self.before.shape[1] + 1), dtype=bool)
         near = self.common >= GRAM
         company = near | np.concatenate((near[1:], [False]))
         some = np.flatnonzero(company)
@@ -202,42 +235,76 @@ class Suffixes:
         own = (self.least[:, None] <= t) & (t <= self.before_size[:, None])
         return np.flatnonzero((own & ~flags).any(axis=1))
 
+    def coded(self) -> bytes:
+        """Sorted ones front-coded: each suffix without what it shares with the one before."""
+        columns = (self.common, self.size, self.before_size, self.least, self.at, self.doc, self.row)
+        at, back = np.arange(self.table.shape[1]), np.arange(self.before.shape[1])
+        own = (self.common[:, None] <= at) & (at < self.size[:, None])
+        return b"".join([
+            len(self).to_bytes(8, "little"),
+            *(column.astype(kind).tobytes() for column, kind in zip(columns, _COLUMNS)),
+            self.table[own].tobytes(), self.before[back < self.before_size[:, None]].tobytes(),
+        ])
+
+    @staticmethod
+    def of(blob: bytes) -> "Suffixes":
+        """What `coded` made a blob of."""
+        number, offset, columns = int.from_bytes(blob[:8], "little"), 8, []
+        for kind in _COLUMNS:
+            column = np.frombuffer(blob, dtype=kind, count=number, offset=offset)
+            offset += column.nbytes
+            columns.append(column.astype(np.int64))
+        common, size, before_size, least, at, doc, row = columns
+        bytes_ = np.frombuffer(blob, dtype=np.uint8, offset=offset)
+        place, back = np.arange(LENGTH), np.arange(_BEFORE)
+        table = np.zeros((number, LENGTH), dtype=np.uint8)
+        fresh = common[:, None] <= place
+        own = fresh & (place < size[:, None])
+        split = int(np.count_nonzero(own))
+        table[own] = bytes_[:split]
+        # a shared byte stands in the last suffix that brought its own at this place
+        source = np.where(fresh, np.arange(number, dtype=np.int32)[:, None], np.int32(0))
+        np.maximum.accumulate(source, axis=0, out=source)
+        table = np.take_along_axis(table, source, axis=0)
+        before = np.zeros((number, _BEFORE), dtype=np.uint8)
+        before[back < before_size[:, None]] = bytes_[split:]
+        return Suffixes(table, size, before, before_size, doc, row, at, least, common=common)
+
+
+def _common(table: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Common prefix of each row with the one above it; 0 for the first."""
+    differ = table[1:] != table[:-1]
+    agree = np.where(differ.any(axis=1), differ.argmax(axis=1), table.shape[1])
+    return np.concatenate(
+        ([0], np.minimum(agree, np.minimum(size[1:], size[:-1])))).astype(np.int64)[:len(table)]
+
+
+def _table(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    joined = b"".join([s.ljust(width, b"\0") for s in strings])
+    return (np.frombuffer(joined, dtype=np.uint8).reshape(len(strings), width),
+            np.array([len(s) for s in strings], dtype=np.int64))
+
 
 def common_prefixes(suffixes: list[bytes]) -> np.ndarray:
     """Of each suffix with the one above it; 0 for the first."""
-    if not suffixes:
-        return np.zeros(0, dtype=np.int64)
-    sizes = np.array([len(s) for s in suffixes])
-    table = np.frombuffer(b"".join([s.ljust(LENGTH, b"\0") for s in suffixes]), dtype=np.uint8)
-    table = table.reshape(len(suffixes), LENGTH)
-    differ = table[1:] != table[:-1]
-    agree = np.where(differ.any(axis=1), differ.argmax(axis=1), LENGTH)
-    return np.concatenate(([0], np.minimum(agree, np.minimum(sizes[1:], sizes[:-1]))))
+    return _common(*_table(suffixes, LENGTH))
 
 
 def front_coded(records: list[tuple]) -> bytes:
-    """Sorted records, each suffix without what it shares with the one before."""
-    parts = []
-    for (suffix, before, doc, row, at, least), shared in zip(
-            records, common_prefixes([r[0] for r in records]).tolist()):
-        parts += [bytes((shared, len(suffix) - shared, len(before))), suffix[shared:], before,
-                  _META.pack(doc, row, at, least, 0)]
-    return b"".join(parts)
+    """Sorted records (suffix, bytes before, doc, row, at, least) as `Suffixes.coded` has them."""
+    table, size = _table([r[0] for r in records], LENGTH)
+    before, before_size = _table([r[1][::-1] for r in records], _BEFORE)
+    rest = [np.array([r[k] for r in records], dtype=np.int64) for k in (2, 3, 4, 5)]
+    return Suffixes(table, size, before, before_size, *rest, common=_common(table, size)).coded()
 
 
 def decoded(blob: bytes) -> Iterator[tuple[bytes, int, tuple]]:
     """(suffix, common prefix with the one before, record) of a front-coded run."""
-    at, suffix = 0, b""
-    while at < len(blob):
-        shared, own, size = blob[at], blob[at + 1], blob[at + 2]
-        at += 3
-        suffix = suffix[:shared] + blob[at:at + own]
-        at += own
-        before = blob[at:at + size]
-        at += size
-        doc, row, place, least, _ = _META.unpack_from(blob, at)
-        at += _META.size
-        yield suffix, shared, (suffix, before, doc, row, place, least)
+    run = Suffixes.of(blob)
+    for n, suffix in enumerate(run.suffixes()):
+        before = run.before[n, :run.before_size[n]].tobytes()[::-1]
+        yield suffix, int(run.common[n]), (
+            suffix, before, *(int(c[n]) for c in (run.doc, run.row, run.at, run.least)))
 
 
 def _first_difference(a: bytes, b: bytes, known: int) -> int:
@@ -252,103 +319,141 @@ class LoserTree:
 
     A node keeps the loser of its match and the loser's common prefix with the winner. The
     heads' prefixes are all known against the last suffix out, so the longer one wins without a
-    look at the bytes, and equal ones are compared from there on."""
+    look at the bytes, and equal ones are compared from there on. A run that has ended has a common
+    prefix below all others."""
 
     def __init__(self, runs: list[Iterator[tuple[bytes, int, tuple]]]):
-        self.runs = runs
-        self.heads = [next(run, None) for run in runs]
-        self.common = [0] * len(runs)
+        self.runs = [iter(run) for run in runs]
+        heads = [next(run, None) for run in self.runs]
+        self.heads = [head and head[0] for head in heads]
+        self.records = [head and head[2] for head in heads]
+        self.common = [-1 if head is None else 0 for head in heads]
         self.losers = [-1] * max(1, len(runs))
         self.winner = self._play_all(1) if runs else -1
 
     def _play_all(self, node: int) -> int:
         if node >= len(self.runs):
             return node - len(self.runs)
-        return self._match(node, self._play_all(2 * node), self._play_all(2 * node + 1))
-
-    def _match(self, node: int, a: int, b: int) -> int:
-        one, two = self.heads[a], self.heads[b]
-        if one is None or two is None:
-            a_wins = two is None
-        elif self.common[a] != self.common[b]:
-            a_wins = self.common[a] > self.common[b]
+        a, b = self._play_all(2 * node), self._play_all(2 * node + 1)
+        if self.common[a] == self.common[b] and self.common[a] >= 0:
+            a_wins = self._a_wins(a, b, self.common[a])
         else:
-            known = _first_difference(one[0], two[0], self.common[a])
-            a_wins = (one[0][known:known + 1], a) < (two[0][known:known + 1], b)
-            self.common[b if a_wins else a] = known
+            a_wins = self.common[a] > self.common[b]
         self.losers[node] = b if a_wins else a
         return a if a_wins else b
 
+    def _a_wins(self, a: int, b: int, known: int) -> bool:
+        """Compare heads that agree so far; the loser's common prefix becomes that with the winner."""
+        one, two = self.heads[a], self.heads[b]
+        if one == two:
+            self.common[b] = len(two)
+            return True
+        if one[known:known + 1] == two[known:known + 1]:
+            known = _first_difference(one, two, known + 1)
+        a_wins = one < two
+        self.common[b if a_wins else a] = known
+        return a_wins
+
     def __iter__(self) -> Iterator[tuple[int, tuple]]:
         """(common prefix with the last one out, record)."""
-        if self.winner < 0:
-            return
-        while self.heads[self.winner] is not None:
-            run = self.winner
-            yield self.common[run], self.heads[run][2]
-            head = self.heads[run] = next(self.runs[run], None)
-            self.common[run] = head[1] if head else 0
-            node, best = (run + len(self.runs)) // 2, run
-            while node >= 1:
-                best = self._match(node, self.losers[node], best)
-                node //= 2
-            self.winner = best
+        common, losers, heads, records = self.common, self.losers, self.heads, self.records
+        runs, size, best = self.runs, len(self.runs), self.winner
+        while best >= 0 and common[best] >= 0:
+            yield common[best], records[best]
+            head = next(runs[best], None)
+            if head is None:
+                heads[best] = records[best] = None
+                own = common[best] = -1
+            else:
+                heads[best], own, records[best] = head
+                common[best] = own
+            node = (best + size) >> 1
+            while node:
+                other = losers[node]
+                theirs = common[other]
+                if theirs > own or theirs == own >= 0 and not self._a_wins(best, other, own):
+                    losers[node], best, own = best, other, theirs
+                node >>= 1
+        self.winner = best
 
 
 _SENT = "range int, records binary, spans binary"
 _SPANS = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
+def _gathered(batch: pa.RecordBatch) -> Iterator[tuple[bool, Suffixes]]:
+    """(hot, anchors or single windows) of a batch's places, at most RUN_RECORDS or so at a time."""
+    raw, ends = _bytes_of(batch.column("text"))
+    starts = np.concatenate(([0], ends[:-1]))
+    padded = np.concatenate((np.zeros(_BEFORE, np.uint8), raw, np.zeros(LENGTH, np.uint8)))
+    strings = np.lib.stride_tricks.sliding_window_view(padded, LENGTH)
+    backs = np.lib.stride_tricks.sliding_window_view(padded, _BEFORE)
+    found = batch.column("found")
+    places = found.flatten().to_numpy(zero_copy_only=False)
+    of = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+    doc, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "row"))
+    for hot in (False, True):
+        mine = np.flatnonzero((places < 0) == hot)
+        packed = np.abs(places[mine]) - 1
+        at, most, least = packed >> 14, packed >> 7 & 127, packed & 127
+        number = most - least + 1 if hot else np.ones(len(mine), dtype=np.int64)
+        step = (np.cumsum(number) - number) // RUN_RECORDS
+        for some in np.split(np.arange(len(mine)), np.flatnonzero(np.diff(step)) + 1):
+            if not len(some):
+                continue
+            text, a, m, n = of[mine[some]], at[some], most[some], least[some]
+            if hot:
+                count = number[some]
+                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                text, a = np.repeat(text, count), np.repeat(a - m, count) + nth
+                m = n = np.zeros(len(a), dtype=np.int64)
+            place = starts[text] + a
+            # a copy, as the bytes after a suffix are cut off
+            table = strings[place + _BEFORE]
+            table[np.arange(LENGTH) >= LENGTH - n[:, None]] = 0
+            back = backs[place][:, ::-1].copy()
+            back[np.arange(_BEFORE) >= m[:, None]] = 0
+            yield hot, Suffixes(table, LENGTH - n, back, m, doc[text], row[text], a, n)
+
+
 def _runs(splitters: list[bytes]):
     """Sort anchors in runs, settle what a run can, and send the rest to their ranges."""
     heads = [s[:GRAM] for s in splitters]
 
-    def range_of(suffix: bytes, hot: bool) -> int:
+    def send(some: list[Suffixes], hot: bool) -> pa.RecordBatch:
+        run = Suffixes.joined(some).ordered()
+        flags = run.settle()
+        who, start, end = _intervals(flags, run.at)
+        spans = np.stack([run.row[who], start, end], axis=1).astype("<i8")
+        left = run.taken(run.unsettled(flags))
         # anchors of one hash stay together; single windows are cut at any byte
-        return bisect_right(splitters, suffix) if hot else bisect_right(heads, suffix[:GRAM])
-
-    def send(records: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for hot in (False, True):
-            some = [r for r in records if r[6] == hot]
-            if not some:
-                continue
-            run = Suffixes(some)
-            flags = run.settle()
-            who, start, end = _intervals(flags, run.at)
-            spans = np.stack([run.row[who], start, end], axis=1).astype("<i8")
-            by_range: dict[int, list[tuple]] = {}
-            for n in run.unsettled(flags).tolist():
-                record = run.records[n]
-                by_range.setdefault(range_of(record[0], hot), []).append(record[:6])
-            shares = np.array_split(spans, max(1, len(by_range)))
-            targets = list(by_range.items()) or [(0, [])]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([2 * r + hot for r, _ in targets], pa.int32()),
-                pa.array([front_coded(own) for _, own in targets], pa.binary()),
-                pa.array([share.tobytes() for share in shares], pa.binary()),
-            ], names=["range", "records", "spans"])
+        strings = left.suffixes() if hot else [s[:GRAM] for s in left.suffixes()]
+        cuts = [0, *(bisect_left(strings, s) for s in (splitters if hot else heads)), len(left)]
+        targets = []
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if a < b:
+                own = left.taken(slice(a, b))
+                own.common = _common(own.table, own.size)
+                targets.append((n, own.coded()))
+        shares = np.array_split(spans, max(1, len(targets)))
+        targets = targets or [(0, b"")]
+        return pa.RecordBatch.from_arrays([
+            pa.array([2 * r + hot for r, _ in targets], pa.int32()),
+            pa.array([own for _, own in targets], pa.binary()),
+            pa.array([share.tobytes() for share in shares], pa.binary()),
+        ], names=["range", "records", "spans"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        records: list[tuple] = []
+        waiting: dict[bool, list[Suffixes]] = {False: [], True: []}
         for batch in batches:
-            for doc, row, text, found in zip(*(
-                    batch.column(c).to_pylist() for c in ("doc", "row", "text", "found"))):
-                data = text.encode()
-                for place in found:
-                    hot, place = place < 0, abs(place) - 1
-                    at, most, least = place >> 14, place >> 7 & 127, place & 127
-                    if hot:
-                        records += [
-                            (data[p:p + LENGTH], b"", doc, row, p, 0, True)
-                            for p in range(at - most, at - least + 1)]
-                    else:
-                        records.append((
-                            data[at:at + LENGTH - least], data[at - most:at], doc, row, at, least,
-                            False))
-                    if len(records) >= RUN_RECORDS:
-                        yield from send(records)
-                        records = []
-        yield from send(records)
+            for hot, some in _gathered(batch):
+                waiting[hot].append(some)
+                if sum(map(len, waiting[hot])) >= RUN_RECORDS:
+                    yield send(waiting[hot], hot)
+                    waiting[hot] = []
+        for hot, some in waiting.items():
+            if some:
+                yield send(some, hot)
 
     return sort
 
@@ -356,30 +461,32 @@ def _runs(splitters: list[bytes]):
 def _merge(key: tuple, runs: pa.Table) -> pa.Table:
     """Merge the runs of a range, settle their windows; all spans of bytes to remove."""
     spans = [b"".join(runs.column("spans").to_pylist())]
-    tree = LoserTree([decoded(blob) for blob in runs.column("records").to_pylist() if blob])
-    records: list[tuple] = []
-    common: list[int] = []
-
-    def settle() -> None:
-        group = Suffixes(records, np.array(common, dtype=np.int64))
-        who, start, end = _intervals(group.settle(), group.at)
-        spans.append(np.stack([group.row[who], start, end], axis=1).astype("<i8").tobytes())
-
-    whole = LENGTH if key[0].as_py() % 2 else GRAM
-    for shared, record in tree:
-        if shared < whole and len(records) >= RUN_RECORDS:
-            settle()
-            records, common = [], []
-        records.append(record)
-        common.append(shared if records[1:] else 0)
-    if records:
-        settle()
+    parts = [Suffixes.of(blob) for blob in runs.column("records").to_pylist() if blob]
+    at, inputs = 0, []
+    for part in parts:
+        inputs.append(zip(part.suffixes(), part.common.tolist(), range(at, at + len(part))))
+        at += len(part)
+    if parts:
+        merged = np.array(list(LoserTree(inputs)), dtype=np.int64)
+        common, order = merged.T
+        records = Suffixes.joined(parts)
+        # settled some at a time, never between suffixes that may share a window
+        whole = LENGTH if key[0].as_py() % 2 else GRAM
+        start = 0
+        for end in [*np.flatnonzero(common < whole).tolist(), len(order)]:
+            if end - start >= RUN_RECORDS or end == len(order) > start:
+                shared = common[start:end].copy()
+                shared[0] = 0
+                group = records.taken(order[start:end], shared)
+                who, first, last = _intervals(group.settle(), group.at)
+                spans.append(np.stack([group.row[who], first, last], axis=1).astype("<i8").tobytes())
+                start = end
     table = np.frombuffer(b"".join(spans), dtype="<i8").reshape(-1, 3)
     return pa.table([pa.array(column) for column in table.T], schema=_SPANS)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(row, start, end): bytes of rows (doc, row, text) that an earlier string covers."""
+    """(row, start, end): bytes of rows (doc_id, text, row) that an earlier string covers."""
     anchors = rows.select("row", "text").mapInArrow(_anchors, "gram long, row long, place long")
     # stored, so that the join can split a hash that very many anchors have
     twice = materialized(
@@ -394,7 +501,9 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     total = found.agg(F.sum(F.size("found"))).first()[0] or 0
     ranges = -(-total // RANGE_RECORDS)
     splitters = _splitters(rows, ranges)
-    sent = rows.join(found, "row").select("doc", "row", "text", "found").mapInArrow(
+    doc = F.coalesce("doc_id", F.lit(_LAST)).alias("doc")
+    # rows go with the columns that the caller joins again, so that one shuffle serves both
+    sent = rows.join(found, "row").select(doc, "row", "text", "found").mapInArrow(
         _runs(splitters), _SENT)
     return sent.groupBy("range").applyInArrow(_merge, "row long, start long, end long")
 
@@ -418,34 +527,38 @@ def _splitters(rows: DataFrame, ranges: int) -> list[bytes]:
 
 
 def _cut(texts_: pa.Array, spans: pa.Array) -> pa.Array:
-    rows = []
-    for text, found in zip(texts_.to_pylist(), spans.to_pylist()):
-        if text is None or not found:
-            rows.append(None)
-            continue
-        data, kept, merged, end = text.encode(), [], [], 0
-        for span in sorted((s["start"], s["end"]) for s in found):
-            if merged and span[0] <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], span[1])
-            else:
-                merged.append(list(span))
-        for start, stop in merged:
-            kept.append(data[end:start])
-            end = stop
-        kept.append(data[end:])
-        rows.append({"kept": b"".join(kept), "removed": sum(b - a for a, b in merged),
-                     "spans": len(merged)})
-    return pa.array(rows, pa.struct([
-        ("kept", pa.binary()), ("removed", pa.int64()), ("spans", pa.int64())]))
+    """What stays of each text without the bytes of its spans; null where there are none."""
+    none = (spans.is_null().to_numpy(zero_copy_only=False)
+            | texts_.is_null().to_numpy(zero_copy_only=False))
+    raw, ends = _bytes_of(texts_.fill_null(""))
+    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)[:len(ends)]
+    flat = spans.flatten()
+    of = np.repeat(np.arange(len(spans)), spans.value_lengths().fill_null(0).to_numpy())
+    start, end = (starts[of] + flat.field(n).to_numpy() for n in (0, 1))
+    # one more place to a text, so that the spans of two texts never touch
+    edges = np.zeros(len(raw) + len(ends) + 1, dtype=np.int32)
+    np.add.at(edges, start + of, 1)
+    np.add.at(edges, end + of, -1)
+    gone = np.cumsum(edges[:-1]) > 0
+    bounds = ends + np.arange(len(ends))  # the added place of each text
+    first = gone & ~np.concatenate(([False], gone[:-1]))
+    number = np.diff(np.concatenate(([0], np.cumsum(first)[bounds])))
+    gone = np.delete(gone, bounds)
+    removed = np.diff(np.concatenate(([0], np.concatenate(([0], np.cumsum(gone)))[ends])))
+    offsets = np.concatenate(([0], np.cumsum(ends - starts - removed))).astype(np.int32)
+    kept = pa.Array.from_buffers(
+        pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~gone])])
+    return pa.StructArray.from_arrays(
+        [kept, pa.array(removed, pa.int64()), pa.array(number, pa.int64())],
+        names=["kept", "removed", "spans"], mask=pa.array(none))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary, the bytes that stay)."""
     cut = F.arrow_udf(_cut, "struct<kept: binary, removed: long, spans: long>")
     rows = texts(docs).select(
-        "doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "text",
-        F.xxhash64("doc_id", "text").alias("row"))
-    spans = repeated_spans(rows.select("doc", "row", "text")).groupBy("row").agg(
+        "doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+    spans = repeated_spans(rows).groupBy("row").agg(
         F.collect_set(F.struct("start", "end")).alias("spans"))
     whole = F.col("text").cast("binary")
     return (

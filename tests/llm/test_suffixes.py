@@ -107,3 +107,33 @@ def test_loser_tree_merges_and_knows_prefixes():
         assert [record[0] for _, record in merged] == flat
         assert sorted(r for _, r in merged) == sorted(r for run in made for r in run)
         assert [c for c, _ in merged][1:] == suffixes.common_prefixes(flat).tolist()[1:]
+
+
+def test_cut_keeps_texts_apart():
+    import pyarrow as pa
+
+    spans = pa.array(
+        [[{"start": 1, "end": 3}], None, [{"start": 0, "end": 2}, {"start": 2, "end": 3},
+                                          {"start": 4, "end": 5}], [{"start": 0, "end": 3}]],
+        pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+    made = suffixes._cut(pa.array(["abc", None, "\u00e9bcd", "xyz"]), spans).to_pylist()
+    assert made == [
+        {"kept": b"a", "removed": 2, "spans": 1}, None,
+        {"kept": b"c", "removed": 4, "spans": 2}, {"kept": b"", "removed": 3, "spans": 1}]
+    assert suffixes._cut(pa.array([None], pa.string()), spans[1:2]).to_pylist() == [None]
+
+
+def test_texts_are_shuffled_once_and_runs_are_small(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, -1)
+        found = suffixes.without_repeats(docs)
+        found.collect()
+    finally:
+        spark.conf.set(threshold, before)
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+    records = [(b"%032d" % n, b"", 1, 2, 3, 0) for n in range(100)]
+    own = sum(32 - c for c in suffixes.common_prefixes([r[0] for r in records]).tolist())
+    assert len(suffixes.front_coded(records)) <= 100 * 24 + own + 8

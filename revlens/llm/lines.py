@@ -54,28 +54,32 @@ def _doc() -> Column:
     return F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.col(_ROW))
 
 
-def _words(line: Column) -> Column:
-    """Most lines have single blanks only; for these a split without regular expression will do."""
+def _plain(line: Column) -> Column:
+    """The line's words with single blanks between them, empty if it has none. Most lines have
+    single blanks only, which no regular expression needs to look at."""
     trimmed = F.btrim(line, F.lit(_SEPARATORS))
-    other = F.contains(line, F.lit("  "))
-    for separator in _SEPARATORS.replace(" ", ""):
-        other |= F.contains(line, F.lit(separator))
-    return F.when(other, F.split(trimmed, "[\\x09-\\x0D\\x20]+")).otherwise(F.split(trimmed, " "))
+    other = F.contains(trimmed, F.lit("  "))
+    for separator in _SEPARATORS.replace(" ", "").replace("\n", ""):
+        other |= F.contains(trimmed, F.lit(separator))
+    return F.when(other, F.regexp_replace(trimmed, "[\\x09-\\x0D\\x20]+", " ")).otherwise(trimmed)
 
 
-def _identity(words: Column) -> tuple[Column, Column]:
+def _identity(plain: Column) -> tuple[Column, Column]:
     """128 bits that name a line."""
-    return F.xxhash64(words), F.xxhash64(F.lit("other"), words)
+    return F.xxhash64(plain), F.xxhash64(F.lit("other"), plain)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """place (orders lines as they stand in the corpus), doc, line_no, n, words, of all lines
+    """place (orders lines as they stand in the corpus), doc, line_no, n, plain, of all lines
     that have words."""
     doc = _doc()
     return (
-        docs.select(doc.alias("doc"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .select("doc", "line_no", _words(F.col("line")).alias("words"))
-        .withColumn("n", F.size("words")).filter(F.col("words")[0] != "")
+        # outer and a filter on the ends alone: Spark runs filters once more, below
+        docs.select(doc.alias("doc"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+        .filter(F.btrim("line", F.lit(_SEPARATORS)) != "")
+        .select("doc", "line_no", _plain(F.col("line")).alias("plain"))
+        .withColumn("n", F.octet_length("plain") - F.octet_length(
+            F.replace("plain", F.lit(" "), F.lit(""))) + 1)
         .withColumn("place", (F.col("doc") * _LINES_OF_DOCUMENT + F.col("line_no"))
                     .cast("decimal(38,0)"))
     )
@@ -83,17 +87,17 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _half_keys() -> list[Column]:
     """Hashes of the first and last half, for partners as long or one word shorter or longer."""
-    n, words = F.col("n"), F.col("words")
     keys = []
-    for half in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")):
-        keys.append(F.xxhash64(F.lit("first"), F.slice(words, F.lit(1), half)))
-        keys.append(F.xxhash64(F.lit("last"), F.slice(words, n - half + 1, half)))
+    for half in ("floor(n / 2)", "floor((n - 1) / 2)"):
+        for name, sign in (("first", ""), ("last", "-")):
+            keys.append(F.xxhash64(F.lit(name), F.expr(
+                f"substring_index(plain, ' ', {sign}cast({half} as int))")))
     return keys
 
 
 def _named_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """Each line's place, doc and line_no, its identity h1, h2, and its half keys."""
-    h1, h2 = _identity(F.col("words"))
+    h1, h2 = _identity(F.col("plain"))
     a, b, c, d = _half_keys()
     long = F.col("n") >= min_words  # shorter lines are compared with equal ones alone
     even = long & (F.col("n") % 2 == 0)  # odd lengths have one half only
@@ -131,12 +135,13 @@ def _fetched(docs: DataFrame, sieved: DataFrame) -> DataFrame:
         .select("doc", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line"))
         .withColumn("line_no", (F.col("line.place") - F.col("doc") * _LINES_OF_DOCUMENT)
                     .cast("int"))
-        .withColumn("words", _words(F.get("lines", F.col("line_no"))))
+        .withColumn("plain", _plain(F.get("lines", F.col("line_no"))))
     )
-    h1, h2 = _identity(F.col("words"))
+    h1, h2 = _identity(F.col("plain"))
     return (
         found.filter((h1 == F.col("line.h1")) & (h2 == F.col("line.h2")))
-        .select("line.place", "line.h1", "line.h2", "words", F.size("words").alias("n"))
+        .select("line.place", "line.h1", "line.h2", F.split("plain", " ").alias("words"))
+        .withColumn("n", F.size("words"))
         .dropDuplicates(["h1", "h2"])
     )
 
@@ -260,9 +265,10 @@ def without_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataF
     lines = F.split("text", "\n")
     kept = F.filter(
         F.transform(lines, lambda x, i: F.struct(x.alias("line"), i.alias("i"))),
-        lambda s: ~F.array_contains(
+        # most lines are settled by their number; only named ones are hashed
+        lambda s: ~(F.array_contains(F.col("_dropped.line_no"), s["i"]) & F.array_contains(
             F.col("_dropped"),
-            F.struct(s["i"].alias("line_no"), F.xxhash64(_words(s["line"])).alias("h1"))))
+            F.struct(s["i"].alias("line_no"), F.xxhash64(_plain(s["line"])).alias("h1")))))
     text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(
         F.concat_ws("\n", F.transform(kept, lambda s: s["line"])))
     return joined.select(

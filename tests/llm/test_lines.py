@@ -185,3 +185,17 @@ def test_each_row_without_id_is_a_document(spark, monkeypatch):
     assert got[5] == "short" and got[6] is None and got[7] == "q w e r t y"
     # arrays by document hold the lines of one row
     assert len({p.doc for p in places}) == 7 and len({p.place for p in places}) == len(places)
+
+
+def test_words_are_not_split_to_name_a_line(spark):
+    rows = [(1, " one\ttwo  three four\x0bfive \nshort line\n \t\n"), (2, None), (3, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn(
+        "_row_without_id", F.lit(None).cast("decimal(38,0)"))
+    found = lines._lines(docs)
+    assert sorted((int(r.doc), r.line_no, r.n, r.plain) for r in found.collect()) == [
+        (1, 0, 5, "one two three four five"), (1, 1, 2, "short line"), (3, 0, 6, "a b c d e f")]
+    named = lines._named_lines(docs, 5)
+    assert [(r.k1 is None, r.k3 is None) for r in named.orderBy("place").collect()] == [
+        (False, True), (True, True), (False, False)]
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1

@@ -130,12 +130,15 @@ def _fetched(docs: DataFrame, sieved: DataFrame) -> DataFrame:
         F.floor(F.col("place") / _LINES_OF_DOCUMENT).cast("decimal(38,0)").alias("doc"),
     ).groupBy("doc").agg(F.collect_list(F.struct("h1", "h2", "place")).alias("wanted"))
     doc = _doc()
+    line_no = (F.col("line.place") - F.col("doc") * _LINES_OF_DOCUMENT).cast("int")
+    own = F.get(F.split("text", "\n"), line_no)
+    # the generator of one element holds a line: the filter below would go through a plain
+    # projection, and split the text anew wherever it looks at the line
     found = (
         docs.select(doc.alias("doc"), "text").join(where, "doc")
-        .select("doc", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line"))
-        .withColumn("line_no", (F.col("line.place") - F.col("doc") * _LINES_OF_DOCUMENT)
-                    .cast("int"))
-        .withColumn("plain", _plain(F.get("lines", F.col("line_no"))))
+        .select("doc", "text", F.explode("wanted").alias("line"))
+        .select(F.inline(F.array(F.struct("line", own.alias("own")))))
+        .withColumn("plain", _plain(F.col("own")))
     )
     h1, h2 = _identity(F.col("plain"))
     return (

@@ -199,3 +199,14 @@ def test_words_are_not_split_to_name_a_line(spark):
         (False, True), (True, True), (False, False)]
     plan = named._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_fetched_lines_split_a_text_once(spark):
+    rows = [(1, "a b c d e\nx"), (2, "a b c d f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn(
+        "_row_without_id", F.lit(None).cast("decimal(38,0)"))
+    sieved = lines._sieved(lines._distinct_lines(lines._named_lines(docs, 5)))
+    found = lines._fetched(docs, lines.materialized(sieved, "test-sieved"))
+    assert sorted(" ".join(r.words) for r in found.collect()) == ["a b c d e", "a b c d f"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1

@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -155,16 +154,21 @@ def cut(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) -> Da
     end = np.array([end_id], dtype="<u4").tobytes()
     width = 4 * capacity
 
-    @F.pandas_udf("array<binary>")
-    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         steps = word_ids(path).steps
         for batch in batches:
-            rows = []
-            for ids in steps(batch.tolist()):
+            found, bounds = [], [0]
+            for ids in steps(batch.to_pylist()):
                 ids += end
-                rows.append([ids[at:at + width] for at in range(0, len(ids), width)])
-            yield pd.Series(rows, dtype=object)
-
+                if len(ids) <= width:
+                    found.append(ids)
+                else:
+                    found += [ids[at:at + width] for at in range(0, len(ids), width)]
+                bounds.append(len(found))
+            yield pa.ListArray.from_arrays(
+                pa.array(bounds, pa.int32()), pa.array(found, pa.binary()))
+
+    pieces = F.arrow_udf(pieces, "array<binary>")
     ids_length = (F.octet_length("ids") / 4).cast("long")
     last = F.octet_length(F.element_at("pieces", -1)) / 4
     rows = texts(docs)

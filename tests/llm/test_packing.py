@@ -5,6 +5,7 @@ from collections import defaultdict
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from pyspark.util import PythonEvalType
 from tokenizers import Tokenizer
 
 from revlens.llm import packing, registry
@@ -120,3 +121,14 @@ def test_costs_are_balanced():
 def test_texts_are_tokenized_once(spark, sf_dir):
     plan = registry.op6_packing(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_pieces_leave_workers_as_arrow(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    cut = packing.cut(docs, PATH, 2, 64)
+    rows = cut.groupBy("doc_id").agg(
+        F.sum("length").alias("n"), F.max("length").alias("most"),
+        F.max("doc_tokens").alias("tokens")).collect()
+    assert len(rows) == docs.count() and all(r.n == r.tokens and r.most <= 64 for r in rows)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert f", {PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF}" in plan

@@ -14,8 +14,8 @@ Longer ones, or a few, are merged one entry at a time.
 Defined results: null and empty texts have no ids; special tokens are ordinary text; the
 pattern is applied to whole texts; equal rows give equal results. Texts travel in Arrow batches,
 rows of one text each, without any shuffle. Each Python worker remembers the ids of about
-`REMEMBERED` blank-separated words and as many pre-tokens; the memory is emptied when full
-and changes no result.
+`REMEMBERED` blank-separated words and as many pre-tokens, and those of one slice more; the memory is
+emptied when full and changes no result.
 """
 
 import base64
@@ -32,13 +32,13 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # Words and pre-tokens beyond this are neither remembered nor merged with others.
 SHORT = 64
 # So many new pre-tokens at least are merged together.
 MANY = 1000
 # Characters of texts whose new pre-tokens are merged together.
-SLICE = 4_000_000
+SLICE = 1_000_000
 WORD_BITS = 8
 WORD_MASK = (1 << WORD_BITS) - 1
 # Separators of information that one regular-expression library counts as white space and
